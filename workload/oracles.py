@@ -281,7 +281,7 @@ ORACLES: dict[str, str] = {
     ),
     "union_by_name": _with(
         select="""SELECT event_id, event_type,
-          CASE WHEN period IN ('w1', 'w3') THEN price_paise END AS price_minor FROM silver"""
+          CASE WHEN period IN ('w1', 'w3') THEN category END AS category FROM silver"""
     ),
     "event_type_profile": _with(
         select="""SELECT event_type, count(*) AS rows, min(event_ts) AS first_event_time,
@@ -387,10 +387,11 @@ actual AS (
           coalesce(e.product_id, a.product_id) AS product_id,
           CASE WHEN a.events IS NULL THEN 'missing' WHEN e.events IS NULL THEN 'unexpected' ELSE 'different' END
             AS status,
-          e.events AS expected_events, e.purchases AS expected_purchases, e.revenue_paise AS expected_revenue_paise,
-          e.views AS expected_views, e.carts AS expected_carts,
-          a.events AS actual_events, a.purchases AS actual_purchases, a.revenue_paise AS actual_revenue_paise,
-          a.views AS actual_views, a.carts AS actual_carts
+          e.events::DOUBLE AS expected_events, e.purchases::DOUBLE AS expected_purchases,
+          e.revenue_paise::DOUBLE AS expected_revenue_paise, e.views::DOUBLE AS expected_views,
+          e.carts::DOUBLE AS expected_carts, a.events::DOUBLE AS actual_events,
+          a.purchases::DOUBLE AS actual_purchases, a.revenue_paise::DOUBLE AS actual_revenue_paise,
+          a.views::DOUBLE AS actual_views, a.carts::DOUBLE AS actual_carts
         FROM tumbling e FULL JOIN actual a
           ON e.window_start = a.window_start AND e.category = a.category AND e.product_id = a.product_id
         WHERE (e.events, e.purchases, e.revenue_paise, e.views, e.carts)
@@ -585,8 +586,8 @@ ranked AS (
     "quality_counters": _with(
         PROGRESS,
         select="""SELECT query_name, batch_id,
-          CASE WHEN query_name = 'silver-v1' THEN repeated END AS repeated_events_removed,
-          CASE WHEN query_name <> 'bronze-v1' THEN late END AS late_events_removed FROM newest""",
+          CASE WHEN query_name = 'silver-v1' THEN repeated::DOUBLE END AS repeated_events_removed,
+          CASE WHEN query_name <> 'bronze-v1' THEN late::DOUBLE END AS late_events_removed FROM newest""",
     ),
     "stage_throughput": _with(
         PROGRESS,

@@ -175,7 +175,7 @@ def union_by_name(spark, sf):
     events = V.history(spark, sf)
     months = [
         events.filter(F.col("period") == f"w{i}").select(
-            *(["event_type", "price_minor", "event_id"] if i % 2 else ["event_id", "event_type"])
+            *(["event_type", "category", "event_id"] if i % 2 else ["event_id", "event_type"])
         )
         for i in range(5)
     ]
@@ -320,6 +320,9 @@ def upsert_latest_wins(spark, sf):
     return latest_by_epoch(committed_only(rows, commits))
 
 
+SIDES = {name.split("_")[-1] for name in C.EXACT_MEASURES}
+
+
 @query
 def reconcile_metrics(spark, sf):
     expected = V.tumbling(spark, sf)
@@ -330,7 +333,8 @@ def reconcile_metrics(spark, sf):
             "views": F.when(product == "P02", F.col("views") + 1).otherwise(F.col("views")),
         }
     )
-    return reconcile(expected, actual)
+    found = reconcile(expected, actual)
+    return found.withColumns({c: F.col(c).cast("double") for c in found.columns if c.split("_")[-1] in SIDES})
 
 
 # --- customers and products -------------------------------------------------------------
@@ -534,7 +538,7 @@ def _streamed(spark: SparkSession, sf: str) -> Pipeline:
     if key not in _finished:
         folder = shared_folder(spark)
         schema = V.table(spark, sf, "events").schema
-        events = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet")
+        events = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
         copies = F.when(F.col("source_row") % 10 == 9, 1).otherwise(0)
         twice = V.canonical(events).withColumn("_copy", F.explode(F.sequence(F.lit(0), copies)))
         pipeline = Pipeline(f"{folder}/lake", f"{folder}/checkpoints")
@@ -575,7 +579,8 @@ def pipeline_health(spark, sf):
 def quality_counters(spark, sf):
     reported = V.progress(spark, sf)
     parts = [health.quality_counters(reported, name) for name in C.STAGE_LABELS]
-    return reduce(DataFrame.unionByName, parts)
+    counters = reduce(DataFrame.unionByName, parts)
+    return counters.withColumns({c: F.col(c).cast("double") for c in counters.columns if c.endswith("removed")})
 
 
 @query
