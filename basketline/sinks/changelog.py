@@ -109,7 +109,7 @@ def latest_metrics(spark: SparkSession, root: str, query_name: str) -> DataFrame
     name = F.col("query_name") == query_name
     upto = _compacted_upto(spark, root, query_name)
     rows = empty
-    if path_exists(spark, _folder(root, "rows", query_name)):
+    if path_exists(spark, _folder(root, "commits", query_name)):
         rows = spark.read.schema(ROWS).parquet(f"{root}/rows").filter(name)
         commits = spark.read.schema(COMMIT).parquet(f"{root}/commits").filter(name)
         if upto is not None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from basketline import schemas
 from basketline.constants import HISTORY_CSV_FIELDS
+from basketline.operators.customers import union_months
 from basketline.session import hadoop_path
 from basketline.sources.rows import with_source_row
 
@@ -46,11 +47,13 @@ def complete_months(spark: SparkSession, root: str) -> list[str]:
 def read_months(
     spark: SparkSession, root: str, date_from: str | None = None, date_to: str | None = None
 ) -> DataFrame:
-    """Events of all complete months in one scan; the dates prune partitions."""
+    """Events of all complete months; the dates prune partitions."""
     months = complete_months(spark, root)
     if not months:
         raise RuntimeError("no validated complete months available")
-    events = spark.read.schema(schemas.HISTORY).parquet(*[f"{root}/months/{m}/events" for m in months])
+    # Every month is a partitioned table of its own root, so the months are read one by one.
+    reader = spark.read.schema(schemas.HISTORY)
+    events = union_months([reader.parquet(f"{root}/months/{m}/events") for m in months])
     if date_from:
         events = events.filter(F.col("event_date") >= date_from)
     if date_to:
