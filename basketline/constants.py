@@ -33,8 +33,7 @@ HISTORY_CSV_FIELDS = (
 )
 HISTORY_EVENT_TYPES = ("view", "cart", "purchase", "remove_from_cart")
 HISTORY_TIME_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2} UTC$"
-HISTORY_TIME_FORMAT = "yyyy-M-d H:m:s 'UTC'"
-MONTH_FORMAT = "yyyy-MMM"
+MONTH_FORMAT = "%Y-%b"
 
 # Fixed reject reasons of the history and replay normalisers.
 REASON_MONTH = "timestamp outside requested month"

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketline import constants as C
 
 
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated exactly once per row, however often they are used later.
+
+    Projections are merged and filters are moved below them, both by repeating the expression. A
+    generator that makes one row of each row is left where it is.
+    """
+    fields = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(fields)))
+
+
 def not_blank(text: Column) -> Column:
     """True when any non-whitespace character is present (``trim`` would only see spaces)."""
     return text.rlike(r"\S")
@@ -33,9 +43,8 @@ def zoned_timestamp(text: Column) -> Column:
 
 def history_timestamp(text: Column) -> Column:
     """Instant of the history format; NULL when the text has any other shape."""
-    return F.when(
-        text.rlike(C.HISTORY_TIME_SHAPE), F.try_to_timestamp(text, F.lit(C.HISTORY_TIME_FORMAT))
-    )
+    utc = F.concat(F.substring(text, F.lit(1), F.length(text) - 4), F.lit("Z"))
+    return F.when(text.rlike(C.HISTORY_TIME_SHAPE), F.try_to_timestamp(utc))
 
 
 def iso_utc(ts: Column) -> Column:
@@ -46,18 +55,22 @@ def iso_utc(ts: Column) -> Column:
 def exact_minor_units(price: Column) -> Column:
     """Integer minor units of a decimal text, or NULL when it is not an exact amount in range.
 
-    NaN and infinities do not cast. A decimal(38,18) cast rounds beyond 18 places, so texts with
-    significant digits further right are refused instead of being rounded to a whole cent.
+    Plain amounts such as ``12.34`` take a short way. For the rest, NaN and infinities do not cast,
+    and since a decimal(38,18) cast rounds beyond 18 places, texts with significant digits further
+    right are refused instead of being rounded to a whole cent.
     """
+    low, high = C.PRICE_RANGE
+    plain = (price.cast("decimal(11,2)") * 100).cast("bigint")
     text = strip(price)
     fraction = F.length(F.regexp_extract(text, r"\.(\d*?)0*(?:[eE]|$)", 1))
     exponent = F.coalesce(
         F.regexp_extract(text, r"[eE]([+-]?\d{1,6})$", 1).try_cast("int"), F.lit(0)
     )
     cents = text.try_cast("decimal(38,18)") * 100
-    low, high = C.PRICE_RANGE
     exact = (fraction - exponent <= 18) & (cents == F.floor(cents)) & cents.between(low, high)
-    return F.when(exact, cents.cast("bigint"))
+    return F.when(price.rlike(r"^\d{1,6}(\.\d{1,2})?$"), plain).otherwise(
+        F.when(exact, cents.cast("bigint"))
+    )
 
 
 def is_number(text: Column) -> Column:

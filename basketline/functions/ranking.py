@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,6 +34,14 @@ def dense_position(
     )
 
 
+STEP = 16  # cut points per coarse cut
+
+
+def _below(cuts: Column | str, value: str) -> Column:
+    """How many of the cut points lie below the value."""
+    return F.size(F.filter(cuts, lambda cut: cut < F.col(value)))
+
+
 def nearest_rank(
     df: DataFrame, group: str | Sequence[str], value: str, probabilities: Sequence[float], slices: int = 256
 ) -> DataFrame:
@@ -45,14 +53,16 @@ def nearest_rank(
     """
     keys = [group] if isinstance(group, str) else list(group)
     known = df.filter(F.col(value).isNotNull())
-    cuts = known.agg(
-        F.array_distinct(
-            F.percentile_approx(value, [i / slices for i in range(1, slices)], 10_000)
-        ).alias("cuts")
-    ).scalar()
+    quantiles = F.percentile_approx(value, [i / slices for i in range(1, slices)], 10_000)
+    cuts = known.agg(F.array_distinct(quantiles).alias("fine")).select(
+        F.struct("fine", F.filter("fine", lambda _, i: i % STEP == STEP - 1).alias("coarse")).alias("cuts")
+    )
     counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    sliced = counts.withColumn("_cuts", cuts).withColumn(
-        "_slice", F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
+    sliced = (
+        counts.withColumn("_cuts", cuts.scalar())
+        .withColumn("_near", _below("_cuts.coarse", value) * STEP)
+        .withColumn("_slice", F.col("_near") + _below(F.slice("_cuts.fine", F.col("_near") + 1, STEP), value))
+        .drop("_near", "_cuts")
     )
     sizes = sliced.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_size"))
     by_slice = Window.partitionBy(*keys).orderBy("_slice")
@@ -69,8 +79,7 @@ def nearest_rank(
         Window.partitionBy(*keys, "_slice").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     )
     ranked = (
-        sliced.drop("_cuts")
-        .withColumn("_running", running)
+        sliced.withColumn("_running", running)
         .join(sizes, [*keys, "_slice"])
         .withColumn("_upto", F.col("_before") + F.col("_running"))
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from basketline import constants as C
 from basketline import schemas
-from basketline.functions.columns import has_zone, not_blank, zoned_timestamp
+from basketline.functions.columns import compute_once, has_zone, not_blank, zoned_timestamp
 
 
 # Rules that need no test of their own for validity: an unparsed instant fails the future guard.
@@ -72,7 +72,7 @@ def parse_events(raw: DataFrame, strict: bool = False, reasons: bool = False) ->
     """
     document = F.from_json("raw_json", schemas.EVENT)
     frame = raw.select("*", F.inline(F.array(document)))
-    frame = frame.withColumn("event_ts", zoned_timestamp(F.col("event_time")))
+    frame = compute_once(frame, event_ts=zoned_timestamp(F.col("event_time")))
     valid = F.lit(True)
     for reason, holds in contract_rules():
         if reason not in IMPLIED:

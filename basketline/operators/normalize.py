@@ -6,7 +6,7 @@ carry ``reject_reason``. They are projections, so one pass over the file feeds b
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from basketline import constants as C
 from basketline import schemas
 from basketline.functions.columns import (
+    compute_once,
     empty_to_null,
     exact_minor_units,
     history_timestamp,
@@ -43,16 +44,31 @@ def _category() -> Column:
     return F.coalesce(code, F.concat(F.lit("category:"), number))
 
 
+def _measured(rows: DataFrame) -> DataFrame:
+    """Parse time and price once; most rules and outputs use them."""
+    return compute_once(
+        rows, _at=history_timestamp(F.col("event_time")), _minor=exact_minor_units(F.col("price"))
+    )
+
+
+def month_bounds(month: str) -> tuple[Column, Column]:
+    """First instants of a month such as ``2019-Oct`` and of the month after it, in UTC."""
+    first = datetime.strptime(month, C.MONTH_FORMAT)
+    following = (first + timedelta(days=31)).replace(day=1)
+    return tuple(F.lit(f"{day:%Y-%m-%d}T00:00:00Z").cast("timestamp") for day in (first, following))
+
+
 def route_history(rows: DataFrame, month: str, id_prefix: str) -> DataFrame:
     """History columns, ``reject_reason`` and the original ``record`` for every source row.
 
     ``month`` looks like ``2019-Oct``. Empty product and customer ids are refused, blank ones are not.
     """
-    at = history_timestamp(F.col("event_time"))
-    price = exact_minor_units(F.col("price"))
+    rows = _measured(rows)
+    at, price = F.col("_at"), F.col("_minor")
+    first, following = month_bounds(month)
     rules = [
         (C.REASON_TIME, at.isNotNull()),
-        (C.REASON_MONTH, F.date_format(at, C.MONTH_FORMAT) == month),
+        (C.REASON_MONTH, (at >= first) & (at < following)),
         (C.REASON_TYPE, F.col("event_type").isin(*C.HISTORY_EVENT_TYPES)),
         (C.REASON_MISSING + "product_id", F.col("product_id") != ""),
         (C.REASON_MISSING + "user_id", F.col("user_id") != ""),
@@ -69,7 +85,7 @@ def route_history(rows: DataFrame, month: str, id_prefix: str) -> DataFrame:
         _category().alias("category"),
         empty_to_null(F.col("brand")).alias("brand"),
         price.alias("price_minor"),
-        F.date_format(at, "yyyy-MM-dd").alias("event_date"),
+        at.cast("date").cast("string").alias("event_date"),
         _first_reason(rules).alias("reject_reason"),
         _record().alias("record"),
     )
@@ -99,9 +115,8 @@ def route_replay(rows: DataFrame, namespace: str, id_prefix: str) -> DataFrame:
     no quantity and no currency: quantity is 1 and marked as not observed, prices are in source
     units. A missing session becomes a placeholder of its own, marked as not observed.
     """
-    at = history_timestamp(F.col("event_time"))
-    iso = iso_utc(at)
-    price = exact_minor_units(F.col("price"))
+    rows = compute_once(_measured(rows), _iso=iso_utc(F.col("_at")))
+    at, price, iso = F.col("_at"), F.col("_minor"), F.col("_iso")
     row = F.col("source_row").cast("string")
     session = strip(F.coalesce("user_session", F.lit("")))
     observed = session != ""

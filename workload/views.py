@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketline import constants as C
+from basketline.functions.columns import compute_once
 from basketline.operators.metrics import window_metrics
 from basketline.session import pin_runtime
 
@@ -23,7 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def canonical(events: DataFrame) -> DataFrame:
     """Event stream rows as shopping events; works on a streaming frame as well."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    events = compute_once(events, _k=F.get_json_object("props", "$.k").cast("bigint"))
+    k = F.col("_k")
     week = F.concat(F.lit("w"), F.floor((F.day("ts") - 1) / F.lit(7)).cast("string"))
     user = F.col("user_id").cast("string")
     kind = (
@@ -52,7 +54,8 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that satisfy the contract: everything but the ``error`` actions."""
-    return ev(spark, sf_dir).filter(F.col("event_type") != "error")
+    events = table(spark, sf_dir, "events")
+    return canonical(events.filter(F.col("event_type") != "error"))
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
