@@ -21,7 +21,7 @@ def dense_position(
     A slice covers ``slice_rows`` values of the order and so holds at most that many rows. The table
     of slice sizes has one row per slice and is the only thing put in a global order.
     """
-    sliced = df.withColumn("_slice", F.floor(F.col(order) / F.lit(slice_rows)))
+    sliced = df.withColumn("_slice", F.col(order) - F.pmod(order, F.lit(slice_rows)))
     sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_size"))
     before = F.sum("_size").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select("_slice", F.coalesce(before, F.lit(0)).alias("_before"))

@@ -43,7 +43,10 @@ def customer_periods(df: DataFrame, period: str = "period") -> DataFrame:
 
 def first_observed(periods: DataFrame, period: str = "period") -> DataFrame:
     """First period in which each customer was seen."""
-    return periods.groupBy("user_id").agg(F.min(period).alias("first_observed"))
+    # A text minimum sorts its input. The filter, true for every row, keeps the planner from merging
+    # this level with the one below and so from sorting raw events instead of customer periods.
+    seen = periods.filter(F.col("actions") > 0)
+    return seen.groupBy("user_id").agg(F.min(period).alias("first_observed"))
 
 
 def with_first_observed(periods: DataFrame, period: str = "period") -> DataFrame:
@@ -108,19 +111,25 @@ def category_interest(df: DataFrame, k: int = 20) -> DataFrame:
 
 
 def product_totals(df: DataFrame) -> DataFrame:
-    """Per product: category, distinct viewers and purchasers, views and purchases."""
+    """Per product: category, distinct viewers and purchasers, views and purchases.
+
+    The largest category is taken from the few (product, category) pairs, kept apart from the merging
+    of aggregates by a filter that is true for all of them: a text maximum over events, or beside the
+    counts, would make the planner sort all rows instead of hashing them.
+    """
+    known = F.col("user_id").isNotNull()
     per_customer = df.groupBy("product_id", "user_id").agg(
-        F.max("category").alias("category"),
-        F.count_if(of_type("view")).alias("views"),
-        F.count_if(of_type("purchase")).alias("purchases"),
+        F.count_if(of_type("view")).alias("views"), F.count_if(of_type("purchase")).alias("purchases")
     )
-    return per_customer.groupBy("product_id").agg(
-        F.max("category").alias("category"),
-        F.count_if((F.col("views") > 0) & F.col("user_id").isNotNull()).alias("viewers"),
-        F.count_if((F.col("purchases") > 0) & F.col("user_id").isNotNull()).alias("purchasers"),
+    counts = per_customer.groupBy("product_id").agg(
+        F.count_if((F.col("views") > 0) & known).alias("viewers"),
+        F.count_if((F.col("purchases") > 0) & known).alias("purchasers"),
         F.sum("views").alias("views"),
         F.sum("purchases").alias("purchases"),
     )
+    named = df.groupBy("product_id", "category").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 0")
+    categories = named.groupBy("product_id").agg(F.max("category").alias("category"))
+    return categories.join(counts, "product_id")
 
 
 def matched_buyers(pairs: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from basketline.functions.columns import of_type, ratio
 
 PAIR = ["user_id", "session_id", "product_id"]
-SALTS = 64  # tasks over which the purchases of one session and product may be spread
 
 
 def _at(kind: str, ts: str) -> Column:
@@ -39,30 +38,48 @@ def view_to_purchase(df: DataFrame, ts: str = "event_time", pairs: DataFrame | N
     """First purchase at or after the first view of the same product in the same session.
 
     The milestones settle every pair whose first purchase already follows the first view. Only pairs
-    bought before *and* after the first view need the purchases themselves: those are reduced to
-    distinct times and joined over salted keys, so that one endless session is shared by many tasks.
+    bought before *and* after the first view need more, see ``_purchase_after``.
     """
     pairs = journey_pairs(df, ts) if pairs is None else pairs
-    matched = pairs.filter(F.col("last_purchase") >= F.col("first_view"))
+    # Complete keys only, as the joins below demand: with the same filter on every branch the
+    # planner aggregates the milestones once and reuses the exchange.
+    matched = pairs.filter(F.col("last_purchase") >= F.col("first_view")).dropna(subset=PAIR)
     settled = matched.filter(F.col("first_purchase") >= F.col("first_view")).select(
         *PAIR, "first_view", "first_purchase"
     )
-    open_pairs = matched.filter(F.col("first_purchase") < F.col("first_view")).select(*PAIR, "first_view")
-    salted = open_pairs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    purchases = (
+    unsettled = matched.filter(F.col("first_purchase") < F.col("first_view")).select(*PAIR, "first_view")
+    found = settled.unionByName(_purchase_after(unsettled, df, ts))
+    seconds = _epoch_seconds("first_purchase") - _epoch_seconds("first_view")
+    return found.withColumn("seconds_to_purchase", seconds)
+
+
+def _purchase_after(pairs: DataFrame, df: DataFrame, ts: str) -> DataFrame:
+    """First purchase of each pair that is not before ``first_view``.
+
+    Purchases are reduced to the first and last of every minute, so that an endless session brings
+    one row per minute to its join. Minutes after the first view are settled by that; the single
+    purchases are only looked up in the minute of the first view, by pair and minute.
+    """
+    bought = (
         df.filter(of_type("purchase") & F.col("session_id").isNotNull())
         .select(*PAIR, F.col(ts).alias("_bought"))
-        .distinct()
-        .withColumn("_salt", F.pmod(F.xxhash64("_bought"), F.lit(SALTS)).cast("int"))
+        .withColumn("_minute", F.date_trunc("minute", "_bought"))
+    )
+    minutes = bought.groupBy(*PAIR, "_minute").agg(
+        F.min("_bought").alias("_first"), F.max("_bought").alias("_last")
     )
-    found = (
-        purchases.join(salted, [*PAIR, "_salt"])
+    after = minutes.join(pairs, PAIR).filter(F.col("_last") >= F.col("first_view"))
+    whole = after.filter(F.col("_first") >= F.col("first_view")).select(
+        *PAIR, "first_view", F.col("_first").alias("_bought")
+    )
+    divided = after.filter(F.col("_first") < F.col("first_view")).select(*PAIR, "_minute", "first_view")
+    part = (
+        bought.distinct()
+        .join(divided, [*PAIR, "_minute"])
         .filter(F.col("_bought") >= F.col("first_view"))
-        .groupBy(*PAIR, "first_view")
-        .agg(F.min("_bought").alias("first_purchase"))
+        .select(*PAIR, "first_view", "_bought")
     )
-    seconds = _epoch_seconds("first_purchase") - _epoch_seconds("first_view")
-    return settled.unionByName(found).withColumn("seconds_to_purchase", seconds)
+    return whole.unionByName(part).groupBy(*PAIR, "first_view").agg(F.min("_bought").alias("first_purchase"))
 
 
 def _epoch_seconds(column: str) -> Column:
@@ -113,9 +130,8 @@ def inferred_sessions(
     """
     gap = gap_minutes * 60_000_000
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    slices = (
-        df.groupBy(key, F.floor(micros / F.lit(gap)).alias("_slice"))
-        .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    slices = df.groupBy(key, (micros - F.pmod(micros, F.lit(gap))).alias("_slice")).agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n")
     )
     in_order = Window.partitionBy(key).orderBy("_slice")
     quiet = F.unix_micros(F.col("_first").cast("timestamp")) - F.unix_micros(

@@ -206,8 +206,7 @@ ORACLES: dict[str, str] = {
     "prefix_sample": _with(
         CSV,
         select="""SELECT kind AS event_type, count(*) AS rows,
-          strftime(min(happened), '%Y-%m-%d %H:%M:%S UTC') AS first_event_time,
-          strftime(max(happened), '%Y-%m-%d %H:%M:%S UTC') AS last_event_time
+          min(happened) AS first_event_time, max(happened) AS last_event_time
         FROM csv WHERE source_row <= 1000000 GROUP BY kind""",
     ),
     "json_path": _with(

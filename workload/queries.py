@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketline import constants as C
+from basketline.functions.columns import history_timestamp
 from basketline.functions.ranking import nearest_rank
 from basketline.operators import contract, customers, dedup, journeys, metrics, normalize, reports, sampling, sketches
 from basketline.operators.reconcile import count_guard, reconcile
@@ -59,7 +60,8 @@ def count_guard_rows(spark, sf):
 
 @query
 def prefix_sample(spark, sf):
-    return customers.event_profile(normalize.source_prefix(V.csv_rows(spark, sf), 1_000_000))
+    prefix = normalize.source_prefix(V.csv_rows(spark, sf), 1_000_000)
+    return customers.event_profile(prefix.withColumn("event_time", history_timestamp(F.col("event_time"))))
 
 
 def _sourced(spark, sf):
