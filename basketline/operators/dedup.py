@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketline import schemas
 from basketline.functions.hashing import payload_fingerprint
+from basketline.session import through_table
 
 ARRIVAL_ORDER = ("ingested_at", "partition", "offset")
 
@@ -28,6 +29,30 @@ def dedup_exact(
     return ranked.filter(F.col("_seen") == 1).drop("_seen")
 
 
+def dedup_stored(
+    df: DataFrame,
+    folder: str,
+    key: str = "event_id",
+    order_by: Sequence[str] = ARRIVAL_ORDER,
+    broadcast_ids: int = 200_000,
+) -> DataFrame:
+    """``dedup_exact`` for stored rows of which few are repeated, as after the streaming form.
+
+    Only the ids are shuffled, to find the repeated ones; they are stored in ``folder`` and counted.
+    None: the rows are returned as they are. Few: every other row passes by them in a broadcast join
+    without being moved. Too many to broadcast: all rows are ranked, and stored for repeated use.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    repeated = through_table(counts.select(key), f"{folder}/repeated_ids")
+    found = repeated.count()
+    if not found:
+        return df
+    if found > broadcast_ids:
+        return through_table(dedup_exact(df, key, order_by), f"{folder}/unique_rows")
+    ids = F.broadcast(repeated)
+    return df.join(ids, key, "left_anti").unionByName(dedup_exact(df.join(ids, key, "left_semi"), key, order_by))
+
+
 def dedup_within_watermark(
     df: DataFrame, key: str = "event_id", ts: str = "event_ts", delay: str = "2 minutes"
 ) -> DataFrame:

@@ -105,9 +105,23 @@ def cart_funnel(
     rows = df.filter(F.coalesce("session_observed", F.lit(True))) if observed_only else df
     if not observed_only:
         rows = rows.filter(F.col("session_id").isNotNull())
-    sessions = rows.groupBy(*keys).agg(
-        F.min(_at("cart", ts)).alias("first_cart"), F.max(_at("purchase", ts)).alias("last_purchase")
+    return _converted(
+        rows.groupBy(*keys).agg(
+            F.min(_at("cart", ts)).alias("first_cart"), F.max(_at("purchase", ts)).alias("last_purchase")
+        )
     )
+
+
+def funnel_of_pairs(pairs: DataFrame) -> DataFrame:
+    """The (customer, session) funnel from milestones that are at hand, without reading events again."""
+    return _converted(
+        pairs.groupBy("user_id", "session_id").agg(
+            F.min("first_cart").alias("first_cart"), F.max("last_purchase").alias("last_purchase")
+        )
+    )
+
+
+def _converted(sessions: DataFrame) -> DataFrame:
     return sessions.agg(
         F.count("first_cart").alias("cart_sessions"),
         F.count_if(F.col("last_purchase") >= F.col("first_cart")).alias("converted_sessions"),

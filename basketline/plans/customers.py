@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from basketline.operators import customers as K
 from basketline.operators import journeys as J
 from basketline.operators.reconcile import require_counts
-from basketline.session import hadoop_path, path_exists, shared_folder, through_table
+from basketline.session import hadoop_path, path_exists, scratch_folder, through_table
 from basketline.sources.history import complete_months, read_manifests, read_months
 
 DEFINITIONS = {
@@ -34,7 +34,7 @@ def report_sections(events: DataFrame, folder: str) -> dict[str, DataFrame]:
         "interests": K.category_interest(events),
         "top_products": K.top_products(products),
         "journeys": J.nest_timelines(J.session_timelines(events)),
-        "session_funnel": J.cart_funnel(events, ["user_id", "session_id"], "event_time"),
+        "session_funnel": J.funnel_of_pairs(pairs),
         "timing": J.time_to_purchase(J.view_to_purchase(events, pairs=pairs)),
         "inferred": J.inferred_session_count(J.inferred_sessions(events)),
     }
@@ -63,16 +63,16 @@ def run_customer_report(spark: SparkSession, root: str) -> dict:
     started = time.monotonic()
     events = read_months(spark, root)
     accepted = require_counts(events, read_manifests(spark, root))
-    folder = shared_folder(spark)
     report: dict = {
         "generated_at": datetime.now(timezone.utc).isoformat(),
         "months": complete_months(spark, root),
         "accepted_rows": accepted,
     }
-    for name, frame in report_sections(K.with_month(events), folder).items():
-        table = through_table(frame, f"{root}/report/{name}")
-        rows = [row.asDict(recursive=True) for row in table.collect()]
-        report[name] = rows[0] if name in SINGLE else rows
+    with scratch_folder(spark) as folder:
+        for name, frame in report_sections(K.with_month(events), folder).items():
+            table = through_table(frame, f"{root}/report/{name}")
+            rows = [row.asDict(recursive=True) for row in table.collect()]
+            report[name] = rows[0] if name in SINGLE else rows
     report["monthly"].sort(key=lambda row: row["period"])
     report["behaviour"].sort(key=lambda row: row["period"])
     report["interests"].sort(key=lambda row: (-row["views"], row["category"]))

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketline import constants as C
-from basketline.operators.dedup import dedup_exact
+from basketline.operators.dedup import dedup_stored
 from basketline.operators.metrics import window_metrics
 from basketline.operators.reconcile import reconcile
-from basketline.session import shared_folder, through_table
+from basketline.session import scratch_folder
 from basketline.sinks.changelog import latest_metrics
 from basketline.sources.raw import scan_silver
 
@@ -20,9 +20,9 @@ class Mismatch(RuntimeError):
     """Published and recomputed metrics differ."""
 
 
-def metric_mismatches(spark: SparkSession, silver: str, serving: str) -> DataFrame:
+def metric_mismatches(spark: SparkSession, silver: str, serving: str, folder: str) -> DataFrame:
     """Differing rows of both metric tables, with the query they belong to."""
-    events = through_table(dedup_exact(scan_silver(spark, silver)), f"{shared_folder(spark)}/unique")
+    events = dedup_stored(scan_silver(spark, silver), folder)
     found = [
         reconcile(
             window_metrics(events, size, slide, users=None), latest_metrics(spark, serving, name)
@@ -34,7 +34,8 @@ def metric_mismatches(spark: SparkSession, silver: str, serving: str) -> DataFra
 
 def run_reconciliation(spark: SparkSession, silver: str, serving: str, output: str) -> int:
     """Write the mismatches to ``output``; raises when there are any."""
-    metric_mismatches(spark, silver, serving).write.mode("overwrite").json(output)
+    with scratch_folder(spark) as folder:
+        metric_mismatches(spark, silver, serving, folder).write.mode("overwrite").json(output)
     found = spark.read.text(output).count()
     if found:
         raise Mismatch(f"{found} metric rows differ; see {output}")

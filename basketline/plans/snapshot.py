@@ -7,12 +7,12 @@ import uuid
 from pyspark.sql import Row, SparkSession
 
 from basketline.operators.contract import parse_events
-from basketline.operators.dedup import ConflictingPayloads, conflicting_ids, dedup_exact
+from basketline.operators.dedup import ConflictingPayloads, conflicting_ids, dedup_stored
 from basketline.operators.journeys import cart_funnel
 from basketline.operators.metrics import analysis_clock, from_source, snapshot_totals, window_metrics
 from basketline.operators.reports import batch_report, report_json
 from basketline.operators.sampling import sample_estimate
-from basketline.session import path_exists, shared_folder, through_table
+from basketline.session import path_exists, scratch_folder
 from basketline.sources.raw import scan_silver
 
 
@@ -40,15 +40,19 @@ def run_snapshot(
 ) -> Row:
     """Compute the report of one source, write every section below ``output`` and return the report row.
 
-    The de-duplicated events are written once to the shared folder and read by all sections: that
-    costs one write instead of one de-duplicating shuffle per section.
+    De-duplication comes first and is paid once; the sections then scan only the columns they need.
     """
+    with scratch_folder(spark) as folder:
+        return _run(spark, folder, silver, output, namespace, real, sample_fraction, bronze, run_id)
+
+
+def _run(spark, folder, silver, output, namespace, real, sample_fraction, bronze, run_id) -> Row:
     if bronze and path_exists(spark, bronze):
         conflicts = audit_conflicts(spark, bronze, output)
     else:
         conflicts = spark.createDataFrame([], "event_id string, payload_variants bigint")
     stored = from_source(scan_silver(spark, silver, merge=True), namespace, real)
-    events = through_table(dedup_exact(stored), f"{shared_folder(spark)}/events")
+    events = dedup_stored(stored, folder)
     window_metrics(events).write.mode("overwrite").parquet(f"{output}/windows")
     sections = {
         "totals": snapshot_totals(events),

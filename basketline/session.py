@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -60,6 +62,17 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/basketline/{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """A shared folder for the tables of one job, removed when the job is done."""
+    folder = shared_folder(spark)
+    try:
+        yield folder
+    finally:
+        path, fs = hadoop_path(spark, folder)
+        fs.delete(path, True)
+
+
 def through_table(frame, folder: str):
     """Write a frame as Parquet and read it back: cuts lineage and survives lost executors."""
     frame.write.mode("overwrite").parquet(folder)

@@ -63,6 +63,12 @@ def committed(spark: SparkSession, root: str, query_name: str, epoch: int) -> bo
     return upto is not None and epoch <= upto
 
 
+def _partition(spark: SparkSession, root: str, part: str, query_name: str, schema: T.StructType) -> DataFrame:
+    """One query's epochs; the folders of other queries are not even listed."""
+    reader = spark.read.schema(schema).option("basePath", f"{root}/{part}")
+    return reader.parquet(_folder(root, part, query_name))
+
+
 def publish_epoch(
     frame: DataFrame, epoch: int, query_name: str, root: str, stream_id: str = "batch"
 ) -> bool:
@@ -106,12 +112,11 @@ def committed_only(rows: DataFrame, commits: DataFrame) -> DataFrame:
 def latest_metrics(spark: SparkSession, root: str, query_name: str) -> DataFrame:
     """The serving table of one query: committed epochs only, the latest value of every key."""
     empty = spark.createDataFrame([], T.StructType(BASE_ROWS))
-    name = F.col("query_name") == query_name
     upto = _compacted_upto(spark, root, query_name)
     rows = empty
     if path_exists(spark, _folder(root, "commits", query_name)):
-        rows = spark.read.schema(ROWS).parquet(f"{root}/rows").filter(name)
-        commits = spark.read.schema(COMMIT).parquet(f"{root}/commits").filter(name)
+        rows = _partition(spark, root, "rows", query_name, ROWS)
+        commits = _partition(spark, root, "commits", query_name, COMMIT)
         if upto is not None:
             rows, commits = rows.filter(F.col("epoch_id") > upto), commits.filter(F.col("epoch_id") > upto)
         rows = committed_only(rows, commits).select(*[f.name for f in BASE_ROWS])
@@ -123,12 +128,30 @@ def latest_metrics(spark: SparkSession, root: str, query_name: str) -> DataFrame
 
 def compact(spark: SparkSession, root: str, query_name: str) -> int | None:
     """Write the current state as a new base, so that readers skip the epochs it covers."""
-    if not path_exists(spark, f"{root}/commits"):
-        return None
-    commits = spark.read.schema(COMMIT).parquet(f"{root}/commits").filter(F.col("query_name") == query_name)
+    if not path_exists(spark, _folder(root, "commits", query_name)):
+        return _compacted_upto(spark, root, query_name)
+    commits = _partition(spark, root, "commits", query_name, COMMIT)
     upto = commits.agg(F.max("epoch_id").alias("n")).first()["n"]
-    if upto is None or upto == _compacted_upto(spark, root, query_name):
-        return upto
+    covered = _compacted_upto(spark, root, query_name)
+    if upto is None or (covered is not None and upto <= covered):
+        return covered
     state = latest_metrics(spark, root, query_name).filter(F.col("epoch_id") <= upto)
     state.write.mode("overwrite").parquet(_folder(root, "base", query_name, f"upto={upto}"))
     return upto
+
+
+def drop_covered(spark: SparkSession, root: str, query_name: str) -> int:
+    """Delete the epochs and bases that the newest base covers; returns how many folders went.
+
+    Run it some time after ``compact``, when no reader uses the older files any more.
+    """
+    upto = _compacted_upto(spark, root, query_name)
+    if upto is None:
+        return 0
+    dropped = 0
+    for part, last in (("rows", upto), ("commits", upto), ("base", upto - 1)):
+        pattern, fs = hadoop_path(spark, _folder(root, part, query_name, "*=*"))
+        for status in fs.globStatus(pattern) or []:
+            if int(status.getPath().getName().split("=")[1]) <= last:
+                dropped += bool(fs.delete(status.getPath(), True))
+    return dropped

@@ -90,6 +90,12 @@ def test_compaction_keeps_the_state(spark, tmp_path):
     assert read(spark, root) == [("P1", 3, 2), ("P2", 2, 1), ("P3", 2, 1)]
     assert L.compact(spark, root, "test") == 2 == L.compact(spark, root, "test")
     assert read(spark, root) == [("P1", 3, 2), ("P2", 2, 1), ("P3", 2, 1)]
+    assert L.drop_covered(spark, root, "test") == 7  # three epochs with their commits, one older base
+    assert read(spark, root) == [("P1", 3, 2), ("P2", 2, 1), ("P3", 2, 1)]
+    assert not L.publish_epoch(metrics(spark, 99), 2, "test", root)
+    assert L.publish_epoch(metrics(spark, 4, ("P3",)), 3, "test", root)
+    assert read(spark, root) == [("P1", 3, 2), ("P2", 2, 1), ("P3", 4, 3)]
+    assert L.drop_covered(spark, root, "unknown") == 0
 
 
 def test_reconcile_reports_all_kinds_of_difference(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from basketline.operators import metrics as M
 from basketline.operators.contract import parse_events, valid_events
-from basketline.operators.dedup import conflicting_ids, dedup_exact, require_no_conflicts
+from basketline.operators.dedup import conflicting_ids, dedup_exact, dedup_stored, require_no_conflicts
 from tests.helpers import BASE, brute_metrics, event, metric_dict, random_events, raw_frame
 
 
@@ -112,3 +112,14 @@ def test_ranking_refuses_unknown_measures(spark):
     frame = M.window_metrics(silver(spark, [event()]), users=None)
     with pytest.raises(ValueError):
         M.top_by(frame, "active_users_approx")
+
+
+@pytest.mark.parametrize("copies,bound", [(0, 10), (7, 10), (7, 3)])
+def test_stored_rows_lose_only_later_copies(spark, tmp_path, copies, bound):
+    events = random_events(60)
+    again = [dict(e, price_paise=77) for e in events[:copies]] * 3
+    frame = valid_events(parse_events(raw_frame(spark, events + again)))
+    found = dedup_stored(frame, str(tmp_path / "scratch"), broadcast_ids=bound)
+    assert sorted((r.event_id, r.offset) for r in found.collect()) == [(e["event_id"], n) for n, e in enumerate(events)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert ("row_number" in plan) == (0 < copies <= bound)  # beyond the bound the result is a table
