@@ -35,6 +35,21 @@ HISTORY_EVENT_TYPES = ("view", "cart", "purchase", "remove_from_cart")
 HISTORY_TIME_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2} UTC$"
 MONTH_FORMAT = "%Y-%b"
 
+# Fixed texts of normalised rows.
+CATEGORY_PREFIX = "category:"
+UNKNOWN_CATEGORY = "unknown"
+MISSING_SESSION_PREFIX = "missing-row-"
+REPLAY_RUN_PREFIX = "replay-"
+REAL_SOURCE = "real"
+SYNTHETIC_SOURCE = "synthetic"
+SOURCE_CURRENCY = "SOURCE_UNITS"
+
+# Fixed texts of a month's manifest.
+MONTH_COMPLETE = "complete"
+COVERAGE_OFFICIAL = "Publisher monthly archive"
+COVERAGE_SUPPLIED = "User-supplied file; full-month coverage unverified"
+HISTORY_SCOPE = "Original timestamps; purchase prices in source units; no observed order quantities."
+
 # Fixed reject reasons of the history and replay normalisers.
 REASON_MONTH = "timestamp outside requested month"
 REASON_TYPE = "unsupported event type"

@@ -118,3 +118,9 @@ def category_label(category: Column) -> Column:
     """``a.b_c`` becomes ``A › b c``: first letter upper case, the rest lower case."""
     text = F.replace(F.replace(category, F.lit("."), F.lit(" › ")), F.lit("_"), F.lit(" "))
     return F.concat(F.upper(F.left(text, F.lit(1))), F.lower(F.substring(text, 2, 1_000_000)))
+
+
+def money_label(minor: Column, symbol: str = "") -> Column:
+    """``1,234.50`` from minor units, after a currency symbol if the currency is known; NULL counts as 0."""
+    amount = F.coalesce(minor, F.lit(0)).cast("decimal(38,0)") / F.lit(100).cast("decimal(3,0)")
+    return F.concat(F.lit(symbol), F.format_number(amount.cast("decimal(38,2)"), 2))

@@ -40,8 +40,8 @@ def _record() -> Column:
 def _category() -> Column:
     """Category code, or the id marked as such, or ``category:unknown``."""
     code = empty_to_null(F.col("category_code"))
-    number = F.coalesce(empty_to_null(F.col("category_id")), F.lit("unknown"))
-    return F.coalesce(code, F.concat(F.lit("category:"), number))
+    number = F.coalesce(empty_to_null(F.col("category_id")), F.lit(C.UNKNOWN_CATEGORY))
+    return F.coalesce(code, F.concat(F.lit(C.CATEGORY_PREFIX), number))
 
 
 def _measured(rows: DataFrame) -> DataFrame:
@@ -120,7 +120,7 @@ def route_replay(rows: DataFrame, namespace: str, id_prefix: str) -> DataFrame:
     row = F.col("source_row").cast("string")
     session = strip(F.coalesce("user_session", F.lit("")))
     observed = session != ""
-    missing = F.concat(F.lit("missing-row-"), row)
+    missing = F.concat(F.lit(C.MISSING_SESSION_PREFIX), row)
     rules = [
         (C.REASON_TYPE, F.col("event_type").isin(*C.HISTORY_EVENT_TYPES)),
         (C.REASON_TIME, at.isNotNull()),
@@ -140,9 +140,9 @@ def route_replay(rows: DataFrame, namespace: str, id_prefix: str) -> DataFrame:
         "category": _category(),
         "quantity": F.lit(1).cast("bigint"),
         "price_paise": price,
-        "data_source": F.lit("real"),
+        "data_source": F.lit(C.REAL_SOURCE),
         "source_event_time": iso,
-        "currency": F.lit("SOURCE_UNITS"),
+        "currency": F.lit(C.SOURCE_CURRENCY),
         "session_observed": observed,
         "quantity_observed": F.lit(False),
         "source_row": F.col("source_row"),
@@ -184,7 +184,7 @@ def replay_slice(
     rows = rows.withColumn("event_time", F.lit(stamp))
     if run_id:
         for name in ("event_id", "session_id"):
-            rows = rows.withColumn(name, F.concat(F.lit(f"replay-{run_id}:"), name))
+            rows = rows.withColumn(name, F.concat(F.lit(f"{C.REPLAY_RUN_PREFIX}{run_id}:"), name))
     return rows
 
 

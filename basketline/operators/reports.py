@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketline.functions.columns import category_label, product_label
+from basketline import constants as C
+from basketline.functions.columns import category_label, money_label, product_label
 
 
 def one_row(spark, **sections: DataFrame) -> DataFrame:
@@ -32,8 +33,12 @@ def batch_report(
 
 
 def report_json(report: DataFrame, run_id: str) -> DataFrame:
-    """(run_id, summary): the report as one JSON text, as the report table stores it."""
-    return report.select(F.lit(run_id).alias("run_id"), F.to_json(F.struct("*")).alias("summary"))
+    """(run_id, summary, created_at): the report as one JSON text, as the report table stores it."""
+    return report.select(
+        F.lit(run_id).alias("run_id"),
+        F.to_json(F.struct("*")).alias("summary"),
+        F.current_timestamp().alias("created_at"),
+    )
 
 
 def recent_events(raw: DataFrame, data_source: str | None = None, keep: int = 200, show: int = 10) -> DataFrame:
@@ -41,22 +46,30 @@ def recent_events(raw: DataFrame, data_source: str | None = None, keep: int = 20
     newest = [F.desc("ingested_at"), F.desc("offset"), F.desc("partition")]
     ring = raw.orderBy(*newest).limit(keep)
     if data_source is not None:
-        source = F.coalesce(F.get_json_object("raw_json", "$.data_source"), F.lit("synthetic"))
+        source = F.coalesce(F.get_json_object("raw_json", "$.data_source"), F.lit(C.SYNTHETIC_SOURCE))
         ring = ring.filter(source == data_source)
     return ring.orderBy(*newest).limit(show)
 
 
-def display_labels(df: DataFrame, namespace: str, names: dict[str, str] | None = None) -> DataFrame:
-    """Readable product and category names beside the ids."""
-    return df.withColumn(
-        "product_label", product_label(F.col("product_id"), namespace, names)
-    ).withColumn("category_label", category_label(F.col("category")))
+def display_labels(
+    df: DataFrame, namespace: str, names: dict[str, str] | None = None, money: str | None = None, symbol: str = ""
+) -> DataFrame:
+    """Readable product and category names beside the ids; ``money`` names a column of minor units."""
+    labels = {
+        "product_label": product_label(F.col("product_id"), namespace, names),
+        "category_label": category_label(F.col("category")),
+    }
+    if money:
+        labels["money_label"] = money_label(F.col(money), symbol)
+    return df.withColumns(labels)
 
 
 def reports_of(reports: DataFrame, data_source: str) -> DataFrame:
     """Stored reports of one source; reports from before sources were recorded are synthetic."""
-    source = F.coalesce(F.get_json_object("summary", "$.data_source"), F.lit("synthetic"))
+    source = F.coalesce(F.get_json_object("summary", "$.data_source"), F.lit(C.SYNTHETIC_SOURCE))
     return reports.filter(source == data_source)
 
 
-__all__ = ["batch_report", "display_labels", "one_row", "recent_events", "report_json", "reports_of"]
+def latest_report(reports: DataFrame, data_source: str) -> DataFrame:
+    """The newest stored report of one source."""
+    return reports_of(reports, data_source).orderBy(F.desc("created_at"), F.desc("run_id")).limit(1)

@@ -31,6 +31,7 @@ def build_session(name: str, shuffle_partitions: int | None = None, **conf: str)
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.stopGracefullyOnShutdown": "true",
+        "spark.scheduler.mode": "FAIR",
         **conf,
     }
     if shuffle_partitions:

@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketline.operators.normalize import HISTORY_FIELDS, import_manifest, rejects, route_history
+from basketline import constants as C
+from basketline.operators.normalize import import_manifest, rejects, route_history
 from basketline.session import hadoop_path, path_exists
 from basketline.sources.history import MANIFEST, read_history_csv
 
@@ -76,16 +77,16 @@ def import_month(
         raise RowsLost(f"{counts['source_rows']} rows stored of {last_row}")
     write_rejects(rejects(stored.filter(F.col("outcome") == "rejected")), f"{stage}/rejected")
     _move(spark, f"{stage}/rows/outcome=accepted", f"{stage}/events")
-    coverage = "Publisher monthly archive" if official else "User-supplied file; full-month coverage unverified"
+    coverage = C.COVERAGE_OFFICIAL if official else C.COVERAGE_SUPPLIED
     manifest = spark.createDataFrame(
         [
             {
                 **counts.asDict(),
                 "month": month,
-                "status": "complete",
+                "status": C.MONTH_COMPLETE,
                 "coverage": coverage,
                 "source": source,
-                "scope": "Original timestamps; purchase prices in source units; no observed order quantities.",
+                "scope": C.HISTORY_SCOPE,
             }
         ],
         MANIFEST,
@@ -94,5 +95,3 @@ def import_month(
     _move(spark, stage, final)
     return month_manifest(spark, root, month)
 
-
-__all__ = ["HISTORY_FIELDS", "RowsLost", "import_month", "write_by_date", "write_rejects"]

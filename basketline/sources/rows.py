@@ -2,17 +2,45 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketline.session import hadoop_path
+
+
+BROADCAST_SPLITS = 200_000  # rows of the split table that every task may hold
+LISTED_FILES = 10_000  # files whose sizes are looked up
+
+
+def most_splits(scan: DataFrame) -> float:
+    """Upper bound of the number of input splits, from the sizes of the files."""
+    spark, files = scan.sparkSession, scan.inputFiles()
+    if len(files) > LISTED_FILES:
+        return float("inf")
+    cost = _bytes(spark.conf.get("spark.sql.files.openCostInBytes"))
+    finest = min(cost, _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    size = 0
+    for name in files:
+        path, fs = hadoop_path(spark, name)
+        size += fs.getFileStatus(path).getLen()
+    return size / max(1, finest) + len(files)
+
+
+def _bytes(text: str) -> int:
+    """Bytes of a size setting such as ``134217728b`` or ``128MB``; 1 when it has another form."""
+    match = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", text.strip().lower())
+    return int(match[1]) * 1024 ** " kmgt".index(match[2] or " ") if match else 1
+
 
 def with_source_row(scan: DataFrame, name: str = "source_row") -> DataFrame:
     """Number the rows of a file scan in file order. ``scan`` must come straight from a file reader.
 
     Rows are counted per input split; the number of rows in earlier splits is then added to the
     position inside the split. Only the table of splits (one row per 128 MB or so of input) is put in
-    a global order, and it is joined by whatever strategy its measured size permits. Several files
-    are numbered one after the other in the order of their names.
+    a global order. It is broadcast when the size of the files bounds it, so that the rows themselves
+    are not shuffled. Several files are numbered one after the other in the order of their names.
     """
     located = scan.select(
         "*",
@@ -26,6 +54,8 @@ def with_source_row(scan: DataFrame, name: str = "source_row") -> DataFrame:
     starts = splits.select(
         "_file", "_start", "_first", F.coalesce(F.sum("_rows").over(in_order), F.lit(0)).alias("_before")
     )
+    if most_splits(scan) <= BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
     return (
         located.join(starts, ["_file", "_start"])
         .withColumn(name, (F.col("_before") + F.col("_id") - F.col("_first") + 1).cast("bigint"))

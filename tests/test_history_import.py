@@ -12,6 +12,7 @@ from basketline.operators.reconcile import CountMismatch, count_guard, require_c
 from basketline.plans.customers import read_report, run_customer_report
 from basketline.plans.replay import positioned_replay, prepare_replay
 from basketline.sinks.history import import_month
+from basketline.sources.rows import _bytes, most_splits
 from basketline.sources.history import (
     UnexpectedHeader,
     complete_months,
@@ -104,6 +105,9 @@ def test_row_numbers_follow_the_file_across_splits(spark, tmp_path):
     try:
         frame = read_history_csv(spark, path)
         assert frame.rdd.getNumPartitions() > 1
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert 2 <= most_splits(spark.read.text(path)) < 1000
         found = frame.select("source_row", "user_session").collect()
         assert len(found) == 5000
         assert all(r.user_session == f"s{r.source_row:06d}" for r in found)
@@ -253,3 +257,7 @@ def test_customer_report(spark, tmp_path):
     assert stored["monthly"] == report["monthly"] and json.dumps(stored["definitions"])
     assert run_customer_report(spark, root)["accepted_rows"] == 5  # replaces the document
     assert read_manifests(spark, root).count() == 2
+
+
+def test_size_settings():
+    assert [_bytes(t) for t in ("40000", "134217728b", "128MB", "4m", "odd")] == [40000, 2**27, 2**27, 2**22, 1]

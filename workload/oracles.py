@@ -200,7 +200,7 @@ def _with(*parts: str, select: str) -> str:
 
 ORACLES: dict[str, str] = {
     "scan_events": "SELECT * FROM events",
-    "count_guard_rows": _with(
+    "count_guard": _with(
         select="SELECT count(*) AS expected_rows, count(*) AS actual_rows, true AS matched FROM silver"
     ),
     "prefix_sample": _with(
@@ -367,13 +367,17 @@ ORACLES: dict[str, str] = {
         select="""SELECT product_id, 'home.' || category || '_goods' AS category, count(*) AS events,
           CASE product_id WHEN 'P01' THEN 'Kettle' WHEN 'P02' THEN 'Floor lamp'
             ELSE 'Product ' || replace(product_id, 'real:', '') END AS product_label,
-          'Home › ' || lower(category) || ' goods' AS category_label
+          'Home › ' || lower(category) || ' goods' AS category_label,
+          CAST(sum(CASE WHEN event_type = 'purchase' THEN quantity * price_paise ELSE 0 END) AS BIGINT)
+            AS revenue_paise,
+          '€' || format('{:,}', revenue_paise // 100) || '.' || lpad(CAST(revenue_paise % 100 AS VARCHAR), 2, '0')
+            AS money_label
         FROM mixed GROUP BY ALL"""
     ),
     "upsert_latest_wins": _with(
         TUMBLING, select="SELECT *, 'sales-1m-v1' AS query_name, CAST(1 AS BIGINT) AS epoch_id FROM tumbling"
     ),
-    "reconcile_metrics": _with(
+    "reconcile": _with(
         TUMBLING,
         """
 actual AS (
@@ -553,7 +557,7 @@ funnel AS (
           count(*) FILTER (source_row % 100 = 7) AS conflicting_event_ids
         FROM silver""",
     ),
-    "nearest_rank_price": _with(
+    "nearest_rank": _with(
         """
 ranked AS (
   SELECT event_type, price_paise, row_number() OVER (PARTITION BY event_type ORDER BY price_paise) AS r,

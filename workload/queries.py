@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketline import constants as C
-from basketline.functions.columns import history_timestamp
-from basketline.functions.ranking import nearest_rank
+from basketline.functions import ranking
+from basketline.functions.columns import history_timestamp, purchase_value
 from basketline.operators import contract, customers, dedup, journeys, metrics, normalize, reports, sampling, sketches
-from basketline.operators.reconcile import count_guard, reconcile
+from basketline.operators import reconcile as agreement
 from basketline.plans.replay import positioned_replay
 from basketline.session import pin_runtime, shared_folder
 from basketline.sinks.changelog import committed_only, latest_by_epoch, latest_metrics
@@ -52,10 +52,10 @@ def scan_events(spark, sf):
 
 
 @query
-def count_guard_rows(spark, sf):
+def count_guard(spark, sf):
     events = V.silver(spark, sf)
     manifests = events.groupBy("period").agg(F.count(F.lit(1)).alias("accepted_rows"))
-    return count_guard(events, manifests)
+    return agreement.count_guard(events, manifests)
 
 
 @query
@@ -309,8 +309,11 @@ def display_labels(spark, sf):
     events = V.mixed(spark, sf).withColumn(
         "category", F.concat(F.lit("home."), F.col("category"), F.lit("_goods"))
     )
-    listed = events.groupBy("product_id", "category").agg(F.count(F.lit(1)).alias("events"))
-    return reports.display_labels(listed, V.NAMESPACE, {"P01": "Kettle", "P02": "Floor lamp"})
+    listed = events.groupBy("product_id", "category").agg(
+        F.count(F.lit(1)).alias("events"), F.sum(purchase_value()).alias("revenue_paise")
+    )
+    names = {"P01": "Kettle", "P02": "Floor lamp"}
+    return reports.display_labels(listed, V.NAMESPACE, names, money="revenue_paise", symbol="€")
 
 
 # --- serving ----------------------------------------------------------------------------
@@ -326,7 +329,7 @@ SIDES = {name.split("_")[-1] for name in C.EXACT_MEASURES}
 
 
 @query
-def reconcile_metrics(spark, sf):
+def reconcile(spark, sf):
     expected = V.tumbling(spark, sf)
     product = F.col("product_id")
     actual = expected.filter(product != "P01").withColumns(
@@ -335,7 +338,7 @@ def reconcile_metrics(spark, sf):
             "views": F.when(product == "P02", F.col("views") + 1).otherwise(F.col("views")),
         }
     )
-    found = reconcile(expected, actual)
+    found = agreement.reconcile(expected, actual)
     return found.withColumns({c: F.col(c).cast("double") for c in found.columns if c.split("_")[-1] in SIDES})
 
 
@@ -522,8 +525,8 @@ def batch_report(spark, sf):
 
 
 @query
-def nearest_rank_price(spark, sf):
-    return nearest_rank(V.silver(spark, sf), "event_type", "price_paise", [0.5, 0.95])
+def nearest_rank(spark, sf):
+    return ranking.nearest_rank(V.silver(spark, sf), "event_type", "price_paise", [0.5, 0.95])
 
 
 # --- streams ----------------------------------------------------------------------------
