@@ -20,7 +20,7 @@ def arguments() -> argparse.ArgumentParser:
     stream.add_argument("--topic", default="commerce.events.v1")
     stream.add_argument("--source", help="folder of raw Parquet files")
     stream.add_argument("--max-offsets", type=int, default=10_000)
-    stream.add_argument("--max-files", type=int)
+    stream.add_argument("--max-files", type=int, help="raw files per micro-batch; they must arrive in time order")
     stream.add_argument("--watermark", default="2 minutes")
     stream.add_argument("--trigger", default="5 seconds")
     stream.add_argument("--once", action="store_true", help="process what is there and stop")
@@ -73,7 +73,7 @@ def run_stream(spark, args) -> None:
         raw = read_raw(spark, "kafka", kafka_options(args.bootstrap, args.topic, args.max_offsets))
     else:
         raw = read_raw(spark, "files", {"path": args.source, "max_files_per_trigger": args.max_files})
-    pipeline = Pipeline(args.root, args.checkpoints, args.watermark, args.max_files)
+    pipeline = Pipeline(args.root, args.checkpoints, args.watermark)
     recorder = ProgressRecorder()
     spark.streams.addListener(recorder)
     progress = f"{args.root}/progress"

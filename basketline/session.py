@@ -80,8 +80,8 @@ def through_table(frame, folder: str):
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
-def hadoop_path(spark: SparkSession, path: str):
-    """The Hadoop path and its file system, for exists and rename."""
+def hadoop_path(spark: SparkSession, path):
+    """The Hadoop path of a text or Java URI, and its file system, for exists and rename."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
 

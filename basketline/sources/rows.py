@@ -23,7 +23,7 @@ def most_splits(scan: DataFrame) -> float:
     finest = min(cost, _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
     size = 0
     for name in files:
-        path, fs = hadoop_path(spark, name)
+        path, fs = hadoop_path(spark, spark._jvm.java.net.URI(name))
         size += fs.getFileStatus(path).getLen()
     return size / max(1, finest) + len(files)
 

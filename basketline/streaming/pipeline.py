@@ -24,12 +24,16 @@ from basketline.streaming import queries as Q
 
 @dataclass(frozen=True)
 class Pipeline:
-    """Folders and limits of one deployment of the pipeline."""
+    """Folders and watermark of one deployment of the pipeline.
+
+    Input is capped at the raw source only. The stages in between read whatever their upstream has
+    committed: a cap there would cut one upstream batch into several, of which the first moves the
+    watermark past the others.
+    """
 
     root: str
     checkpoints: str
     watermark: str = "2 minutes"
-    max_files_per_trigger: int | None = None
 
     @property
     def bronze(self) -> str:
@@ -53,7 +57,7 @@ class Pipeline:
     def split(self, spark: SparkSession, trigger: dict) -> list[StreamingQuery]:
         """Quarantine and silver, both from bronze."""
         Q.ensure_folder(spark, self.bronze)
-        parsed = parse_events(stream_files(spark, schemas.RAW, self.bronze, self.max_files_per_trigger))
+        parsed = parse_events(stream_files(spark, schemas.RAW, self.bronze))
         silver = dedup_within_watermark(valid_events(parsed), delay=self.watermark)
         return [
             Q.start_query(
@@ -67,7 +71,7 @@ class Pipeline:
         Q.ensure_folder(spark, self.silver)
         started = []
         for name, size, slide in C.METRIC_WINDOWS:
-            silver = stream_files(spark, schemas.SILVER, self.silver, self.max_files_per_trigger)
+            silver = stream_files(spark, schemas.SILVER, self.silver)
             metrics = window_metrics(silver.withWatermark("event_ts", self.watermark), size, slide)
             started.append(
                 Q.start_query(

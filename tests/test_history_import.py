@@ -99,7 +99,7 @@ def test_month_without_valid_rows_is_refused(spark, tmp_path):
 
 def test_row_numbers_follow_the_file_across_splits(spark, tmp_path):
     rows = [row(session=f"s{n:06d}") for n in range(1, 5001)]
-    path = write_csv(tmp_path / "big.csv", rows)
+    path = write_csv(tmp_path / "big month.csv", rows)
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
     try:
