@@ -47,17 +47,18 @@ def nearest_rank(
 ) -> DataFrame:
     """Nearest-rank percentiles of ``value`` per group: the ceil(n·p)-th smallest, at least the first.
 
-    Equal values are counted together first. Values are then sliced at approximate quantiles of the
-    whole column, which split a group that dominates the data evenly; sums over slices and sums
-    within one slice give exact ranks wherever the cuts happen to fall.
+    Equal values are counted together first. The counted values are then sliced at their approximate
+    quantiles, which split a group that dominates them evenly; sums over slices and sums within one
+    slice give exact ranks wherever the cuts happen to fall.
     """
     keys = [group] if isinstance(group, str) else list(group)
     known = df.filter(F.col(value).isNotNull())
     quantiles = F.percentile_approx(value, [i / slices for i in range(1, slices)], 10_000)
-    cuts = known.agg(F.array_distinct(quantiles).alias("fine")).select(
+    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    # The filter, true for every row, keeps the counts in this branch too: both then share an exchange.
+    cuts = counts.filter("_n > 0").agg(F.array_distinct(quantiles).alias("fine")).select(
         F.struct("fine", F.filter("fine", lambda _, i: i % STEP == STEP - 1).alias("coarse")).alias("cuts")
     )
-    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     sliced = (
         counts.withColumn("_cuts", cuts.scalar())
         .withColumn("_near", _below("_cuts.coarse", value) * STEP)

@@ -41,9 +41,7 @@ def view_to_purchase(df: DataFrame, ts: str = "event_time", pairs: DataFrame | N
     bought before *and* after the first view need more, see ``_purchase_after``.
     """
     pairs = journey_pairs(df, ts) if pairs is None else pairs
-    # Complete keys only, as the joins below demand: with the same filter on every branch the
-    # planner aggregates the milestones once and reuses the exchange.
-    matched = pairs.filter(F.col("last_purchase") >= F.col("first_view")).dropna(subset=PAIR)
+    matched = _complete(pairs).filter(F.col("last_purchase") >= F.col("first_view"))
     settled = matched.filter(F.col("first_purchase") >= F.col("first_view")).select(
         *PAIR, "first_view", "first_purchase"
     )
@@ -53,6 +51,14 @@ def view_to_purchase(df: DataFrame, ts: str = "event_time", pairs: DataFrame | N
     return found.withColumn("seconds_to_purchase", seconds)
 
 
+def _complete(df: DataFrame, *more: str) -> DataFrame:
+    """Rows whose keys are all known, as the joins demand. Said once, and before the joins are planned,
+    the filter is the same on every branch, so that each aggregate is computed once and reused."""
+    for name in (*PAIR, *more):
+        df = df.filter(F.col(name).isNotNull())
+    return df
+
+
 def _purchase_after(pairs: DataFrame, df: DataFrame, ts: str) -> DataFrame:
     """First purchase of each pair that is not before ``first_view``.
 
@@ -60,11 +66,8 @@ def _purchase_after(pairs: DataFrame, df: DataFrame, ts: str) -> DataFrame:
     one row per minute to its join. Minutes after the first view are settled by that; the single
     purchases are only looked up in the minute of the first view, by pair and minute.
     """
-    bought = (
-        df.filter(of_type("purchase") & F.col("session_id").isNotNull())
-        .select(*PAIR, F.col(ts).alias("_bought"))
-        .withColumn("_minute", F.date_trunc("minute", "_bought"))
-    )
+    bought = df.filter(of_type("purchase")).select(*PAIR, F.col(ts).alias("_bought"))
+    bought = _complete(bought.withColumn("_minute", F.date_trunc("minute", "_bought")), "_bought", "_minute")
     minutes = bought.groupBy(*PAIR, "_minute").agg(
         F.min("_bought").alias("_first"), F.max("_bought").alias("_last")
     )
