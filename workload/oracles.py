@@ -575,7 +575,7 @@ ranked AS (
     ),
     "stream_tumbling": _with(TUMBLING, select="SELECT * FROM tumbling"),
     "stream_sliding": _with(SPREAD, SLIDING, select="SELECT * FROM sliding"),
-    "pipeline_health": _with(
+    "stage_health": _with(
         PROGRESS,
         select="""SELECT query_name, CASE query_name
             WHEN 'bronze-v1' THEN 'Save incoming records' WHEN 'silver-v1' THEN 'Validate and remove duplicates'

@@ -574,7 +574,7 @@ def stream_sliding(spark, sf):
 
 
 @query
-def pipeline_health(spark, sf):
+def stage_health(spark, sf):
     reported = V.progress(spark, sf)
     as_of = reported.agg((F.max("updated_at") + F.expr("INTERVAL 20 SECONDS")).alias("at")).scalar()
     return health.pipeline_health(reported, as_of)
