@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketline.llm import jaccard_join
+from basketline.llm import bpe_codes, jaccard_join
 from basketline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +23,9 @@ def query(build):
 def op9_ngram_jaccard(spark, sf_dir):
     """Documents with a Jaccard similarity of 0.9 on three-word shingles."""
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"), shingle=3, num=90, den=100)
+
+
+@query
+def op5_bpe_segment_tree(spark, sf_dir):
+    """Ids and decoded text of every document, as digests."""
+    return bpe_codes.bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
