@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketline.llm import bpe_codes, jaccard_join
+from basketline.llm import bpe_codes, jaccard_join, packing
 from basketline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,9 @@ def op9_ngram_jaccard(spark, sf_dir):
 def op5_bpe_segment_tree(spark, sf_dir):
     """Ids and decoded text of every document, as digests."""
     return bpe_codes.bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op10_bm25_packing(spark, sf_dir):
+    """All documents in sequences of 2048 ids, with lexical neighbours side by side."""
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
