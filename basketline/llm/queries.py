@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketline.llm import bpe_codes, jaccard_join, packing
+from basketline.llm import bpe_codes, jaccard_join, packing, topk
 from basketline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,27 @@ def op5_bpe_segment_tree(spark, sf_dir):
 def op10_bm25_packing(spark, sf_dir):
     """All documents in sequences of 2048 ids, with lexical neighbours side by side."""
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op6_histogram_topk(spark, sf_dir):
+    """The 20 highest integer inner products of every twentieth vector."""
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
+
+
+ORACLES["op6_histogram_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+    WHERE q.vec_id % 20 = 0
+), r AS (
+    SELECT query_id, vec_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
