@@ -353,7 +353,7 @@ class Codec:
             fast = ~slow[np.searchsorted(ends, begin)]
         else:
             fast = slice(None)
-        hashes = X.span_hashes(self.random[codes], begin[fast], to[fast])
+        (hashes,) = X.span_hashes(self.random[codes], begin[fast], to[fast])
         slot = self._find(hashes)
         new = np.flatnonzero(slot < 0)
         if len(new):

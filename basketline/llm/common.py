@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,29 +62,140 @@ def components(edges: DataFrame) -> DataFrame:
         pairs = stored(small.union(least.select("u", F.col("m").alias("v"))).distinct())
 
 
+def tiled(rows: DataFrame, payload: DataFrame, block: int = 512, gathered: int = 2048) -> DataFrame:
+    """Rows (key, id, ...) dealt out so that any two rows of a key meet in some (key, lo, hi).
+
+    A key with more than ``block`` rows is cut into blocks by a hash of its ids, and each block meets
+    each: no task holds more than two blocks of one key. Small keys are gathered in groups of
+    about ``gathered`` rows, named by ``bucket``. ``own`` is the block of a row. The columns of
+    ``payload`` join by id at the end, so they are moved once.
+    """
+    sizes = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    out = rows.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    out = out.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    out = out.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("blocks", "other")
+    out = stored(out)
+    buckets = max(1, out.count() // gathered)
+    return out.withColumn("bucket", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(buckets))).join(payload, "id")
+
+
+def groups_of(found: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the two sides of every (key, lo, hi) in a bucket; the same side twice for one block."""
+    key, lo, hi, own = (found.column(c).to_numpy() for c in ("key", "lo", "hi", "own"))
+    order = np.lexsort((own, hi, lo, key))
+    new = (np.diff(key[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)
+    for group in np.split(order, np.flatnonzero(new) + 1):
+        if lo[group[0]] == hi[group[0]]:
+            yield group, group
+        else:
+            left = own[group] == lo[group[0]]
+            if left.any() and not left.all():
+                yield group[left], group[~left]
+
+
 def linked(
-    keys: DataFrame, verify: Callable[[DataFrame], DataFrame], within: Callable[[DataFrame], DataFrame] | None = None
+    keys: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    signed: Callable[[], DataFrame],
+    may_link: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray],
+    rounds: int = 2,
 ) -> DataFrame:
     """Components over all links that share a key: (id, component) of every id with a link.
 
-    ``keys`` is (key, id); ``verify`` turns candidate pairs (a, b) into those that really link.
-    First every id is held against the leader of each of its keys, which settles a group of near
-    copies in linear work. Then only keys that still hold several components are joined with
-    themselves, and only across components, so no link between different components is lost and
-    no pair inside one is made. ``within`` filters those pairs, given as (a, b), by a cheap bound.
+    ``keys`` is (key, id) without repeats; ``verify`` turns candidate pairs (a, b) into those that
+    link. First every id is held against the leader of each of its keys, then what is not
+    in the leader's component against the next leader: linear work that settles groups of near
+    copies. Keys that still hold several components are then searched whole, in tiles of bounded size
+    inside tasks: ``may_link`` bounds the pairs of two sides of a tile from the signatures that
+    ``signed`` gives per id (as further columns), and only pairs of different components that it
+    leaves are made and verified. So no link between components is lost.
     """
-    members = stored(led(keys.distinct()))
-    first = stored(members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct())
-    edges = stored(verify(first))
-    known = components(edges)
+    members = stored(led(keys))
+    rest, seen, edges = members, None, None
+    for _ in range(rounds):
+        pairs = rest.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+        pairs = stored(pairs.join(seen, ["a", "b"], "left_anti") if seen else pairs)
+        new = stored(verify(pairs))
+        seen, edges = (seen.union(pairs), edges.union(new)) if seen else (pairs, new)
+        known = stored(components(edges))
+        tag = known.select(F.col("id").alias("leader"), F.col("component").alias("leads"))
+        rest = rest.join(known, "id", "left").join(tag, "leader", "left")
+        rest = rest.where(F.coalesce("component", "id") != F.coalesce("leads", "leader")).select("key", "id")
+        rest = stored(led(rest))
     tagged = members.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    open_keys = tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    rest = stored(tagged.join(open_keys.where("lo < hi").select("key"), "key"))
+    several = tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    rest = stored(tagged.join(several.where("lo < hi").select("key"), "key"))
     if rest.isEmpty():
         return known
-    other = rest.select("key", F.col("id").alias("id_b"), F.col("component").alias("component_b"))
-    cross = rest.join(other, "key").where("component < component_b")
-    cross = cross.select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).distinct()
-    cross = cross.join(first, ["a", "b"], "left_anti")
-    more = stored(verify(within(cross) if within else cross))
+
+    def bounded(found: pa.Table) -> pa.Table:
+        ids, component = found.column("id").to_numpy(), found.column("component").to_numpy()
+        a, b = [ids[:0]], [ids[:0]]
+        for left, right in groups_of(found):
+            ok = (component[left][:, None] != component[right][None]) & may_link(found, left, right)
+            x, y = np.nonzero(np.triu(ok) if left is right else ok)
+            a.append(np.minimum(ids[left[x]], ids[right[y]]))
+            b.append(np.maximum(ids[left[x]], ids[right[y]]))
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)}).group_by(["a", "b"]).aggregate([])
+
+    cross = tiled(rest, signed()).groupBy("bucket").applyInArrow(bounded, "a long, b long").distinct()
+    more = stored(verify(stored(cross.join(seen, ["a", "b"], "left_anti"))))
     return components(edges.union(more))
+
+
+def bitmap(codes: np.ndarray) -> bytes:
+    """A bit for each code, in a signature of a power of two of bits, four per code or more."""
+    size = max(64, 1 << (4 * len(codes) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(codes & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def most_in_common(found: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Upper bound of the overlap of any two sets, from bit counts of their ``bits`` and sizes ``n``.
+
+    A bit that only one signature has stands for at least one code that only this set has. Longer
+    signatures are folded to the shortest.
+    """
+    raw, n = found.column("bits"), found.column("n").to_numpy()
+    size = min(len(raw[int(i)].as_py()) for i in {*left.tolist(), *right.tolist()}) // 8
+
+    def folded(at: np.ndarray) -> np.ndarray:
+        return np.stack([np.bitwise_or.reduce(np.frombuffer(raw[i].as_py(), np.uint64).reshape(-1, size), 0) for i in at.tolist()])
+
+    x = folded(left)
+    y = x if left is right else folded(right)
+    own_x, own_y = np.bitwise_count(x).sum(1, dtype=np.int64), np.bitwise_count(y).sum(1, dtype=np.int64)
+    both = np.empty((len(x), len(y)), np.int64)
+    step = max(1, (1 << 19) // (len(y) * size))
+    for i in range(0, len(x), step):
+        both[i : i + step] = np.bitwise_count(x[i : i + step, None] & y[None]).sum(2, dtype=np.int64)
+    return np.minimum(n[left][:, None] - own_x[:, None] + both, n[right][None] - own_y[None] + both)
+
+
+def intersection(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sorted arrays of distinct codes."""
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int(np.count_nonzero(y[at] == x)) if len(x) else 0
+
+
+def sets_link(pairs: DataFrame, own: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose sets (id, n, bits, codes) have a Jaccard similarity of num / den or more."""
+
+    def run(batches):
+        for batch in batches:
+            n = [batch.column(c).to_pylist() for c in ("n_a", "n_b")]
+            keep = []
+            for i, (x, y) in enumerate(zip(*n)):
+                least = -(-(x + y) * num // (num + den))
+                a, b = (batch.column(c)[i].values.to_numpy(zero_copy_only=False).view(np.uint64) for c in ("codes_a", "codes_b"))
+                keep.append(min(x, y) >= least and intersection(a, b) >= least)
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+
+    def side(s: str) -> DataFrame:
+        return own.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("codes").alias(f"codes_{s}"))
+
+    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a long, b long").distinct()

@@ -6,16 +6,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from basketline.llm import textcodes as X
-from basketline.llm.common import document_rows, linked, stored
-
-WORDS = 8  # 64-bit words of a bitmap signature
+from basketline.llm.common import bitmap, document_rows, linked, most_in_common, sets_link, stored
 
 
 @lru_cache(maxsize=16)
@@ -54,13 +50,6 @@ def tile_keys(codes: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def bitmap(codes: np.ndarray) -> np.ndarray:
-    """A bit for each hash, modulo the length of the signature."""
-    bits = np.zeros(64 * WORDS, np.uint8)
-    bits[(codes % X.U(64 * WORDS)).astype(np.int64)] = 1
-    return np.packbits(bits).view(X.U)
-
-
 def _rows(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
     codes, offsets = X.words(texts)
     return X.sets(*X.shingles(codes, offsets, shingle))
@@ -90,7 +79,7 @@ def profiles(documents: DataFrame, shingle: int, num: int, den: int) -> DataFram
 
 
 def signed_sets(documents: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, size, bitmap signature and the sorted set itself."""
+    """id, size, bitmap signature and the sorted set itself."""
 
     def run(batches):
         for big in batches:
@@ -100,37 +89,13 @@ def signed_sets(documents: DataFrame, shingle: int) -> DataFrame:
                     [
                         batch.column("doc_id"),
                         pa.array([len(s) for s in found], pa.int64()),
-                        X.long_list([bitmap(s) for s in found]),
+                        pa.array([bitmap(s) for s in found], pa.binary()),
                         X.long_list(found),
                     ],
                     names=["id", "n", "bits", "codes"],
                 )
 
-    return documents.mapInArrow(run, "id long, n long, bits array<long>, codes array<long>")
-
-
-@F.pandas_udf(T.LongType())
-def common_codes(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Size of the intersection of two sorted arrays of distinct codes."""
-    out = np.empty(len(a), np.int64)
-    for i, (x, y) in enumerate(zip(a, b)):
-        x, y = (x, y) if len(x) <= len(y) else (y, x)
-        x, y = x.view(np.uint64), y.view(np.uint64)
-        at = np.searchsorted(y, x)
-        at[at == len(y)] = 0
-        out[i] = np.count_nonzero(y[at] == x) if len(y) else 0
-    return pd.Series(out)
-
-
-def _bound(num: int, den: int):
-    """Whether the bitmaps leave room for the similarity: a bit that only one has is an own shingle."""
-    own = lambda x, y: sum(F.bit_count(F.col(x)[k].bitwiseAND(F.bitwise_not(F.col(y)[k]))) for k in range(WORDS))
-    most = F.least(F.col("n_a") - own("bits_a", "bits_b"), F.col("n_b") - own("bits_b", "bits_a"))
-    return most * (num + den) >= (F.col("n_a") + F.col("n_b")) * num
-
-
-def _side(frame: DataFrame, side: str, *columns: str) -> DataFrame:
-    return frame.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+    return documents.mapInArrow(run, "id long, n long, bits binary, codes array<long>")
 
 
 def jaccard_classes(documents: DataFrame, shingle: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -152,20 +117,19 @@ def jaccard_classes(documents: DataFrame, shingle: int = 3, num: int = 90, den:
     sets: list[DataFrame] = []
 
     def verify(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        own = stored(signed_sets(texts.join(ids, "doc_id", "left_semi"), shingle))
-        sets.append(own)
-        full = ("n", "bits", "codes")
-        both = pairs.join(_side(own, "b", *full), "b").join(_side(own, "a", *full), "a").where(_bound(num, den))
-        both = both.select("a", "b", "n_a", "n_b", common_codes("codes_a", "codes_b").alias("x"))
-        return both.where(F.col("x") * den >= (F.col("n_a") + F.col("n_b") - F.col("x")) * num).select("a", "b").distinct()
-
-    def within(pairs: DataFrame) -> DataFrame:
-        own = sets[0]
-        both = pairs.join(_side(own, "b", "n", "bits"), "b").join(_side(own, "a", "n", "bits"), "a")
-        return both.where(_bound(num, den)).select("a", "b").distinct()
-
-    found = linked(keys, verify, within)
+        if not sets:  # the first pairs have every document that shares a tile
+            ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+            sets.append(stored(signed_sets(texts.join(ids, "doc_id", "left_semi"), shingle)))
+        return sets_link(pairs, sets[0], num, den)
+
+    def signed() -> DataFrame:
+        return sets[0].select("id", "n", "bits")
+
+    def may_link(found: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        n = found.column("n").to_numpy()
+        return most_in_common(found, left, right) * (num + den) >= (n[left][:, None] + n[right][None]) * num
+
+    found = linked(keys, verify, signed, may_link)
     groups = nodes.join(found, "id", "left").select(*name, F.coalesce("component", "id").alias("component_id"))
     # A doc_id with several rows: all of them get the smallest class that one of them is in.
     out = rows.join(groups, name, "left").select(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketline.llm import bpe_codes, jaccard_join, packing, topk
+from basketline.llm import bpe_codes, jaccard_join, lattice, packing, topk, toxicity
 from basketline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def op9_ngram_jaccard(spark, sf_dir):
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"), shingle=3, num=90, den=100)
 
 
+@query
+def op2_e8_lattice(spark, sf_dir):
+    """Vectors with a cosine of 0.95 or more."""
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 @query
 def op5_bpe_segment_tree(spark, sf_dir):
     """Ids and decoded text of every document, as digests."""
@@ -59,3 +65,34 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+
+ORACLES["op2_e8_lattice"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach(vec_id, other) AS (
+    SELECT a, b FROM link
+    UNION
+    SELECT r.vec_id, l.b FROM reach r JOIN link l ON l.a = r.other
+), least AS (
+    SELECT vec_id, min(other) AS other FROM reach GROUP BY vec_id
+), degree AS (
+    SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a
+)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, least(e.vec_id, coalesce(l.other, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(l.other, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN degree d USING (vec_id) LEFT JOIN least l USING (vec_id)
+"""
+
+
+@query
+def op8_nnpu_toxicity(spark, sf_dir):
+    """A toxicity score for every document, learned outside the held-out fold."""
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

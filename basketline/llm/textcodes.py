@@ -39,13 +39,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _state["pow"], _state["inv"]
 
 
-def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of codes[s:e] for every span; codes are uint64."""
+def span_hashes(codes: np.ndarray, starts: np.ndarray, *ends: np.ndarray) -> list[np.ndarray]:
+    """64-bit hash of codes[s:e] for every span, for each array of ends; codes are uint64."""
     pw, inv = powers(len(codes))
     sums = np.empty(len(codes) + 1, U)
     sums[0] = 0
     np.cumsum(codes * pw[: len(codes)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inv[starts] + (ends - starts).astype(U))
+    before, scale = sums[starts], inv[starts]
+    return [mix((sums[e] - before) * scale + (e - starts).astype(U)) for e in ends]
 
 
 def random_codes(n: int) -> np.ndarray:
@@ -93,11 +94,14 @@ def _cuts(raw: np.ndarray, limit: int) -> list[int]:
     return [*cuts, len(raw)]
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every lower-cased word of a batch, and the n + 1 offsets of its rows into them."""
+def words(texts: pa.Array, beginnings: tuple[int, ...] = ()) -> tuple:
+    """Hash of every lower-cased word of a batch, and the n + 1 offsets of its rows into them.
+
+    With ``beginnings``, the hashes of the first so many bytes of each word stand in between, as a list.
+    """
     raw, offsets = buffers(texts)
     row_starts = np.unique(offsets[:-1][offsets[:-1] < offsets[1:]])
-    hashes, starts = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+    hashes, starts, heads = [np.zeros(0, U)], [np.zeros(0, np.int64)], [[np.zeros(0, U)] for _ in beginnings]
     cuts = _cuts(raw, CHUNK)
     for lo, hi in zip(cuts, cuts[1:]):
         part = raw[lo:hi]
@@ -111,10 +115,15 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         before = own[own > 0] - 1
         last[before] = inside[before]
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
-        hashes.append(span_hashes(byte_codes()[part], s, e))
+        whole, *rest = span_hashes(byte_codes()[part], s, e, *[np.minimum(s + k, e) for k in beginnings])
+        hashes.append(whole)
+        for head, got in zip(heads, rest):
+            head.append(got)
         starts.append(s + lo)
-    starts = np.concatenate(starts)
-    return np.concatenate(hashes), np.searchsorted(starts, offsets)
+    at = np.searchsorted(np.concatenate(starts), offsets)
+    if beginnings:
+        return np.concatenate(hashes), [np.concatenate(h) for h in heads], at
+    return np.concatenate(hashes), at
 
 
 def shingles(codes: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
