@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketline.llm import bpe_codes, jaccard_join, lattice, packing, topk, toxicity
+from basketline.llm import bpe_codes, html_content, jaccard_join, lattice, packing, topk, toxicity
 from basketline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,9 @@ FROM embeddings e LEFT JOIN degree d USING (vec_id) LEFT JOIN least l USING (vec
 def op8_nnpu_toxicity(spark, sf_dir):
     """A toxicity score for every document, learned outside the held-out fold."""
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_tree_model_text(spark, sf_dir):
+    """The main text of every page."""
+    return html_content.main_texts(table(spark, sf_dir, "pages"))
