@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketline.llm import bpe_codes, html_content, jaccard_join, lattice, packing, topk, toxicity
+from basketline.llm import bpe_codes, html_content, jaccard_join, lattice, line_dedup, packing, topk, toxicity
 from basketline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,9 @@ def op8_nnpu_toxicity(spark, sf_dir):
 def op7_tree_model_text(spark, sf_dir):
     """The main text of every page."""
     return html_content.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_fuzzy_lines(spark, sf_dir):
+    """Documents after fuzzy line dedup, as digests."""
+    return line_dedup.line_digests(table(spark, sf_dir, "documents"))
