@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketline.llm import bpe_codes, html_content, jaccard_join, lattice, line_dedup, packing, topk, toxicity
+from basketline.llm import bpe_codes, html_content, jaccard_join, lattice, line_dedup, packing, substring_dedup, topk, toxicity
 from basketline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,9 @@ def op7_tree_model_text(spark, sf_dir):
 def op3_fuzzy_lines(spark, sf_dir):
     """Documents after fuzzy line dedup, as digests."""
     return line_dedup.line_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_paragraph_minhash(spark, sf_dir):
+    """Documents without the passages that earlier ones have, as digests."""
+    return substring_dedup.passage_digests(table(spark, sf_dir, "documents"))

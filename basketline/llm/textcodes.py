@@ -167,3 +167,10 @@ def long_list(parts: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
     flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
+def word_spans(raw: bytes) -> np.ndarray:
+    """Start and end byte of every word of one text."""
+    inside = np.concatenate([[False], ~_SPACE[np.frombuffer(raw, np.uint8)], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges.reshape(-1, 2)
