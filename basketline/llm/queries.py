@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketline.llm import bpe_codes, html_content, jaccard_join, lattice, line_dedup, packing, substring_dedup, topk, toxicity
+from basketline.llm import bpe_codes, edit_counts, html_content, jaccard_join, lattice, line_dedup, packing, substring_dedup, topk, toxicity
 from basketline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,10 @@ def op3_fuzzy_lines(spark, sf_dir):
 def op1_paragraph_minhash(spark, sf_dir):
     """Documents without the passages that earlier ones have, as digests."""
     return substring_dedup.passage_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_edit_aware_counts(spark, sf_dir):
+    """Token counts of every document before and after edits, encoded again only where they touch."""
+    rows = edit_counts.own_edits(table(spark, sf_dir, "documents"))
+    return edit_counts.counted(rows, public_tokenizers.path("byte_bpe_50k.json"))
