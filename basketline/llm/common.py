@@ -21,6 +21,14 @@ def stored(frame: DataFrame) -> DataFrame:
     return through_table(frame, shared_folder(frame.sparkSession))
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """The name, with underscores behind it until no given column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def document_rows(documents: DataFrame) -> DataFrame:
     """doc_id and text alone, whatever other columns the table has; a null text is empty."""
     return documents.select(

@@ -50,7 +50,7 @@ def neighbours() -> np.ndarray:
 def projections(dim: int, tables: int, parts: int, scale: float) -> tuple[np.ndarray, np.ndarray]:
     """Random projections of each table onto ``parts`` times 8 dimensions, and random offsets."""
     rng = np.random.default_rng(SEED)
-    p = rng.normal(size=(tables, dim, parts * 8)) * scale
+    p = rng.normal(size=(tables, dim, parts * 8)) * (scale / np.sqrt(8))  # lengths 1 become about ``scale``
     return p, rng.random((tables, parts * 8))
 
 
@@ -117,7 +117,7 @@ def near_vectors(
     cosine: float = 0.95,
     tables: int = 12,
     parts: int = 2,
-    scale: float = 1.5,
+    scale: float = 1.8,
     probes: int = 6,
     block: int = 512,
 ) -> DataFrame:

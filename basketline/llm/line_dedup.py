@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketline.llm import textcodes as X
-from basketline.llm.common import bitmap, document_rows, intersection, linked, most_in_common, stored
+from basketline.llm.common import bitmap, document_rows, fresh, intersection, linked, most_in_common, stored
 
 SHINGLE = 8  # bytes
 BANDS, ROWS = 10, 4  # a similarity of 0.8 is a candidate with a chance of 0.995, 0.9 with 1 - 3e-5
@@ -150,29 +150,28 @@ def line_classes(documents: DataFrame) -> DataFrame:
 def deduplicated(documents: DataFrame) -> DataFrame:
     """The documents, all columns, with ``text`` less its repeated lines, n_lines and n_removed.
 
-    Lines are alike when they are equal but for white space around them, or when the sets of their
-    8-byte shingles, one from each character on, have a Jaccard similarity of 0.8 or more; classes are their connected
-    components, over all documents, and the first line of each (by doc_id, then position) stays. Blank lines
-    stay where they are. A null text is empty and has no line; a document whose lines all go is left
-    with an empty text. Rows that share a doc_id are one document; rows without doc_id stay as
-    they are. Candidates have one of BANDS bands of ROWS min-hashes in common.
+    Lines are alike when they are equal but for spaces around them, or when the sets of their
+    8-byte shingles, one from each character on, have a Jaccard similarity of 0.8 or more; classes
+    are their connected components, over all documents, and the first line of each (by doc_id, then
+    position) stays. Blank lines stay where they are. A null text is empty and has no line; a document
+    whose lines all go is left with an empty text. Rows that share a doc_id are one document; rows
+    without doc_id stay as they are. Candidates have one of BANDS bands of ROWS min-hashes in common.
+    The added columns get underscores behind their names where the table has those names already.
     """
+    names = documents.columns
+    key, gone = fresh(names, "key"), fresh(names, "removed")
     plain = document_rows(documents)
     removed = lines_of(plain).join(line_classes(plain), ["id", "id2"]).where(F.struct("doc_id", "line_no") != F.col("keep"))
-    removed = removed.groupBy(F.col("doc_id").alias("_doc_id")).agg(F.collect_set("line_no").alias("_removed"))
+    removed = removed.groupBy(F.col("doc_id").alias(key)).agg(F.collect_set("line_no").alias(gone))
     out = documents.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    out = out.join(removed, F.col("doc_id").cast("long") == F.col("_doc_id"), "left").drop("_doc_id")
+    out = out.join(removed, F.col("doc_id").cast("long") == F.col(key), "left")
     lines = F.split("text", "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: lines[i]), "\n"))
     return out.select(
-        *[
-            F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: lines[i]), "\n")).alias(c)
-            if c == "text"
-            else F.col(f"`{c}`")
-            for c in documents.columns
-        ],
-        F.when(F.col("text") == "", 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("n_removed"),
+        *[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in names],
+        F.when(F.col("text") == "", 0).otherwise(F.size(lines)).cast("long").alias(fresh(names, "n_lines")),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(fresh(names, "n_removed")),
     )
 
 

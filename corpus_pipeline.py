@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketline.llm import jaccard_join, line_dedup, packing, substring_dedup, toxicity
-from basketline.llm.common import stored, table
+from basketline.llm.common import fresh, stored, table
 
 
 def _with_text(documents: DataFrame, columns: list[str]) -> DataFrame:
@@ -30,7 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One line of each class of alike lines stays; documents that had only others' lines go."""
     rows = line_dedup.deduplicated(docs)
-    rows = rows.where(~((F.trim("text") == "") & (F.col("n_removed") > 0)))
+    rows = rows.where(~((F.trim("text") == "") & (F.col(fresh(docs.columns, "n_removed")) > 0)))
     return _with_text(rows, docs.columns)
 
 
