@@ -28,7 +28,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the odd base and of its inverse, for positions below n."""
-    if len(_state.get("pow", ())) < n:
+    if len(_state.get("pow", ())) <= n:
         size = max(n, CHUNK + 1)
         out = []
         for base in (ODD, pow(ODD, -1, 1 << 64)):
