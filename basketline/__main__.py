@@ -19,7 +19,7 @@ def arguments() -> argparse.ArgumentParser:
     stream.add_argument("--bootstrap", help="log servers; without them raw Parquet files are read")
     stream.add_argument("--topic", default="commerce.events.v1")
     stream.add_argument("--source", help="folder of raw Parquet files")
-    stream.add_argument("--max-offsets", type=int, default=10_000)
+    stream.add_argument("--max-offsets", type=int, help="log records per micro-batch")
     stream.add_argument("--max-files", type=int, help="raw files per micro-batch; they must arrive in time order")
     stream.add_argument("--watermark", default="2 minutes")
     stream.add_argument("--trigger", default="5 seconds")
@@ -55,7 +55,7 @@ def arguments() -> argparse.ArgumentParser:
     replay.add_argument("--output", required=True)
     replay.add_argument("--namespace", required=True)
     replay.add_argument("--id-prefix", required=True)
-    replay.add_argument("--rows", type=int, default=1_000_000)
+    replay.add_argument("--rows", type=int, help="only the first so many source rows")
 
     fixture = jobs.add_parser("fixture", help="exact report of a file of JSON events")
     fixture.add_argument("--source", required=True)

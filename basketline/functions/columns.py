@@ -37,8 +37,8 @@ def has_zone(text: Column) -> Column:
 
 
 def zoned_timestamp(text: Column) -> Column:
-    """Instant of an ISO text that carries an explicit offset; NULL for anything else."""
-    return F.when(has_zone(text), F.try_to_timestamp(text))
+    """Instant of an ISO text that carries a date and an explicit offset; NULL for anything else."""
+    return F.when(has_zone(text) & text.rlike(r"^\s*[+-]?\d{4,}-\d"), F.try_to_timestamp(text))
 
 
 def history_timestamp(text: Column) -> Column:
@@ -105,7 +105,7 @@ def product_label(product_id: Column, namespace: str, names: dict[str, str] | No
     """Catalogue name, or ``Product <id>`` without the namespace. The catalogue is a small literal map."""
     names = C.PRODUCT_NAMES if names is None else names
     bare = F.when(
-        product_id.startswith(namespace), F.substring(product_id, len(namespace) + 1, 1_000)
+        product_id.startswith(namespace), F.substr(product_id, F.lit(len(namespace) + 1))
     ).otherwise(product_id)
     fallback = F.concat(F.lit("Product "), bare)
     if not names:
@@ -117,7 +117,7 @@ def product_label(product_id: Column, namespace: str, names: dict[str, str] | No
 def category_label(category: Column) -> Column:
     """``a.b_c`` becomes ``A › b c``: first letter upper case, the rest lower case."""
     text = F.replace(F.replace(category, F.lit("."), F.lit(" › ")), F.lit("_"), F.lit(" "))
-    return F.concat(F.upper(F.left(text, F.lit(1))), F.lower(F.substring(text, 2, 1_000_000)))
+    return F.concat(F.upper(F.left(text, F.lit(1))), F.lower(F.substr(text, F.lit(2))))
 
 
 def money_label(minor: Column, symbol: str = "") -> Column:

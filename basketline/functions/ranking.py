@@ -8,6 +8,8 @@ added. Results are exact for every way of slicing that follows the order.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,8 +70,7 @@ def nearest_rank(
     sizes = sliced.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_size"))
     by_slice = Window.partitionBy(*keys).orderBy("_slice")
     sizes = sizes.select(
-        *keys,
-        "_slice",
+        *[F.col(k).alias(f"_of_{k}") for k in [*keys, "_slice"]],
         F.coalesce(F.sum("_size").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(
             "_before"
         ),
@@ -81,7 +82,7 @@ def nearest_rank(
     )
     ranked = (
         sliced.withColumn("_running", running)
-        .join(sizes, [*keys, "_slice"])
+        .join(sizes, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in [*keys, "_slice"]]))
         .withColumn("_upto", F.col("_before") + F.col("_running"))
     )
     rank = F.greatest(F.ceil(F.col("n") * F.col("probability")), F.lit(1))

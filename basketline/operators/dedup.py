@@ -49,8 +49,9 @@ def dedup_stored(
         return df
     if found > broadcast_ids:
         return through_table(dedup_exact(df, key, order_by), f"{folder}/unique_rows")
-    ids = F.broadcast(repeated)
-    return df.join(ids, key, "left_anti").unionByName(dedup_exact(df.join(ids, key, "left_semi"), key, order_by))
+    ids = F.broadcast(repeated.withColumnRenamed(key, "_repeated"))
+    same = F.col(key).eqNullSafe(F.col("_repeated"))  # NULL is a key like any other, as in ``dedup_exact``
+    return df.join(ids, same, "left_anti").unionByName(dedup_exact(df.join(ids, same, "left_semi"), key, order_by))
 
 
 def dedup_within_watermark(

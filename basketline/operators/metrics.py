@@ -103,6 +103,12 @@ def snapshot_totals(df: DataFrame) -> DataFrame:
     )
 
 
+def estimate_in_bound(exact: str, estimate: str, errors: float = 4.0) -> Column:
+    """Whether an estimated count is within so many standard errors of the exact one, or one off."""
+    allowed = F.greatest(F.lit(1.0), F.lit(errors * C.DISTINCT_RSD) * F.col(exact))
+    return F.abs(F.col(estimate) - F.col(exact)) <= allowed
+
+
 def with_estimate_error(df: DataFrame, exact: str, estimate: str, name: str = "observed_error") -> DataFrame:
     """Relative distance of an estimated count from the exact one."""
     return df.withColumn(name, ratio(F.abs(F.col(estimate) - F.col(exact)), F.col(exact)))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +20,15 @@ def reconcile(
 ) -> DataFrame:
     """Rows on which the two tables differ: keys, both sets of fields, and which side lacks the key.
 
-    Both sides have one row per key, so the full outer join has no hot keys. NULLs compare as equal.
+    Both sides have one row per key, so the full outer join has no hot keys. NULLs compare as equal,
+    in keys and in fields.
     """
-    left = expected.select(*keys, F.struct(*fields).alias("_expected"))
-    right = actual.select(*keys, F.struct(*fields).alias("_actual"))
-    both = left.join(right, list(keys), "full_outer")
+    left = expected.select(*[F.col(k).alias(f"_l_{k}") for k in keys], F.struct(*fields).alias("_expected"))
+    right = actual.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.struct(*fields).alias("_actual"))
+    same = reduce(and_, [F.col(f"_l_{k}").eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    both = left.join(right, same, "full_outer").select(
+        *[F.coalesce(f"_l_{k}", f"_r_{k}").alias(k) for k in keys], "_expected", "_actual"
+    )
     status = (
         F.when(F.col("_actual").isNull(), "missing")
         .when(F.col("_expected").isNull(), "unexpected")

@@ -1,7 +1,7 @@
 """Count-Min and Bloom sketches as small tables that aggregate, merge and join like any other.
 
-The hash functions are slices of SHA-256 digests of ``<block>:<key>``: eight of 32 bits per digest, or
-four of 60 bits for sketches too wide for that. A sketch table is never larger than its fixed width
+The hash functions are slices of SHA-256 digests of ``<block>:<key>``, eight of 32 bits per digest, so a
+sketch has at most 2**32 cells in a row. A sketch table is never larger than its fixed width
 and depth, whatever it has seen.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from basketline.functions.hashing import number
 
 BROADCAST_CELLS = 1_000_000  # cells of a sketch that every task may hold
-NARROW_CELLS = 2**24  # up to this width 32-bit numbers spread evenly enough
+DIGITS = 8  # of a hash, in hexadecimal
 
 
 def cms_shape(epsilon: float = 0.01, failure_probability: float = 0.01) -> tuple[int, int]:
@@ -35,8 +35,9 @@ def bloom_shape(capacity: int, false_positive_rate: float = 0.01) -> tuple[int,
 
 def hashed(df: DataFrame, key: str, hashes: int, width: int) -> DataFrame:
     """One row per input row and hash function, with ``seed`` and ``cell`` in [0, width)."""
-    digits = 8 if width <= NARROW_CELLS else 15
-    per_digest = 64 // digits
+    if width > 16**DIGITS:
+        raise ValueError(f"a sketch has at most {16**DIGITS} cells in a row")
+    per_digest = 64 // DIGITS
     blocks = -(-hashes // per_digest)
     digests = F.array(
         *[F.sha2(F.concat(F.lit(f"{b}:"), F.col(key).cast("string")), 256) for b in range(blocks)]
@@ -46,7 +47,7 @@ def hashed(df: DataFrame, key: str, hashes: int, width: int) -> DataFrame:
     return (
         df.withColumn("_digests", digests)
         .withColumn("seed", F.explode(F.sequence(F.lit(0), F.lit(hashes - 1))))
-        .withColumn("cell", F.pmod(number(digest, slot, digits), F.lit(width)))
+        .withColumn("cell", F.pmod(number(digest, slot, DIGITS), F.lit(width)))
         .drop("_digests")
     )
 

@@ -14,7 +14,7 @@ from basketline.plans.customers import replace_text
 from basketline.session import path_exists, scratch_folder, through_table
 from basketline.sources.history import read_months
 
-SCOPE = "First records in time order of the imported months; not a random sample."
+SCOPE = "All records of the imported months, or the first in time order where a limit was asked for."
 DEFINITIONS = {
     "count_min_sketch": "Exact counts choose the compared keys; this is a check, not a bounded-memory tracker.",
     "reservoir": "Uniform sample without replacement over the experiment's records.",
@@ -22,10 +22,11 @@ DEFINITIONS = {
 }
 
 
-def experiment_records(events: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` records in time order, with only the columns the experiment reads."""
+def experiment_records(events: DataFrame, limit: int | None = None) -> DataFrame:
+    """The records, or the first ``limit`` in time order, with only the columns the experiment reads."""
     columns = ["event_time", "source_row", "event_id", "product_id"]
-    return events.select(*columns).orderBy(*columns[:3]).limit(limit)
+    records = events.select(*columns)
+    return records if limit is None else records.orderBy(*columns[:3]).limit(limit)
 
 
 def experiment_sections(records: DataFrame, inserted: int, sample: int) -> dict[str, DataFrame]:
@@ -41,12 +42,12 @@ def experiment_sections(records: DataFrame, inserted: int, sample: int) -> dict[
 
 
 def run_algorithm_report(
-    spark: SparkSession, root: str, limit: int = 100_000, inserted: int = 5000, sample: int = 1000
+    spark: SparkSession, root: str, limit: int | None = None, inserted: int = 5000, sample: int = 1000
 ) -> dict:
     """Run the experiment on imported history and publish its report beside the customer report.
 
-    ``limit``, ``inserted`` and ``sample`` are the size of the experiment and bound everything that
-    is read back.
+    All records take part unless a ``limit`` is asked for; ``inserted`` and ``sample`` bound what is
+    read back.
     """
     records = experiment_records(read_months(spark, root), limit)
     with scratch_folder(spark) as folder:

@@ -19,15 +19,16 @@ def positioned_replay(rows: DataFrame, namespace: str, id_prefix: str) -> DataFr
 
 
 def prepare_replay(
-    spark: SparkSession, source: str, output: str, namespace: str, id_prefix: str, rows: int = 1_000_000
+    spark: SparkSession, source: str, output: str, namespace: str, id_prefix: str, rows: int | None = None
 ) -> Row:
-    """Write the positioned table of the first ``rows`` source rows and return its manifest.
+    """Write the positioned table of all source rows, or the first ``rows``, and return its manifest.
 
     An existing table is kept: a replay in progress must not change under its cursor.
     """
     if path_exists(spark, f"{output}/events/_SUCCESS"):
         raise FileExistsError(f"{output} already holds a prepared replay")
-    picked = source_prefix(read_history_csv(spark, source), rows)
+    source_rows = read_history_csv(spark, source)
+    picked = source_rows if rows is None else source_prefix(source_rows, rows)
     routed = route_replay(picked, namespace, id_prefix)
     table = positioned_replay(picked, namespace, id_prefix)
     table.repartitionByRange("position").write.mode("overwrite").parquet(f"{output}/events")

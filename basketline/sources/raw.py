@@ -12,8 +12,8 @@ from basketline import schemas
 from basketline.sources.rows import with_source_row
 
 
-def kafka_options(bootstrap: str, topic: str, max_offsets_per_trigger: int | None = 10_000) -> dict[str, str]:
-    """Options of the log source: from the start, missing offsets are an error, input is capped."""
+def kafka_options(bootstrap: str, topic: str, max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+    """Options of the log source: from the start, missing offsets are an error, input capped if asked."""
     options = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,

@@ -123,3 +123,19 @@ def test_stored_rows_lose_only_later_copies(spark, tmp_path, copies, bound):
     assert sorted((r.event_id, r.offset) for r in found.collect()) == [(e["event_id"], n) for n, e in enumerate(events)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert ("row_number" in plan) == (0 < copies <= bound)  # beyond the bound the result is a table
+
+
+def test_time_without_date_is_no_instant(spark):
+    from basketline.functions.columns import zoned_timestamp
+
+    rows = spark.createDataFrame([("12:30:00Z",), ("T12:30:00Z",), ("2024-03-01T12:30:00Z",), ("2024-03-01 12:30:00+02:00",)], "t string")
+    found = [r[0] for r in rows.select(zoned_timestamp(F.col("t"))).collect()]
+    assert found[:2] == [None, None] and None not in found[2:]
+
+
+def test_labels_keep_long_names(spark):
+    from basketline.functions.columns import category_label, product_label
+
+    row = spark.createDataFrame([("ns:" + "x" * 5000, "a" * 1_500_000)], "p string, c string")
+    label, category = row.select(F.length(product_label(F.col("p"), "ns:", {})), F.length(category_label(F.col("c")))).first()
+    assert (label, category) == (5008, 1_500_000)

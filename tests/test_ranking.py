@@ -40,3 +40,28 @@ def test_no_window_over_raw_rows_without_a_partition(spark):
     plan = numbered._jdf.queryExecution().optimizedPlan().toString()
     # the only unpartitioned window runs on the slice sizes, above their aggregation
     assert plan.count("row_number()") == 1 and "Aggregate [_slice" in plan
+
+
+def test_null_group_has_percentiles(spark):
+    from basketline.functions.ranking import nearest_rank
+
+    rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 5), (None, 7), (None, None)], "g string, v int")
+    found = {(r.g, r.percentile, r.n) for r in nearest_rank(rows, "g", "v", [0.5]).collect()}
+    assert found == {("a", 1, 2), (None, 5, 2)}
+
+
+def test_null_keys_reconcile(spark):
+    from basketline.operators.reconcile import reconcile
+
+    one = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    assert reconcile(one, one, ["k"], ["v"]).count() == 0
+    other = spark.createDataFrame([(None, 3)], "k string, v int")
+    assert {(r.k, r.status) for r in reconcile(one, other, ["k"], ["v"]).collect()} == {(None, "different"), ("a", "missing")}
+
+
+def test_stored_duplicates_with_null_ids(spark, tmp_path):
+    from basketline.operators.dedup import dedup_stored
+
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 1), ("a", 2), ("b", 1)], "event_id string, o int")
+    both = [dedup_stored(rows, str(tmp_path / str(n)), order_by=["o"], broadcast_ids=n) for n in (0, 10)]
+    assert [sorted((r.event_id or "", r.o) for r in f.collect()) for f in both] == [[("", 1), ("a", 1), ("b", 1)]] * 2

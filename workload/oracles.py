@@ -201,13 +201,14 @@ def _with(*parts: str, select: str) -> str:
 ORACLES: dict[str, str] = {
     "scan_events": "SELECT * FROM events",
     "count_guard": _with(
-        select="SELECT count(*) AS expected_rows, count(*) AS actual_rows, true AS matched FROM silver"
+        select="""SELECT count(*) AS expected_rows, count(*) FILTER (WHERE period <> 'w1') AS actual_rows,
+          count(*) = count(*) FILTER (WHERE period <> 'w1') AS matched FROM silver"""
     ),
     "prefix_sample": _with(
         CSV,
         select="""SELECT kind AS event_type, count(*) AS rows,
           min(happened) AS first_event_time, max(happened) AS last_event_time
-        FROM csv WHERE source_row <= 1000000 GROUP BY kind""",
+        FROM csv WHERE source_row <= 500 GROUP BY kind""",
     ),
     "json_path": _with(
         select="""SELECT CASE WHEN source_row % 2 = 0 THEN 'real' ELSE 'synthetic' END AS data_source, event_type,
@@ -276,7 +277,7 @@ ORACLES: dict[str, str] = {
           '2024-02-01T00:00:00+00:00' AS event_time,
           strftime(happened, '%Y-%m-%dT%H:%M:%S+00:00') AS source_event_time, source_row
         FROM (SELECT *, row_number() OVER (ORDER BY source_row) AS position FROM replay_routed WHERE accepted)
-        WHERE position > 100 AND position <= 1000100""",
+        WHERE position > 100 AND position <= 600""",
     ),
     "union_by_name": _with(
         select="""SELECT event_id, event_type,
@@ -294,6 +295,15 @@ ORACLES: dict[str, str] = {
     ),
     "window_tumbling": _with(TUMBLING, select="SELECT * FROM tumbling"),
     "window_sliding": _with(SPREAD, SLIDING, select="SELECT * FROM sliding"),
+    "approx_users": _with(
+        SPREAD,
+        select="""SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, category, product_id,
+          count(DISTINCT user_id) AS active_users_exact, true AS within_bound FROM spread GROUP BY ALL""",
+    ),
+    "approx_error": _with(
+        select="""SELECT count(DISTINCT user_id) AS active_users_exact, true AS within_bound, true AS close
+        FROM silver"""
+    ),
     "window_exact_users": _with(
         select=f"""SELECT time_bucket(INTERVAL 1 MINUTE, event_ts) AS window_start,
           time_bucket(INTERVAL 1 MINUTE, event_ts) + INTERVAL 1 MINUTE AS window_end, category, product_id,
