@@ -133,6 +133,7 @@ def jaccard_classes(documents: DataFrame, shingle: int = 3, num: int = 90, den:
     groups = nodes.join(found, "id", "left").select(*name, F.coalesce("component", "id").alias("component_id"))
     # A doc_id with several rows: all of them get the smallest class that one of them is in.
     out = rows.join(groups, name, "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+        "doc_id", "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+    )
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
