@@ -46,22 +46,46 @@ def led(keys: DataFrame) -> DataFrame:
     return keys.join(shared.where("leader < last").drop("last"), "key")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _local_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) of one part as (node, smallest node that the part connects it with)."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root.setdefault(up, up)
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            x, y = find(u), find(v)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+    out = [(x, find(x)) for x in root]
+    out = [x for x in out if x[0] != x[1]]
+    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else ((), ()))], names=["u", "v"])
+
+
+def components(edges: DataFrame, part: int = 100_000) -> DataFrame:
     """(id, component) of every node with an edge; edges are (a, b), the component the smallest id.
 
-    Large-star and small-star steps in turn: every step connects neighbours with the smallest one,
-    until all nodes hang on the root of their tree. Each round is a stored table and only a count
-    and a fingerprint reach the driver.
+    Distributed union-find: parts of at most about ``part`` edges are contracted to stars by a task each.
+    While there are several parts, large-star and small-star steps connect neighbours with the
+    smallest node across parts, until every node hangs on a root. Each round is a stored table; only
+    counts reach the driver.
     """
-    pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    pairs, before = stored(pairs), None
+    pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    pairs = stored(pairs.distinct())
     while True:
-        mark = pairs.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if mark == before or not mark["n"]:
-            return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
-                pairs.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-            )
-        before = mark
+        parts = -(-pairs.count() // part)
+        if parts:
+            pairs = stored(pairs.repartition(parts).mapInArrow(_local_roots, "u long, v long"))
+        roots = pairs.select("v").distinct()
+        if parts <= 1 or pairs.join(roots.withColumnRenamed("v", "u"), "u", "left_semi").isEmpty():
+            # One part, or all edges lead to roots and each node has one.
+            if parts <= 1 or pairs.groupBy("u").count().where("count > 1").isEmpty():
+                return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
+                    roots.select(F.col("v").alias("id"), F.col("v").alias("component"))
+                )
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = stored(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())

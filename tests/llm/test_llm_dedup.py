@@ -221,3 +221,17 @@ def test_recall_at_the_threshold():
     (x, px), (y, py) = (lattice.cells(v, 12, 2, 1.8, 6) for v in (a, b))
     met = (x == y) | (px == y[:, :, None]).any(2) | (py == x[:, :, None]).any(2)
     assert met.any(1).mean() > 0.97
+
+
+def test_components_over_many_parts(spark):
+    from basketline.llm.common import components
+
+    rng = random.Random(8)
+    links = [(i, i + 1) for i in range(0, 60)] + [(500, rng.randrange(501, 900)) for _ in range(300)]
+    links += [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(150)]
+    want = roots({x for e in links for x in e}, links)
+    edges = spark.createDataFrame(links, "a long, b long")
+    for part in (1000, 60):
+        got = [tuple(r) for r in components(edges, part).collect()]
+        assert dict(got) == {i: c for i, c in want.items() if (i, i) not in links or list(want.values()).count(c) > 1}
+        assert len(got) == len(dict(got))
