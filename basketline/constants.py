@@ -46,9 +46,9 @@ SOURCE_CURRENCY = "SOURCE_UNITS"
 
 # Fixed texts of a month's manifest.
 MONTH_COMPLETE = "complete"
-COVERAGE_OFFICIAL = "Publisher monthly archive"
-COVERAGE_SUPPLIED = "User-supplied file; full-month coverage unverified"
-HISTORY_SCOPE = "Original timestamps; purchase prices in source units; no observed order quantities."
+COVERAGE_OFFICIAL = "whole month, as published"
+COVERAGE_SUPPLIED = "a given file, not known to be a whole month"
+HISTORY_SCOPE = "Times and prices as in the source; a purchase record counts as one unit."
 
 # Fixed reject reasons of the history and replay normalisers.
 REASON_MONTH = "timestamp outside requested month"
@@ -65,11 +65,11 @@ SALES = "sales-1m-v1"
 TRENDING = "trending-5m-v1"
 
 STAGE_LABELS = {
-    "bronze-v1": "Save incoming records",
-    "silver-v1": "Validate and remove duplicates",
-    "quarantine-v1": "Separate invalid records",
-    "sales-1m-v1": "Calculate minute totals",
-    "trending-5m-v1": "Calculate recent product activity",
+    "bronze-v1": "raw records",
+    "silver-v1": "valid events, once each",
+    "quarantine-v1": "refused records",
+    "sales-1m-v1": "totals by minute",
+    "trending-5m-v1": "activity over five minutes",
 }
 
 # (query name, window size, slide)
@@ -83,16 +83,6 @@ METRIC_KEYS = ("window_start", "window_end", "category", "product_id")
 EXACT_MEASURES = ("events", "purchases", "revenue_paise", "views", "carts")
 APPROX_MEASURE = "active_users_approx"
 
-# --- Fixed display values -------------------------------------------------------------
-PRODUCT_NAMES = {
-    "P001": "Headphones",
-    "P002": "Smartwatch",
-    "P003": "Running shoes",
-    "P004": "Backpack",
-    "P005": "Coffee maker",
-    "P006": "Desk lamp",
-}
-
 # --- Fixed parameters of the estimates ------------------------------------------------
 DISTINCT_RSD = 0.05
 SAMPLE_FRACTIONS = (0.01, 0.05, 0.1, 0.5, 1.0)

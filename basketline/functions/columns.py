@@ -103,7 +103,6 @@ def percent(numerator: Column, denominator: Column) -> Column:
 
 def product_label(product_id: Column, namespace: str, names: dict[str, str] | None = None) -> Column:
     """Catalogue name, or ``Product <id>`` without the namespace. The catalogue is a small literal map."""
-    names = C.PRODUCT_NAMES if names is None else names
     bare = F.when(
         product_id.startswith(namespace), F.substr(product_id, F.lit(len(namespace) + 1))
     ).otherwise(product_id)

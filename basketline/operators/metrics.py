@@ -14,10 +14,6 @@ WINDOW_KEYS = list(C.METRIC_KEYS)
 EXACT_USERS = "active_users_exact"
 
 
-def window_bounds(ts: Column, size: str, slide: str) -> Column:
-    return F.window(ts, size, slide)
-
-
 def _counters() -> list[Column]:
     return [
         F.count("event_id").alias("events"),

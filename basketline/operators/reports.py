@@ -62,14 +62,3 @@ def display_labels(
     if money:
         labels["money_label"] = money_label(F.col(money), symbol)
     return df.withColumns(labels)
-
-
-def reports_of(reports: DataFrame, data_source: str) -> DataFrame:
-    """Stored reports of one source; reports from before sources were recorded are synthetic."""
-    source = F.coalesce(F.get_json_object("summary", "$.data_source"), F.lit(C.SYNTHETIC_SOURCE))
-    return reports.filter(source == data_source)
-
-
-def latest_report(reports: DataFrame, data_source: str) -> DataFrame:
-    """The newest stored report of one source."""
-    return reports_of(reports, data_source).orderBy(F.desc("created_at"), F.desc("run_id")).limit(1)

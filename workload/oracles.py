@@ -588,9 +588,9 @@ ranked AS (
     "stage_health": _with(
         PROGRESS,
         select="""SELECT query_name, CASE query_name
-            WHEN 'bronze-v1' THEN 'Save incoming records' WHEN 'silver-v1' THEN 'Validate and remove duplicates'
-            WHEN 'quarantine-v1' THEN 'Separate invalid records' WHEN 'sales-1m-v1' THEN 'Calculate minute totals'
-            ELSE 'Calculate recent product activity' END AS step,
+            WHEN 'bronze-v1' THEN 'raw records' WHEN 'silver-v1' THEN 'valid events, once each'
+            WHEN 'quarantine-v1' THEN 'refused records' WHEN 'sales-1m-v1' THEN 'totals by minute'
+            ELSE 'activity over five minutes' END AS step,
           CASE WHEN age < 30 THEN 'Recent progress' ELSE 'Idle or needs checking' END AS state,
           CAST(round(age) AS BIGINT) AS seconds_since_update
         FROM (SELECT *, (epoch_us((SELECT max(updated_at) FROM newest)) + 20000000 - epoch_us(updated_at)) / 1e6
