@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketline import constants as C
@@ -79,18 +81,18 @@ def window_metrics(
     return _flat(pieces)
 
 
-def snapshot_totals(df: DataFrame) -> DataFrame:
-    """Events, purchases, revenue, exact and estimated users in one row. Batch only.
+def snapshot_totals(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Events, purchases, revenue, exact and estimated users: one row, or one for each value of ``by``. Batch only.
 
     Rows are added up per user first: the exact count is then a plain count, and the estimate sees
     every user once, which gives the same registers as seeing every event.
     """
-    per_user = df.groupBy("user_id").agg(
+    per_user = df.groupBy(*by, "user_id").agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if(of_type("purchase")).alias("purchases"),
         F.sum(purchase_value()).alias("revenue_paise"),
     )
-    return per_user.agg(
+    return per_user.groupBy(*by).agg(
         total("events").alias("events"),
         total("purchases").alias("purchases"),
         total("revenue_paise").alias("revenue_paise"),
@@ -170,8 +172,25 @@ def top_by(metrics: DataFrame, metric: str = "views", grain: str = "product_id",
     )
 
 
-def trending(sliding: DataFrame, k: int = 10) -> DataFrame:
-    """The k products with most views in the newest sliding window."""
+def top_by_each(
+    metrics: DataFrame, names: Sequence[str], grain: str = "product_id", k: int = 10
+) -> DataFrame:
+    """(metric, key, value) of the k largest totals of each metric, in one pass; the key breaks ties."""
+    totals = metrics.groupBy(F.col(grain).alias("key")).agg(*[F.sum(n).alias(n) for n in names])
+    pairs = ", ".join(f"'{n}', {n}" for n in names)
+    long = totals.selectExpr("key", f"stack({len(names)}, {pairs}) AS (metric, value)")
+    order = Window.partitionBy("metric").orderBy(F.desc("value"), "key")
+    ranked = long.withColumn("_rank", F.row_number().over(order))
+    return ranked.filter(F.col("_rank") <= k).select("metric", "key", "value")
+
+
+def trending(sliding: DataFrame, k: int = 10, namespace: str | None = None, real: bool = False) -> DataFrame:
+    """The k products with most views in the newest sliding window, of one source if its namespace is given.
+
+    The newest window is that of the source, so a source that has paused still shows its last one.
+    """
+    if namespace is not None:
+        sliding = from_source(sliding, namespace, real)
     newest = sliding.agg(F.max("window_start").alias("at")).scalar()
     return (
         sliding.filter(F.col("window_start") == newest)

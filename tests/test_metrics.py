@@ -139,3 +139,15 @@ def test_labels_keep_long_names(spark):
     row = spark.createDataFrame([("ns:" + "x" * 5000, "a" * 1_500_000)], "p string, c string")
     label, category = row.select(F.length(product_label(F.col("p"), "ns:", {})), F.length(category_label(F.col("c")))).first()
     assert (label, category) == (5008, 1_500_000)
+
+
+def test_trending_of_a_paused_source(spark):
+    from basketline.operators.metrics import trending
+
+    rows = "window_start timestamp, window_end timestamp, category string, product_id string, views long, purchases long"
+    at = lambda m: __import__("datetime").datetime(2024, 1, 1, 0, m)
+    table = spark.createDataFrame(
+        [(at(1), at(6), "c", "real:a", 3, 0), (at(5), at(10), "c", "b", 9, 1), (at(1), at(6), "c", "b", 8, 1)], rows
+    )
+    assert [r.product_id for r in trending(table).collect()] == ["b"]
+    assert [(r.product_id, r.views) for r in trending(table, namespace="real:", real=True).collect()] == [("real:a", 3)]

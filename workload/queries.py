@@ -256,14 +256,9 @@ def window_rollup(spark, sf):
 
 @query
 def source_isolation(spark, sf):
-    events = V.mixed(spark, sf)
-    parts = [
-        metrics.snapshot_totals(metrics.from_source(events, V.NAMESPACE, real))
-        .drop("active_users_approx")
-        .withColumn("data_source", F.lit("real" if real else "synthetic"))
-        for real in (True, False)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    real = F.col("product_id").startswith(V.NAMESPACE)
+    events = V.mixed(spark, sf).withColumn("data_source", F.when(real, "real").otherwise("synthetic"))
+    return metrics.snapshot_totals(events, ["data_source"]).drop("active_users_approx")
 
 
 @query
@@ -290,16 +285,10 @@ def avg_purchase_value(spark, sf):
 
 @query
 def top_by_metric(spark, sf):
-    rows = V.tumbling(spark, sf)
+    rows, names = V.tumbling(spark, sf), ("views", "carts", "purchases", "revenue_paise")
     parts = [
-        metrics.top_by(rows, metric, grain).select(
-            F.lit(grain).alias("grain"),
-            F.lit(metric).alias("metric"),
-            F.col(grain).alias("key"),
-            F.col(metric).alias("value"),
-        )
+        metrics.top_by_each(rows, names, grain).select(F.lit(grain).alias("grain"), "metric", "key", "value")
         for grain in ("product_id", "category")
-        for metric in ("views", "carts", "purchases", "revenue_paise")
     ]
     return reduce(DataFrame.unionByName, parts)
 
