@@ -26,7 +26,7 @@ SAFE = [range(0x0000, 0x0300), range(0x0370, 0x0483), range(0x2010, 0x2040)]
 TABLE = 0x2041
 LETTER, NUMBER, OTHER, SPACE, BORDER, UNSAFE = range(6)
 PIECE = 1 << 20  # characters that are cut at once; longer texts are split where white space begins
-REMEMBERED = 2_000_000  # pre-tokens a worker remembers before it starts anew
+REMEMBERED = 1_000_000  # pre-tokens a worker remembers before it starts anew
 
 
 class SegmentTreeBPE:
@@ -188,10 +188,10 @@ class Codec:
         return out
 
     def _put(self, hashes: np.ndarray, slots: np.ndarray) -> None:
-        if 4 * (self.n + len(hashes)) > len(self.keys):
+        if 2 * (self.n + len(hashes)) > len(self.keys):
             used = np.flatnonzero(self.keys)
             hashes, slots = np.concatenate([self.keys[used], hashes]), np.concatenate([self.slot[used], slots])
-            size = 1 << (8 * len(hashes)).bit_length()
+            size = 1 << (2 * len(hashes)).bit_length()
             self.keys, self.slot = np.zeros(size, X.U), np.zeros(size, np.int32)
         mask = len(self.keys) - 1
         at = (hashes & X.U(mask)).astype(np.int64)
