@@ -65,13 +65,15 @@ def conflicting_ids(valid_events: DataFrame) -> DataFrame:
     """Ids with more than one distinct payload, and how many. Batch only.
 
     The payload is every contract field but the event time text, plus the instant it stands for:
-    equal instants written with different offsets are the same payload. Copies collapse in the
-    map-side half of the distinct count.
+    equal instants written with different offsets are the same payload. Ids seen once cannot differ,
+    so they are put aside by a count of ids alone, and only the rest is fingerprinted.
     """
+    repeated = valid_events.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("event_id")
     fields = [F.col(f.name) for f in schemas.EVENT.fields if f.name != "event_time"]
     fingerprint = payload_fingerprint(*fields, F.col("event_ts"))
     return (
-        valid_events.select("event_id", fingerprint.alias("payload"))
+        valid_events.join(repeated, "event_id", "left_semi")
+        .select("event_id", fingerprint.alias("payload"))
         .groupBy("event_id")
         .agg(F.count_distinct("payload").alias("payload_variants"))
         .filter("payload_variants > 1")
