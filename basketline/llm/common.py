@@ -94,7 +94,7 @@ def components(edges: DataFrame, part: int = 100_000) -> DataFrame:
         pairs = stored(small.union(least.select("u", F.col("m").alias("v"))).distinct())
 
 
-def tiled(rows: DataFrame, payload: DataFrame, block: int = 512, gathered: int = 2048) -> DataFrame:
+def tiled(rows: DataFrame, payload: DataFrame, block: int = 2048, gathered: int = 2048) -> DataFrame:
     """Rows (key, id, ...) dealt out so that any two rows of a key meet in some (key, lo, hi).
 
     A key with more than ``block`` rows is cut into blocks by a hash of its ids, and each block meets
