@@ -32,10 +32,10 @@ def published(spark, pipeline, name):
 
 
 def test_log_options_and_projection(spark):
-    options = R.kafka_options("host:1", "topic")
+    options = R.kafka_options("host:1", "topic", 500)
     assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "true"
-    assert options["maxOffsetsPerTrigger"] == "10000"
-    assert "maxOffsetsPerTrigger" not in R.kafka_options("host:1", "topic", None)
+    assert options["maxOffsetsPerTrigger"] == "500"
+    assert "maxOffsetsPerTrigger" not in R.kafka_options("host:1", "topic")
     log = spark.createDataFrame(
         [(bytearray(b"{}"), "t", 1, 5, BASE)], "value binary, topic string, partition int, offset bigint, timestamp timestamp"
     )
