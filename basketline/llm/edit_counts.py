@@ -224,7 +224,7 @@ def edited_counts(documents: DataFrame, edits: DataFrame, tokenizer: str) -> Dat
 
 
 def counted(rows: DataFrame, tokenizer: str) -> DataFrame:
-    """As ``edited_counts``, for rows (doc_id, text, edits) that have their edits in order."""
+    """As ``edited_counts``, for rows (doc_id, text, edits) that have their edits in order; nulls are 0 or empty here too."""
 
     def run(batches):
         counts = PieceCounts(codec(tokenizer))
@@ -235,7 +235,7 @@ def counted(rows: DataFrame, tokenizer: str) -> DataFrame:
                     tree = TokenTree(text, counts)
                     before, read = tree.n_tokens, tree.encoded
                     for e in edits or []:
-                        tree.edit(e["start"], e["length"], e["insert"])
+                        tree.edit(e["start"] or 0, e["length"] or 0, e["insert"] or "")
                     out.append((doc, before, len(edits or []), tree.n_tokens, tree.n_chars, tree.encoded - read))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=_NAMES)
 
@@ -249,16 +249,18 @@ def own_edits(documents: DataFrame) -> DataFrame:
     """doc_id, text and four edits of each document made from its own text.
 
     The word-like stretch in the middle goes, a piece from the first third is put in at two thirds, the
-    beginning is replaced, and a stretch of white space and digits is appended.
+    beginning is replaced, and a stretch of white space and digits is appended. A null doc_id makes the
+    edits of doc_id 0.
     """
     n = F.length("text")
+    own = F.coalesce("doc_id", F.lit(0))
     third = F.floor(n / 3).cast("long")
     edit = lambda seq, start, length, insert: F.struct(
         F.lit(seq).cast("long").alias("seq"), start.cast("long").alias("start"), length.cast("long").alias("length"), insert.alias("insert")
     )
     edits = F.array(
-        edit(1, F.floor(n / 2), F.pmod(F.col("doc_id"), F.lit(17)) + 1, F.lit("")),
-        edit(2, third * 2, F.lit(0), F.substr("text", third + 1, F.pmod(F.col("doc_id"), F.lit(40)) + 5)),
+        edit(1, F.floor(n / 2), F.pmod(own, F.lit(17)) + 1, F.lit("")),
+        edit(2, third * 2, F.lit(0), F.substr("text", third + 1, F.pmod(own, F.lit(40)) + 5)),
         edit(3, F.lit(0), F.lit(3), F.concat(F.lit("Re: "), F.substr("text", F.lit(1), F.lit(2)))),
         edit(4, n * 2, F.lit(0), F.lit("  \n 2024 end")),
     )
