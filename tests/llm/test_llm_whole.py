@@ -1,8 +1,23 @@
 """Rows and neighbours that a shorter job would leave out."""
 
+import random
+
+from basketline.llm import substring_dedup
 from basketline.llm.queries import QUERIES
 
 
+def prose(rng, n):
+    return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+
+def documents(spark, texts):
+    return spark.createDataFrame([(i, " ".join(t)) for i, t in texts], "doc_id long, text string")
+
+
+def removed(spark, texts):
+    return {r.doc_id: r.n_removed for r in substring_dedup.deduplicated(documents(spark, texts)).collect()}
+
+
 def test_registered_edit_counts_with_a_null_id(spark, tmp_path):
     text = "some words and 12 numbers in the middle of a short text"
     rows = [(None, text), (0, text), (5, None), (7, "")]
@@ -11,3 +26,23 @@ def test_registered_edit_counts_with_a_null_id(spark, tmp_path):
     assert set(got) == {None, 0, 5, 7} and all(r.n_edits == 4 for r in got.values())
     assert got[None][1:] == got[0][1:]
     assert got[5][1:] == got[7][1:]
+
+
+def test_passages_behind_an_earlier_partial_copy(spark):
+    rng = random.Random(5)
+    texts, want = [], {}
+    for case in range(40):
+        size = rng.randrange(50, 75)
+        passage = prose(rng, size)
+        part = rng.randrange(25, 50)
+        cut = passage[:part] if case % 2 else passage[-part:]
+        for k, held in enumerate((cut, passage, passage)):
+            texts.append((3 * case + k, [*prose(rng, 30), *held, *prose(rng, 30)]))
+            want[3 * case + k] = size if k == 2 else 0
+    # An earlier copy of 60 words settles the bands of both later ones, which share 80.
+    for case in range(40, 60):
+        passage = prose(rng, 80)
+        for k, held in enumerate((passage[:60], passage, passage)):
+            texts.append((3 * case + k, [*prose(rng, 30), *held, *prose(rng, 30)]))
+            want[3 * case + k] = (0, 60, 80)[k]
+    assert removed(spark, texts) == want
