@@ -14,6 +14,10 @@ def documents(spark, texts):
     return spark.createDataFrame([(i, " ".join(t)) for i, t in texts], "doc_id long, text string")
 
 
+def shingles(words):
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
 def removed(spark, texts):
     return {r.doc_id: r.n_removed for r in substring_dedup.deduplicated(documents(spark, texts)).collect()}
 
@@ -46,3 +50,24 @@ def test_passages_behind_an_earlier_partial_copy(spark):
             texts.append((3 * case + k, [*prose(rng, 30), *held, *prose(rng, 30)]))
             want[3 * case + k] = (0, 60, 80)[k]
     assert removed(spark, texts) == want
+
+
+def test_passages_with_one_edit(spark):
+    rng = random.Random(6)
+    texts, want = [], {}
+    for case in range(120):
+        size = rng.choice([51, 55, 60, 70, 98])
+        passage = prose(rng, size)
+        at = size // 2
+        near = [[*passage[:at], "new", *passage[at:]], [*passage[:at], *passage[at + 1 :]], [*passage[:at], "new", *passage[at + 1 :]]][case % 3]
+        a, b = shingles(passage), shingles(near)
+        assert len(a & b) >= 0.8 * len(a | b)
+        for k, held in enumerate((passage, near)):
+            texts.append((2 * case + k, [*prose(rng, 30), *held, *prose(rng, 30)]))
+            want[2 * case + k] = len(near) if k else 0
+    # Two inserted words in one passage, and an insertion within one text.
+    passage = prose(rng, 120)
+    near = [*passage[:40], "x", *passage[40:80], "y", *passage[80:]]
+    texts += [(900, passage), (901, near), (902, [*(own := prose(rng, 60)), *prose(rng, 20), *own[:30], "z", *own[30:]])]
+    want |= {900: 0, 901: 122, 902: 61}
+    assert removed(spark, texts) == want
