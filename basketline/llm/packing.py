@@ -1,4 +1,4 @@
-"""Packing of documents into windows by lexical retrieval from sharded BM25 indexes."""
+"""Packing of documents into windows by lexical retrieval from BM25 indexes, sharded by content."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from basketline.llm.bpe import codec
 from basketline.llm.common import document_rows
 
 BUCKETS = 1 << 18  # hashed vocabulary of the index: its statistics have a fixed size
-QUERY_TERMS = 12  # rarest terms of a seed that are looked up
+COMMON = 16  # terms that one in so many documents of a shard has are held as rows of weights
 END = 1  # id that ends a document
 K1, B = 1.2, 0.75
 
@@ -25,7 +26,7 @@ def terms_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def statistics(rows: DataFrame) -> tuple[np.ndarray, float, int]:
-    """Inverse document frequency of every hashed term, mean length in words, and all bytes.
+    """Inverse document frequency of every hashed term (below 0 for those of one document), mean length in words, and all bytes.
 
     Every task counts its own documents first; the driver gets one row per bucket of the
     hashed vocabulary, however large the table is.
@@ -57,7 +58,8 @@ def statistics(rows: DataFrame) -> tuple[np.ndarray, float, int]:
     df[got["term"].to_numpy()] = got["n"].to_numpy()
     words, n, size = df[BUCKETS:]
     df, n = df[:BUCKETS], max(1.0, n)
-    return np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32), max(1.0, words / n), int(size)
+    idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
+    return np.where(df == 1, -idf, idf), max(1.0, words / n), int(size)
 
 
 class Index:
@@ -77,25 +79,26 @@ class Index:
         self.distinct, self.begin, self.df = np.unique(flat[order], return_index=True, return_counts=True)
         weight = idf[flat] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[docs] / mean))
         self.weight = weight[order]
+        common = np.flatnonzero(self.df * COMMON > len(terms))
+        self.row = np.full(len(self.distinct), -1)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), len(terms)), np.float32)
+        for row, (a, n) in enumerate(zip(self.begin[common].tolist(), self.df[common].tolist())):
+            self.rows[row, self.docs[a : a + n]] = self.weight[a : a + n]
         self.free = np.ones(len(terms), bool)
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents that share a rare term with the seed, best first; ties by position."""
-        terms = self.terms[seed]
-        at = np.searchsorted(self.distinct, terms)
-        at = at[self.df[at] > 1]
-        if len(at) > QUERY_TERMS:
-            best = np.lexsort((self.distinct[at], -self.idf[self.distinct[at]]))[:QUERY_TERMS]
-            at = at[best]
-        if not len(at):
-            return at
+    def neighbours(self, seed: int, most: int | None = None) -> np.ndarray:
+        """Unused documents that share a term with the seed, scored by all its terms, best first; ties by position."""
+        at = np.searchsorted(self.distinct, self.terms[seed])
+        score = self.rows[self.row[at[self.row[at] >= 0]]].sum(0, dtype=np.float64)
+        at = at[self.row[at] < 0]
         size = self.df[at]
         where = np.repeat(self.begin[at] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        docs, back = np.unique(self.docs[where], return_inverse=True)
-        score = np.bincount(back, self.weight[where])
-        keep = self.free[docs]
-        docs, score = docs[keep], score[keep]
-        return docs[np.lexsort((docs, -score))]
+        score += np.bincount(self.docs[where], self.weight[where], minlength=len(score))
+        docs = np.flatnonzero((score > 0) & self.free)
+        if most and len(docs) > most:
+            docs = docs[score[docs] >= np.partition(score[docs], -most)[-most]]
+        return docs[np.lexsort((docs, -score[docs]))][:most]
 
 
 def windows(lengths: np.ndarray, index: Index, window: int) -> list[tuple[int, int, int, int, int]]:
@@ -104,7 +107,7 @@ def windows(lengths: np.ndarray, index: Index, window: int) -> list[tuple[int, i
     The seed is the document that the last window cut, or else the longest unused one; its unused
     neighbours follow in the order of their scores, then the next seed, until the window is full.
     """
-    out = []
+    out = []  # a window has ``window`` documents at most, so no more neighbours are asked for
     seeds = iter(np.lexsort((np.arange(len(lengths)), -lengths)).tolist())
     at = sequence = 0
     queue: list[int] = []
@@ -121,7 +124,7 @@ def windows(lengths: np.ndarray, index: Index, window: int) -> list[tuple[int, i
             left -= 1
             start = 0
             if not queue:
-                queue = index.neighbours(doc).tolist()
+                queue = index.neighbours(doc, window).tolist()
         take = min(int(lengths[doc]) - start, window - at)
         out.append((doc, start, take, sequence, at))
         start += take
@@ -131,27 +134,75 @@ def windows(lengths: np.ndarray, index: Index, window: int) -> list[tuple[int, i
         if at == window:
             sequence, at = sequence + 1, 0
             # A new window: neighbours of the document that goes on in it, or of a new seed.
-            queue = index.neighbours(doc).tolist() if doc >= 0 else []
+            queue = index.neighbours(doc, window).tolist() if doc >= 0 else []
     return out
 
 
+def routed(rows: DataFrame, idf: Broadcast) -> DataFrame:
+    """The rows with the size of their text and ``route``, a term that speaks for their content.
+
+    It is a min-hash over the terms that other documents have too, weighted by the square of idf: two
+    documents have the same one with a chance of their weighted Jaccard similarity, copies always.
+    """
+
+    def run(batches):
+        codes = X.random_codes(BUCKETS)
+        draw = -np.log((codes >> X.U(11)).astype(float) / (1 << 53) + 2.0**-54) / np.square(np.maximum(idf.value, 1e-6).astype(float))
+        for big in batches:
+            for batch in X.slices(big, "text"):
+                words, at = X.words(batch.column("text"))
+                terms = (words & X.U(BUCKETS - 1)).astype(np.int64)
+                route = [int(terms[a + draw[terms[a:b]].argmin()]) if b > a else BUCKETS for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+                size = np.diff(X.buffers(batch.column("text"))[1])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(route, pa.int32()), pa.array(size)], names=[*batch.schema.names, "route", "size"])
+
+    return rows.mapInArrow(run, "doc_id long, text string, row long, route int, size long")
+
+
+def shard_table(routes: DataFrame, shard_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """First shard of every route and how many it has: small routes share one, larger ones have several of bounded size."""
+    got = routes.groupBy("route").agg(F.sum("size").alias("size")).toPandas()
+    size = np.zeros(BUCKETS + 1, np.int64)
+    size[got["route"].to_numpy()] = got["size"].to_numpy()
+    n = np.maximum(1, -(-size // shard_bytes))
+    small = n == 1
+    first = np.cumsum(np.where(small, size, 0)) // shard_bytes
+    first[~small] = first.max() + 1 + np.cumsum(n[~small]) - n[~small]
+    return first, n
+
+
 def packed(documents: DataFrame, tokenizer: str, window: int = 2048, shard_bytes: int = 4 << 20) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every document, closed by id 1, is cut into pieces that fill windows of ``window`` ids. Documents
-    are dealt by hash over shards of about ``shard_bytes`` of text, so no source or language is in one
-    task; a shard is an inverted index in one task, weighted by document frequencies of the
+    are dealt by content (``routed``) over shards of about ``shard_bytes`` of text, so that lexical neighbours meet;
+    those of a route with more text are dealt over several shards by hash, so no group is in one task. A shard is an inverted index in one task, weighted by document frequencies of the
     whole table. A window holds the seed and its best unused BM25 neighbours; only the last
     window of a shard may have padding. Null and empty texts are one closing id. Each row is packed,
     repeated rows and rows with a null doc_id too. A document longer than a shard makes it longer.
     """
     rows = document_rows(documents)
     idf, mean, size = statistics(rows)
-    shards = max(1, -(-size // shard_bytes))
-    shared_idf = documents.sparkSession.sparkContext.broadcast(idf)  # BUCKETS floats, whatever the table
-    # Equal rows would meet in one shard: a row number within its task tells them apart.
-    row = F.monotonically_increasing_id()
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", row), F.lit(shards)))
+    spread = documents.sparkSession.sparkContext.broadcast
+    shared_idf = spread(np.abs(idf))  # BUCKETS floats, whatever the table
+    # Equal rows of a large route would meet in one shard: a row number within its task tells them apart.
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    routes = routed(rows, spread(idf))
+    if size > shard_bytes:
+        table = spread(np.stack(shard_table(routes, shard_bytes)))
+
+    def dealing(batches):
+        for batch in batches:
+            route, salt = (batch.column(c).to_numpy() for c in ("route", "salt"))
+            first, n = table.value
+            shard = pa.array(first[route] + salt % n[route])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), shard], names=["doc_id", "text", "shard"])
+
+    if size > shard_bytes:
+        salted = routes.select("doc_id", "text", "route", F.xxhash64("doc_id", "row").alias("salt"))
+        dealt = salted.mapInArrow(dealing, "doc_id long, text string, shard long")
+    else:
+        dealt = rows.select("doc_id", "text", F.lit(0).cast("long").alias("shard"))
 
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()

@@ -2,7 +2,10 @@
 
 import random
 
-from basketline.llm import substring_dedup
+import numpy as np
+import public_tokenizers
+
+from basketline.llm import packing, substring_dedup
 from basketline.llm.queries import QUERIES
 
 
@@ -71,3 +74,26 @@ def test_passages_with_one_edit(spark):
     texts += [(900, passage), (901, near), (902, [*(own := prose(rng, 60)), *prose(rng, 20), *own[:30], "z", *own[30:]])]
     want |= {900: 0, 901: 122, 902: 61}
     assert removed(spark, texts) == want
+
+
+def test_lexical_neighbours_meet_in_a_shard(spark):
+    rng = random.Random(7)
+    texts = []
+    for topic in range(60):
+        own = prose(rng, 40)
+        texts += [(4 * topic + k, [*rng.sample(own, 36), *rng.choices("the of and to in".split(), k=10)]) for k in range(3)]
+        texts.append((4 * topic + 3, texts[-1][1][::-1]))  # the terms of the one before
+    size = sum(len(" ".join(t)) for _, t in texts)
+    pieces = packing.packed(documents(spark, texts), public_tokenizers.path("byte_bpe_50k.json"), shard_bytes=size // 20).toPandas()
+    shard = {p.doc_id: p.sequence_id >> 32 for p in pieces.itertuples()}
+    assert len(shard) == 240 and 10 <= len(set(shard.values())) <= 60
+    assert all(shard[4 * t + 2] == shard[4 * t + 3] for t in range(60))
+    assert sum(shard[4 * t] == shard[4 * t + 1] for t in range(60)) >= 36
+
+
+def test_common_terms_of_a_seed_count_too():
+    texts = [list(range(20)), [*range(12, 20)], [0, 30, 31], [40, 41]]
+    terms = [(np.array(t, np.int32), np.ones(len(t), np.int64)) for t in texts]
+    index = packing.Index(terms, np.linspace(2, 1, 64).astype(np.float32), 8.0)
+    index.free[0] = False
+    assert index.neighbours(0).tolist() == [1, 2] and index.neighbours(0, 1).tolist() == [1]
