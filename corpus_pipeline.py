@@ -35,8 +35,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each class of similar documents stays."""
-    classes = jaccard_join.jaccard_classes(docs)
+    """The smallest doc_id of each class of documents with a Jaccard similarity of 0.8 on five-word shingles stays."""
+    classes = jaccard_join.jaccard_classes(docs, shingle=5, num=80, den=100)
     drop = classes.where("not kept").select("doc_id").distinct()
     return docs.join(drop, "doc_id", "left_anti").select(docs.columns)
 

@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 
@@ -97,3 +98,11 @@ def test_common_terms_of_a_seed_count_too():
     index = packing.Index(terms, np.linspace(2, 1, 64).astype(np.float32), 8.0)
     index.free[0] = False
     assert index.neighbours(0).tolist() == [1, 2] and index.neighbours(0, 1).tolist() == [1]
+
+
+def test_stage_of_similar_documents_takes_five_words(spark):
+    rng = random.Random(8)
+    base = prose(rng, 100)
+    near = [*base[:30], "x", *base[31:70], "y", *base[71:]]  # 0.81 on five words, 0.88 on three
+    docs = documents(spark, [(1, base), (2, near), (3, prose(rng, 100))])
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_similar(spark, docs, "").collect()) == [1, 3]
