@@ -15,21 +15,23 @@ BINS = 256
 PARTS = 16  # parts that the candidates of one query block are dealt over
 SAFE = 1 << 53  # sums below this are exact in double precision
 NOWHERE = -(1 << 62)  # below every score: all candidates of the query are among its best
+WIDEST = 1 << 61  # largest score that rounds and NOWHERE leave room for
 HELD = 64  # histograms of query blocks that a task holds before it hands them on
 
 
 def whole_vectors(embeddings: DataFrame, scale: int) -> DataFrame:
     """vec_id and floor(scale * x) of each component; rows without a usable vector are left out.
 
-    Unusable: null ids, null or empty vectors, null or non-finite components, and components so large
-    that scores could leave the range of a long (2**28 and more). Rows of one vec_id are one vector,
-    the smallest in array order.
+    Unusable: null ids, null or empty vectors, null or non-finite components. Rows of one vec_id are
+    one vector, the smallest in array order. Components are ints, or longs where the table needs them.
     """
     scaled = lambda c: c.cast("double") * F.lit(float(scale))
-    fits = F.forall("embedding", lambda c: F.coalesce(F.abs(scaled(c)) < F.lit(2.0**28), F.lit(False)))
-    rows = embeddings.where("vec_id is not null and size(embedding) > 0").where(fits)
+    finite = F.forall("embedding", lambda c: F.coalesce(F.abs(c.cast("double")) < F.lit(float("inf")), F.lit(False)))
+    rows = embeddings.where("vec_id is not null and size(embedding) > 0").where(finite)
+    top = rows.agg(F.max(F.array_max(F.transform("embedding", lambda c: F.abs(scaled(c)))))).first()[0]
+    kind = "int" if (top or 0) < 2.0**30 else "long"
     rows = rows.select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda c: F.floor(scaled(c)).cast("int")).alias("v")
+        F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda c: F.floor(scaled(c)).cast(kind)).alias("v")
     )
     return rows.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
 
@@ -64,7 +66,7 @@ def exact_top_k(
     over the open score interval of every query and keeps the bin with its k-th score, until
     intervals hold a single value. A last round returns what scores above that value, and of the ties at it
     the smallest ids of each tile, so neither ties nor copies make more than 2 k rows a tile. Ranks
-    break ties by smaller vec_id. For rows that take no part see ``whole_vectors``; an empty table
+    break ties by smaller vec_id. Vectors whose scores may not fit a long raise an error. For rows that take no part see ``whole_vectors``; an empty table
     gives no rows.
     """
     vectors = stored(whole_vectors(embeddings, scale))
@@ -75,6 +77,8 @@ def exact_top_k(
         F.max(F.when(is_query, norm)).alias("q_top"),
     ).first()
     bound = int((facts["top"] or 0) * (facts["q_top"] or 0) * 1.0001) + 2
+    if bound > WIDEST:
+        raise ValueError("inner products of these vectors may not fit a long")
     n_tiles, n_blocks = -(-facts["q"] // query_rows) or 1, -(-facts["n"] // block_rows) or 1
 
     dealt = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")

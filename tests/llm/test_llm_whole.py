@@ -5,8 +5,9 @@ import random
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pytest
 
-from basketline.llm import packing, substring_dedup
+from basketline.llm import packing, substring_dedup, topk
 from basketline.llm.queries import QUERIES
 
 
@@ -106,3 +107,16 @@ def test_stage_of_similar_documents_takes_five_words(spark):
     near = [*base[:30], "x", *base[31:70], "y", *base[71:]]  # 0.81 on five words, 0.88 on three
     docs = documents(spark, [(1, base), (2, near), (3, prose(rng, 100))])
     assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_similar(spark, docs, "").collect()) == [1, 3]
+
+
+def test_large_components_take_part(spark):
+    rng = random.Random(9)
+    vectors = {i: [rng.uniform(-1, 1) * rng.choice([1, 2e6 if i % 20 == 0 else 4e7]) for _ in range(4)] for i in range(60)}
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in vectors.items()}
+    table = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.exact_top_k(table, k=5).collect()}
+    for q in (0, 20, 40):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+        assert [got[q, k + 1] for k in range(5)] == [(i, -s) for s, i in scores[:5]]
+    with pytest.raises(ValueError):
+        topk.exact_top_k(table.union(spark.createDataFrame([(100, [1e12] * 4)], table.schema)), k=5)
