@@ -47,7 +47,7 @@ SOURCE_CURRENCY = "SOURCE_UNITS"
 # Fixed texts of a month's manifest.
 MONTH_COMPLETE = "complete"
 COVERAGE_OFFICIAL = "whole month, as published"
-COVERAGE_SUPPLIED = "a given file, not known to be a whole month"
+COVERAGE_SUPPLIED = "a given file; that it covers the whole month is unverified"
 HISTORY_SCOPE = "Times and prices as in the source; a purchase record counts as one unit."
 
 # Fixed reject reasons of the history and replay normalisers.
