@@ -130,7 +130,7 @@ def exact_top_k(
         kth = above.where("reached >= left").groupBy("query_id").agg(F.max_by(F.struct("bin", (F.col("reached") - F.col("n")).alias("higher")), "bin").alias("at"))
         state = state.join(kth, "query_id", "left").select(
             "query_id", "q_v", "dim", "tile",
-            F.when(F.col("at").isNull(), F.lit(NOWHERE)).otherwise(F.col("low") + F.col("at.bin") * width).alias("low"),
+            F.when(F.col("at").isNull(), F.lit(NOWHERE)).otherwise(F.col("low") + F.col("at.bin").cast("long") * width).alias("low"),
             F.coalesce(F.col("left") - F.col("at.higher"), F.col("left")).alias("left"),
         )
         state, span = stored(state), width
