@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketline.session import pin_runtime, shared_folder, through_table
+from basketline.session import hadoop_path, pin_runtime, shared_folder, through_table
+
+_scopes: list[list[str]] = []  # folders of the open scopes, the innermost last
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +21,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(frame: DataFrame) -> DataFrame:
     """The frame as a table in the shared folder: later reads survive lost executors."""
-    return through_table(frame, shared_folder(frame.sparkSession))
+    folder = shared_folder(frame.sparkSession)
+    if _scopes:
+        _scopes[-1].append(folder)
+    out = through_table(frame, folder)
+    out._folder = folder
+    return out
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path, fs = hadoop_path(spark, folder)
+    fs.delete(path, True)
+
+
+def dropped(frame: DataFrame) -> None:
+    """Delete the table that ``stored`` has written, once nothing reads it any more."""
+    _delete(frame.sparkSession, frame._folder)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A scope whose stored tables are deleted at its end, but for what is stored through ``keep``.
+
+    What ``keep`` has stored belongs to the scope around this one, if there is one.
+    """
+    outer = _scopes[-1] if _scopes else []
+    own: list[str] = []
+    _scopes.append(own)
+
+    def keep(frame: DataFrame) -> DataFrame:
+        out = stored(frame)
+        own.remove(out._folder)
+        outer.append(out._folder)
+        return out
+
+    try:
+        yield keep
+    finally:
+        _scopes.pop()
+        for folder in own:
+            _delete(spark, folder)
 
 
 def fresh(columns: list[str], name: str) -> str:

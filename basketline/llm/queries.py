@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketline.llm import bpe_codes, edit_counts, html_content, jaccard_join, lattice, line_dedup, packing, substring_dedup, topk, toxicity
+from basketline.llm import align, bpe_codes, edit_counts, html_content, jaccard_join, lattice, line_dedup, packing, substring_dedup, topk, toxicity
 from basketline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,10 @@ def op4_edit_aware_counts(spark, sf_dir):
     """Token counts of every document before and after edits, encoded again only where they touch."""
     rows = edit_counts.own_edits(table(spark, sf_dir, "documents"))
     return edit_counts.counted(rows, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op12_merge_path_alignment(spark, sf_dir):
+    """Tokens of a byte-level and of a sentencepiece tokenizer aligned by their ends, as digests."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.alignment_digests(table(spark, sf_dir, "documents"), *paths)
