@@ -12,6 +12,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,6 @@ from basketline.llm.common import document_rows, scratch, stored
 WORK = 64  # merge steps of a piece
 BATCH = 2 << 20  # bytes of text that are aligned at once; one longer text stands alone
 IDS = 1 << 16  # ids of either tokenizer are below this
-_SEGMENT = re.compile(" +[^ ]*")
 
 
 class PlainCodec(Codec):
@@ -38,36 +38,64 @@ class PlainCodec(Codec):
         self.split_special = re.compile(r"(?!)")
 
 
-class Pieces:
-    """A sentencepiece model; segments of text that it never joins are encoded once and remembered.
+class Pieces(Codec):
+    """A sentencepiece model over a whole batch; segments that it never joins are encoded once and remembered.
 
-    A segment is a run of spaces with the word behind it. No piece has a space mark behind another
-    character, so no merge crosses the border of two segments.
+    A segment is a run of spaces with what stands before the next run. No piece has a space mark
+    behind another character, so no merge crosses the border of two segments. Segments are known by a
+    hash of their bytes, as pre-tokens are.
     """
 
     def __init__(self, path: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.whole = any(re.search("[^▁]▁", n) for n in names)
+        self.whole = any(re.search("[^▁]▁", n) for n in names)  # then a document is one segment
         byte = re.compile("<0x([0-9A-F]{2})>")
         self.bytes = [bytes([int(m[1], 16)]) if (m := byte.fullmatch(n)) else n.replace("▁", " ").encode() for n in names]
-        # The model adds no space to an empty text, so that of a text's end is named here.
-        self.space = [self.model.piece_to_id("▁")]
-        self.memo: dict[str, list[int]] = {" ": self.space}
-
-    def __call__(self, text: str) -> np.ndarray:
-        """The ids of space + text, without the space that the model adds."""
-        if self.whole:
-            return np.array(self.model.encode(text), np.int32)
-        if len(self.memo) > REMEMBERED:
-            self.memo = {" ": self.space}
-        parts = _SEGMENT.findall(" " + text)
-        new = [p for p in dict.fromkeys(parts) if p not in self.memo]
-        self.memo.update(zip(new, self.model.encode([p[1:] for p in new], num_threads=1)))
-        out: list[int] = []
-        for part in parts:
-            out += self.memo[part]
-        return np.array(out, np.int32)
+        self.codes = X.random_codes(256)
+        self.forget()
+
+    def _pieces(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of segments without their first space; the model puts one before every text but an empty one."""
+        found = self.model.encode([s.decode() for s in segments], num_threads=1)
+        found = [ids if s else [self.model.piece_to_id("▁")] for s, ids in zip(segments, found)]
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum())), count
+
+    def __call__(self, raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all documents of raw, each with a space in front, and how many each has."""
+        if self.n > REMEMBERED:
+            self.forget()
+        data = np.frombuffer(raw, np.uint8)
+        first = np.zeros(len(data), bool)
+        if not self.whole:
+            space = data == 0x20
+            first[1:] = space[1:] & ~space[:-1]
+        first[offsets[:-1][np.diff(offsets) > 0]] = True
+        begin = np.flatnonzero(first)
+        to = np.append(begin[1:], len(data))
+        slots = np.empty(len(begin), np.int64)
+        lo = 0
+        while lo < len(begin):  # spans of about so many bytes at once
+            hi = max(lo + 1, int(np.searchsorted(to, begin[lo] + X.CHUNK, "right")))
+            at, end = begin[lo:hi], to[lo:hi]
+            (hashes,) = X.span_hashes(self.codes[data[at[0] : end[-1]]], at - at[0], end - at[0])
+            found = self._find(hashes)
+            new = np.flatnonzero(found < 0)
+            if len(new):
+                distinct, one = np.unique(hashes[new], return_index=True)
+                spans = zip(at[new[one]].tolist(), end[new[one]].tolist())
+                self._put(distinct, self._remember(*self._pieces([raw[x + 1 : y] for x, y in spans])))
+                found[new] = self._find(hashes[new])
+            slots[lo:hi] = found
+            lo = hi
+        total = np.concatenate([[0], np.cumsum(self.count[slots])])
+        return self.expand(slots), np.diff(total[np.searchsorted(begin, offsets)])
+
+
+def _joined(names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all names, and the offsets of each."""
+    return np.frombuffer(b"".join(names), np.uint8), np.concatenate([[0], np.cumsum(list(map(len, names)))])
 
 
 class Pair:
@@ -76,19 +104,41 @@ class Pair:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = PlainCodec(path_a), Pieces(path_b)
         named = {i: bytes(self.a.to_byte[c] for c in t.decode()) for i, t in self.a.names.items()}
-        self.bytes_a = [named.get(i, b"") for i in range(max(named) + 1)]
-        self.length_a = np.array(list(map(len, self.bytes_a)), np.int64)
-        self.length_b = np.array(list(map(len, self.b.bytes)), np.int64)
-
-    def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both tokenizers for every text; none where either does not give back space + text."""
-        out = []
-        for text, slots in zip(texts, self.a.slots([" " + t if t else "" for t in texts])):
-            a, b = self.a.expand(slots).astype(np.int32), self.b(text) if text else np.zeros(0, np.int32)
-            raw = (" " + text).encode() if text else b""
-            same = b"".join([self.bytes_a[i] for i in a.tolist()]) == raw == b"".join([self.b.bytes[i] for i in b.tolist()])
-            out.append((a, b) if same else (a[:0], b[:0]))
-        return out
+        self.bytes_a = _joined([named.get(i, b"") for i in range(max(named) + 1)])
+        self.bytes_b = _joined(self.b.bytes)
+        self.length_a, self.length_b = np.diff(self.bytes_a[1]), np.diff(self.bytes_b[1])
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and their numbers by both tokenizers; a text has none where either does not give back space + text."""
+        spaced = [" " + t if t else "" for t in texts]
+        coded = [t.encode() for t in spaced]
+        raw, offsets = b"".join(coded), np.concatenate([[0], np.cumsum(list(map(len, coded)))])
+        slots = self.a.slots(spaced)
+        n_a = np.fromiter((int(self.a.count[s].sum()) for s in slots), np.int64, len(slots))
+        a = self.a.expand(np.concatenate(slots)).astype(np.int32) if slots else np.zeros(0, np.int32)
+        b, n_b = self.b(raw, offsets)
+        b = b.astype(np.int32)
+        same = self._same(a, n_a, *self.bytes_a, raw, offsets) & self._same(b, n_b, *self.bytes_b, raw, offsets)
+        if not same.all():
+            a, n_a = a[np.repeat(same, n_a)], np.where(same, n_a, 0)
+            b, n_b = b[np.repeat(same, n_b)], np.where(same, n_b, 0)
+        return a, n_a, b, n_b
+
+    def _same(self, ids: np.ndarray, n: np.ndarray, names: np.ndarray, at: np.ndarray, raw: bytes, offsets: np.ndarray) -> np.ndarray:
+        """Whether the bytes of each document's ids are those of the document."""
+        size = (at[1:] - at[:-1])[ids]
+        ends = np.cumsum(size)
+        total = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n)])]
+        same = np.diff(total) == np.diff(offsets)
+        given = names[np.repeat(at[ids] - ends + size, size) + np.arange(int(total[-1]))]
+        data = np.frombuffer(raw, np.uint8)
+        if same.all():
+            wrong = np.flatnonzero(given != data)
+            same[np.searchsorted(offsets, wrong, "right") - 1] = False
+        else:
+            for i in np.flatnonzero(same).tolist():
+                same[i] = np.array_equal(given[total[i] : total[i + 1]], data[offsets[i] : offsets[i + 1]])
+        return same
 
 
 @lru_cache(maxsize=2)
@@ -113,49 +163,49 @@ def diagonals(a: np.ndarray, b: np.ndarray, work: int) -> tuple[np.ndarray, np.n
     return low, d - low
 
 
-def overlaps(ends_a: np.ndarray, ends_b: np.ndarray, work: int = WORK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Every pair of tokens whose byte ranges overlap, in order: position in a, in b, and group.
+def overlaps(ends_a: np.ndarray, ends_b: np.ndarray, work: int = WORK) -> tuple[np.ndarray, ...]:
+    """Every pair of tokens whose byte ranges overlap, in order: position in a, in b, group, and whether they end together.
 
     Both arrays rise strictly and have the same last end. A group ends where ends of both meet.
     """
     if not len(ends_a):
-        return (np.zeros(0, np.int64),) * 3
+        return (*[np.zeros(0, np.int64)] * 3, np.zeros(0, bool))
     cut_a, cut_b = diagonals(ends_a, ends_b, work)
-    i, j = cut_a[:-1].copy(), cut_b[:-1].copy()
+    i, j = cut_a[:-1].astype(np.int32), cut_b[:-1].astype(np.int32)
     steps = np.diff(cut_a) + np.diff(cut_b)
     far = np.iinfo(np.int64).max
     to_a, to_b = np.append(ends_a, far), np.append(ends_b, far)
-    from_a, from_b = np.concatenate([[0], ends_a]), np.concatenate([[0], ends_b])
-    at_a, at_b = np.empty((len(i), work), np.int64), np.empty((len(i), work), np.int64)
-    some = np.zeros((len(i), work), bool)
+    x, y = to_a[i], to_b[j]
+    begin = np.maximum(np.where(i > 0, to_a[i - 1], 0), np.where(j > 0, to_b[j - 1], 0))
+    at_a, at_b = np.empty((work, len(i)), np.int32), np.empty((work, len(i)), np.int32)
+    some, cuts = np.zeros((work, len(i)), bool), np.zeros((work, len(i)), bool)
     for s in range(work):
-        x, y = to_a[i], to_b[j]
-        at_a[:, s], at_b[:, s] = i, j
-        some[:, s] = (np.maximum(from_a[i], from_b[j]) < np.minimum(x, y)) & (s < steps)
+        at_a[s], at_b[s] = i, j
+        end = np.minimum(x, y)
+        some[s] = (begin < end) & (s < steps)
+        cuts[s] = some[s] & (x == y)
         first = x <= y
-        i = np.minimum(i + first, len(ends_a))
-        j = np.minimum(j + ~first, len(ends_b))
-    cuts = some & (to_a[at_a] == to_b[at_b])
-    inside = np.cumsum(cuts, 1)
-    before = np.cumsum(inside[:, -1]) - inside[:, -1]  # cuts in earlier pieces: groups go on across borders
-    group = before[:, None] + inside - cuts
-    return at_a[some], at_b[some], group[some]
+        i += first
+        j += ~first
+        np.minimum(i, len(ends_a), out=i)
+        np.minimum(j, len(ends_b), out=j)
+        x, y, begin = to_a[i], to_b[j], end
+    inside = np.cumsum(cuts, 0, dtype=np.int32)
+    before = np.cumsum(inside[-1], dtype=np.int64) - inside[-1]  # cuts in earlier pieces: groups go on across borders
+    group = before + inside - cuts
+    some = some.T
+    return at_a.T[some], at_b.T[some], group.T[some], cuts.T[some]
 
 
 class Alignment:
     """The aligned tokens of a batch of documents."""
 
     def __init__(self, both: Pair, texts: list[str]):
-        found = both(texts)
-        self.n_a = np.array([len(a) for a, _ in found], np.int64)
-        self.n_b = np.array([len(b) for _, b in found], np.int64)
-        self.a = np.concatenate([a for a, _ in found]) if found else np.zeros(0, np.int32)
-        self.b = np.concatenate([b for _, b in found]) if found else np.zeros(0, np.int32)
+        self.a, self.n_a, self.b, self.n_b = both(texts)
         self.end_a, self.end_b = np.cumsum(both.length_a[self.a]), np.cumsum(both.length_b[self.b])
-        in_a, in_b, group = overlaps(self.end_a, self.end_b)
+        in_a, in_b, group, cut = overlaps(self.end_a, self.end_b)
         self.group_a, self.group_b = np.empty(len(self.a), np.int64), np.empty(len(self.b), np.int64)
         self.group_a[in_a], self.group_b[in_b] = group, group
-        cut = self.end_a[in_a] == self.end_b[in_b]
         self.link_a, self.link_b = in_a[cut], in_b[cut]
         self.first_a = np.concatenate([[0], np.cumsum(self.n_a)])  # tokens before each document
         self.first_b = np.concatenate([[0], np.cumsum(self.n_b)])

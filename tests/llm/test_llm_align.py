@@ -111,7 +111,8 @@ def test_every_safe_character_as_the_library(libraries):
     a, b = libraries
     both = align.pair(A, B)
     texts = [f"a{chr(c)}b {chr(c)}1{chr(c)}{chr(c)} '{chr(c)}" for span in SAFE for c in span]
-    for text, (x, y) in zip(texts, both(texts)):
+    ids_a, n_a, ids_b, n_b = both(texts)
+    for text, x, y in zip(texts, np.split(ids_a, np.cumsum(n_a)), np.split(ids_b, np.cumsum(n_b))):
         assert x.tolist() == a.encode(" " + text, add_special_tokens=False).ids
         assert y.tolist() == b.encode(text)
 
@@ -123,11 +124,12 @@ def test_overlaps_against_all_pairs(work):
         top = int(rng.integers(1, 60))
         a, b = (np.append(np.flatnonzero(rng.random(top) < rng.random()) , top) for _ in range(2))
         a, b = np.unique(a[a > 0]), np.unique(b[b > 0])
-        in_a, in_b, group = align.overlaps(a, b, work)
+        in_a, in_b, group, cut = align.overlaps(a, b, work)
         starts_a, starts_b = np.concatenate([[0], a[:-1]]), np.concatenate([[0], b[:-1]])
         want = [(i, j) for i in range(len(a)) for j in range(len(b)) if max(starts_a[i], starts_b[j]) < min(a[i], b[j])]
         assert list(zip(in_a.tolist(), in_b.tolist())) == want
         cuts = np.intersect1d(a, b)
         assert group.tolist() == [int(np.searchsorted(cuts, min(a[i], b[j]))) for i, j in want]
+        assert cut.tolist() == [a[i] == b[j] for i, j in want]
         i, j = align.diagonals(a, b, work)
         assert (np.diff(i + j)[:-1] == work).all() and (i[-1], j[-1]) == (len(a), len(b))
