@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketline.llm import align, bpe_codes, edit_counts, html_content, jaccard_join, lattice, line_dedup, packing, substring_dedup, topk, toxicity
+from basketline.llm import (
+    align, bpe_codes, edit_counts, hard_negatives, html_content, jaccard_join, lattice, line_dedup, packing, records, substring_dedup, topk, toxicity,
+)
 from basketline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +130,40 @@ def op12_merge_path_alignment(spark, sf_dir):
     """Tokens of a byte-level and of a sentencepiece tokenizer aligned by their ends, as digests."""
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return align.alignment_digests(table(spark, sf_dir, "documents"), *paths)
+
+
+@query
+def op11_binary_records(spark, sf_dir):
+    """Ids of every document written to record files and read back, as digests."""
+    return records.record_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op13_rtree_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector and its five best vectors of the same label."""
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_rtree_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+    FROM v a JOIN v c ON c.vec_id <> a.vec_id AND len(c.v) = len(a.v)
+    WHERE a.vec_id % 100 = 0
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+           row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+    FROM s WHERE same
+), n AS (
+    SELECT anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+    FROM p JOIN s USING (anchor_id)
+    WHERE place <= 5 AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
