@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -59,6 +61,19 @@ class ProgressRecorder(StreamingQueryListener):
         return len(rows)
 
 
+@contextmanager
+def recording(spark: SparkSession, path: str) -> Iterator[ProgressRecorder]:
+    """Append the reports of all streams that run inside to the progress table at ``path``."""
+    recorder = ProgressRecorder()
+    spark.streams.addListener(recorder)
+    try:
+        yield recorder
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()  # reports arrive behind their batches
+    finally:
+        spark.streams.removeListener(recorder)
+        recorder.flush(spark, path)
+
+
 def collected_progress(queries: list[StreamingQuery]) -> DataFrame:
     """Recent reports of the given queries."""
     rows = [progress_row(q.name, p) for q in queries for p in q.recentProgress]
@@ -97,8 +112,17 @@ def pipeline_health(progress: DataFrame, as_of, fresh_seconds: int = 30) -> Data
 STATE_OPERATORS = "array<struct<numRowsDroppedByWatermark: bigint, customMetrics: map<string, bigint>>>"
 
 
-def quality_counters(progress: DataFrame, query_name: str = C.SILVER) -> DataFrame:
-    """Duplicates and late rows that the latest batch of a query dropped; NULL when not reported."""
+def input_rows() -> Column:
+    """Source rows of a report."""
+    return F.get_json_object("progress", "$.numInputRows").cast("bigint")
+
+
+def batch_counters(progress: DataFrame) -> DataFrame:
+    """Rows that came in, duplicates and late rows that were dropped, by query and batch.
+
+    Batches without input, which only move the watermark, are left out; counters that a query does not
+    report are NULL. A batch that was reported twice counts once.
+    """
     states = F.from_json(F.get_json_object("progress", "$.stateOperators"), STATE_OPERATORS)
     reported = F.size("_states") > 0
     repeated = F.transform("_states", lambda s: F.try_element_at(s["customMetrics"], F.lit("numDroppedDuplicateRows")))
@@ -107,24 +131,39 @@ def quality_counters(progress: DataFrame, query_name: str = C.SILVER) -> DataFra
     def added(values: Column) -> Column:
         return F.aggregate(values, F.lit(0).cast("bigint"), lambda total, value: total + value)
 
-    return (
-        latest_progress(progress.filter(F.col("query_name") == query_name))
-        .withColumn("_states", states)
+    rows = (
+        progress.withColumn("_states", states)
+        .withColumn("input_rows", input_rows())
+        .filter(F.col("input_rows") > 0)
         .select(
             "query_name",
             "batch_id",
-            F.when(reported, added(repeated)).alias("repeated_events_removed"),
-            F.when(reported, added(late)).alias("late_events_removed"),
+            "input_rows",
+            F.when(reported, added(repeated)).alias("repeated"),
+            F.when(reported, added(late)).alias("late"),
         )
     )
+    counters = [F.max(c).alias(c) for c in ("input_rows", "repeated", "late")]
+    return rows.groupBy("query_name", "batch_id").agg(*counters)
+
+
+def quality_counters(progress: DataFrame) -> DataFrame:
+    """Duplicates and late rows that the latest batch with input of every query dropped; NULL when not reported."""
+    newest = Window.partitionBy("query_name").orderBy(F.desc("batch_id"))
+    latest = batch_counters(progress).withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1")
+    return latest.select(
+        "query_name",
+        "batch_id",
+        F.col("repeated").alias("repeated_events_removed"),
+        F.col("late").alias("late_events_removed"),
+    )
 
 
 def stage_throughput(progress: DataFrame) -> DataFrame:
     """Rows per second inside the triggers of each query; empty and repeated batches do not count."""
-    rows = F.get_json_object("progress", "$.numInputRows").cast("bigint")
     millis = F.get_json_object("progress", "$.durationMs.triggerExecution").cast("bigint")
     batches = (
-        progress.select("query_name", "batch_id", rows.alias("rows"), millis.alias("ms"))
+        progress.select("query_name", "batch_id", input_rows().alias("rows"), millis.alias("ms"))
         .filter(F.col("rows") > 0)
         .groupBy("query_name", "batch_id")
         .agg(F.max("rows").alias("rows"), F.max("ms").alias("ms"))

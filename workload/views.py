@@ -77,8 +77,12 @@ def iso(ts: Column, zone: str = "+00:00") -> Column:
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(zone))
 
 
-def as_raw(events: DataFrame, **changes: Column) -> DataFrame:
+def as_raw(
+    events: DataFrame, partition: Column | None = None, ingested_at: Column | None = None, **changes: Column
+) -> DataFrame:
     """Encode events as raw JSON records with log coordinates."""
+    partition = F.col("source_row") % 3 if partition is None else partition
+    ingested_at = F.col("event_ts") + F.expr("INTERVAL 1 SECOND") if ingested_at is None else ingested_at
     fields = {
         "schema_version": F.lit(C.SCHEMA_VERSION),
         "event_id": F.col("event_id"),
@@ -97,9 +101,9 @@ def as_raw(events: DataFrame, **changes: Column) -> DataFrame:
     return events.select(
         F.to_json(F.struct(*[column.alias(name) for name, column in fields.items()])).alias("raw_json"),
         F.lit("t").alias("topic"),
-        (F.col("source_row") % 3).cast("int").alias("partition"),
+        partition.cast("int").alias("partition"),
         F.col("source_row").alias("offset"),
-        (F.col("event_ts") + F.expr("INTERVAL 1 SECOND")).alias("ingested_at"),
+        ingested_at.alias("ingested_at"),
     )
 
 
@@ -198,32 +202,26 @@ def metrics_epochs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return rows, commits
 
 
-def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Progress reports derived from the events: one stage per user class, one batch per hour."""
+ROUNDS = 5  # deliveries of the event table: one for each week
+WATERMARK = "10 days"
+
+
+def delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records with the delivery they arrive in as ``partition``, in event-time order but for some.
+
+    Of twenty records one arrives up to three weeks late and one a week late; two arrive a second time,
+    a week later. Nothing arrives after the last delivery.
+    """
     events = ev(spark, sf_dir)
-    stages = F.array(*[F.lit(name) for name in C.STAGE_LABELS])
-    batches = events.groupBy(
-        F.get(stages, (F.col("user_id").cast("bigint") % len(C.STAGE_LABELS)).cast("int")).alias("query_name"),
-        F.floor(F.unix_seconds("event_ts") / 3600).alias("batch_id"),
-    ).agg(
-        F.count_if(F.col("event_type") != "error").alias("n"),
-        F.sum("quantity").alias("ms"),
-        F.count_if(F.col("event_type") == "view").alias("late"),
-        F.count_if(F.col("event_type") == "cart").alias("repeated"),
-        F.max("event_ts").alias("updated_at"),
-    )
-    state = F.struct(
-        F.col("late").alias("numRowsDroppedByWatermark"),
-        F.when(
-            F.col("query_name") == C.SILVER,
-            F.create_map(F.lit("numDroppedDuplicateRows"), F.col("repeated")),
-        ).alias("customMetrics"),
-    )
-    body = F.struct(
-        F.col("query_name").alias("name"),
-        F.col("batch_id").alias("batchId"),
-        F.col("n").alias("numInputRows"),
-        F.struct(F.col("ms").alias("triggerExecution")).alias("durationMs"),
-        F.when(F.col("query_name") != C.BRONZE, F.array(state)).alias("stateOperators"),
+    week = F.floor((F.day("event_ts") - 1) / F.lit(7)).cast("int")
+    later = lambda weeks: F.least(week + weeks, F.lit(ROUNDS - 1))
+    row = F.col("source_row")
+    rounds = (
+        F.when(row % 20 == 3, F.array(later(3)))
+        .when(row % 20 == 13, F.array(later(1)))
+        .when(row % 10 == 9, F.array(week, later(1)))
+        .otherwise(F.array(week))
     )
-    return batches.select("query_name", "batch_id", F.to_json(body).alias("progress"), "updated_at")
+    events = events.withColumn("_week", week).withColumn("_round", F.explode(rounds))
+    delay = F.make_dt_interval(days=(F.col("_round") - F.col("_week")) * 7, secs=F.lit(1))
+    return as_raw(events, partition=F.col("_round"), ingested_at=F.col("event_ts") + delay)
