@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +14,8 @@ from basketline.functions.columns import of_type, purchase_value, ratio, total
 
 WINDOW_KEYS = list(C.METRIC_KEYS)
 EXACT_USERS = "active_users_exact"
+# Registers of a sketch of users, as a power of two: a merged one has an error of 1.04 / sqrt(registers).
+SKETCH_BITS = math.ceil(2 * math.log2(1.04 / C.DISTINCT_RSD))
 
 
 def _counters() -> list[Column]:
@@ -52,13 +54,12 @@ def window_metrics(
     ``users`` is ``approx`` (mergeable estimate, also for streams), ``exact`` (batch only) or None.
 
     A sliding batch first adds up every slide on its own and copies those few rows into the windows
-    that contain them; only the estimate needs the single-step form, since its partial state cannot
-    be handed over. Exact users are carried as one row per user and slide, so no distinct expansion
-    of raw events takes place.
+    that contain them; estimated users go along as sketches that are merged, exact ones as one row per
+    user and slide, so neither copies raw events.
     """
     slide = slide or size
     sliding = size != slide
-    if df.isStreaming or users == "approx":
+    if df.isStreaming or (users == "approx" and not sliding):
         if users == "exact":
             raise ValueError("exact users per window are a batch measure")
         estimate = [F.approx_count_distinct("user_id", C.DISTINCT_RSD).alias(C.APPROX_MEASURE)]
@@ -69,11 +70,14 @@ def window_metrics(
         )
     if _seconds(size) % _seconds(slide):
         raise ValueError("the window size must be a multiple of the slide")
+    approx = users == "approx"
     carried = ["category", "product_id"] + (["user_id"] if users == "exact" else [])
-    pieces = df.groupBy(F.window("event_ts", slide), *carried).agg(*_counters())
+    sketch = [F.hll_sketch_agg("user_id", SKETCH_BITS).alias(USERS_SKETCH)] if approx else []
+    pieces = df.groupBy(F.window("event_ts", slide), *carried).agg(*_counters(), *sketch)
     if sliding:
         pieces = pieces.withColumn("_at", F.col("window.start")).drop("window")
-        pieces = pieces.groupBy(F.window("_at", size, slide), *carried).agg(*_merged())
+        merged = [F.hll_sketch_estimate(F.hll_union_agg(USERS_SKETCH)).alias(C.APPROX_MEASURE)] if approx else []
+        pieces = pieces.groupBy(F.window("_at", size, slide), *carried).agg(*_merged(), *merged)
     if users == "exact":
         pieces = pieces.groupBy("window", "category", "product_id").agg(
             *_merged(), F.count("user_id").alias(EXACT_USERS)
@@ -81,6 +85,22 @@ def window_metrics(
     return _flat(pieces)
 
 
+USERS_SKETCH = "users_sketch"
+
+
+def user_sketches(df: DataFrame, by: Sequence[str], slide: str = "1 minute", ts: str = "event_ts") -> DataFrame:
+    """A sketch of the users of every slide and key: a table of fixed-size rows that merges to any coarser grain."""
+    grouped = df.groupBy(F.window(ts, slide).alias("_slide"), *by)
+    return grouped.agg(F.hll_sketch_agg("user_id", SKETCH_BITS).alias(USERS_SKETCH)).select(
+        F.col("_slide.start").alias("slide_start"), *by, USERS_SKETCH
+    )
+
+
+def merge_users(sketches: DataFrame, by: Sequence[str | Column] = ()) -> DataFrame:
+    """Estimated distinct users at a coarser grain, from ``user_sketches``: users seen twice count once."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg(USERS_SKETCH)).alias(C.APPROX_MEASURE))
+
+
 def snapshot_totals(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Events, purchases, revenue, exact and estimated users: one row, or one for each value of ``by``. Batch only.
 
@@ -146,6 +166,36 @@ def period_totals(
     return window_rollup(in_period(rows, minutes, as_of))
 
 
+def period_totals_each(
+    metrics: DataFrame, periods: dict[str, int | None], namespace: str, real: bool = False
+) -> DataFrame:
+    """``period_totals`` of several periods, one row each, in one pass over the metrics.
+
+    The clock is the newest window of all sources. Metrics are first added up by minute, so the second
+    pass, which needs the clock, reads one row per minute.
+    """
+    tagged = F.col("product_id").startswith(namespace)
+    wanted = tagged if real else ~tagged
+    minutes = metrics.groupBy("window_start").agg(
+        *[F.sum(F.when(wanted, F.col(name)).otherwise(F.lit(0))).alias(name) for name in C.EXACT_MEASURES]
+    )
+    now = minutes.agg(F.max("window_start").alias("at")).scalar()
+    sums = []
+    for number, length in enumerate(periods.values()):
+        inside = F.lit(True) if length is None else F.col("window_start") >= now - F.make_dt_interval(mins=F.lit(length))
+        sums += [
+            F.coalesce(F.sum(F.when(inside, F.col(name))), F.lit(0)).cast("bigint").alias(f"{name}_{number}")
+            for name in C.EXACT_MEASURES
+        ]
+    rows = F.array(
+        *[
+            F.struct(F.lit(label).alias("period"), *[F.col(f"{name}_{number}").alias(name) for name in C.EXACT_MEASURES])
+            for number, label in enumerate(periods)
+        ]
+    )
+    return minutes.agg(*sums).select(F.inline(rows))
+
+
 def action_mix(totals: DataFrame) -> DataFrame:
     """One row per kind of action, with everything else as ``Other actions``."""
     other = "events - views - carts - purchases"

@@ -2,19 +2,21 @@
 
 The hash functions are slices of SHA-256 digests of ``<block>:<key>``, eight of 32 bits per digest, so a
 sketch has at most 2**32 cells in a row. A sketch table is never larger than its fixed width
-and depth, whatever it has seen.
+and depth, whatever it has seen. A Bloom filter is cut into buckets: the first slice of a key chooses its
+bucket, the following ones its bits there, so that a probe meets one row of the filter.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketline.functions.hashing import number
 
 BROADCAST_CELLS = 1_000_000  # cells of a sketch that every task may hold
+BUCKET_BITS = 32_768  # most bits of a bitmap
 DIGITS = 8  # of a hash, in hexadecimal
 
 
@@ -33,19 +35,21 @@ def bloom_shape(capacity: int, false_positive_rate: float = 0.01) -> tuple[int,
     return bits, max(1, round(bits / capacity * math.log(2)))
 
 
+def digests(key: str, hashes: int) -> Column:
+    """The digests that hold so many slices of a key."""
+    blocks = -(-hashes * DIGITS // 64)
+    return F.array(*[F.sha2(F.concat(F.lit(f"{b}:"), F.col(key).cast("string")), 256) for b in range(blocks)])
+
+
 def hashed(df: DataFrame, key: str, hashes: int, width: int) -> DataFrame:
     """One row per input row and hash function, with ``seed`` and ``cell`` in [0, width)."""
     if width > 16**DIGITS:
         raise ValueError(f"a sketch has at most {16**DIGITS} cells in a row")
     per_digest = 64 // DIGITS
-    blocks = -(-hashes // per_digest)
-    digests = F.array(
-        *[F.sha2(F.concat(F.lit(f"{b}:"), F.col(key).cast("string")), 256) for b in range(blocks)]
-    )
     digest = F.get("_digests", F.floor(F.col("seed") / per_digest).cast("int"))
     slot = F.pmod("seed", F.lit(per_digest))
     return (
-        df.withColumn("_digests", digests)
+        df.withColumn("_digests", digests(key, hashes))
         .withColumn("seed", F.explode(F.sequence(F.lit(0), F.lit(hashes - 1))))
         .withColumn("cell", F.pmod(number(digest, slot, DIGITS), F.lit(width)))
         .drop("_digests")
@@ -58,13 +62,13 @@ def _small(cells: DataFrame, bound: int) -> DataFrame:
 
 
 def cms_build(df: DataFrame, key: str, epsilon: float = 0.01, failure_probability: float = 0.01) -> DataFrame:
-    """Count-Min table (seed, cell, hits): at most depth × width rows, and so many per task."""
+    """Count-Min table (seed, cell, hits): at most depth × width rows, and so many per task.
+
+    Rows are added up per key first, so that a key is hashed once however often it occurs.
+    """
     width, depth = cms_shape(epsilon, failure_probability)
-    return (
-        hashed(df.select(key), key, depth, width)
-        .groupBy("seed", "cell")
-        .agg(F.count(F.lit(1)).alias("hits"))
-    )
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return hashed(counts, key, depth, width).groupBy("seed", "cell").agg(F.sum("_n").alias("hits"))
 
 
 def cms_merge(*sketches: DataFrame) -> DataFrame:
@@ -104,24 +108,52 @@ def cms_comparison(df: DataFrame, key: str, k: int = 20, **shape: float) -> Data
     )
 
 
-def bloom_build(df: DataFrame, key: str, capacity: int, false_positive_rate: float = 0.01) -> DataFrame:
-    """Positions of the set bits: at most ``bits`` rows, duplicates removed within each task first."""
+def bloom_buckets(capacity: int, false_positive_rate: float = 0.01) -> tuple[int, int, int]:
+    """(buckets, bits of a bucket, hashes) of a filter for ``capacity`` keys."""
     bits, hashes = bloom_shape(capacity, false_positive_rate)
-    return hashed(df.select(key), key, hashes, bits).select("cell").distinct()
+    buckets = -(-bits // BUCKET_BITS)
+    return buckets, -(-bits // buckets), hashes
+
+
+def _slice(key: str, hashes: int, seed: int, width: int) -> Column:
+    per_digest = 64 // DIGITS
+    found = number(digests(key, hashes + 1)[seed // per_digest], F.lit(seed % per_digest), DIGITS)
+    return F.pmod(found, F.lit(width))
+
+
+def bloom_build(df: DataFrame, key: str, capacity: int, false_positive_rate: float = 0.01) -> DataFrame:
+    """The filter as (bucket, bits): one bitmap per bucket; each task sets its bits before the exchange."""
+    buckets, size, hashes = bloom_buckets(capacity, false_positive_rate)
+    places = F.array(*[_slice(key, hashes, seed, size) for seed in range(1, hashes + 1)])
+    rows = df.filter(F.col(key).isNotNull()).select(_slice(key, hashes, 0, buckets).alias("bucket"), F.explode(places).alias("_at"))
+    # Places of the bitmap functions begin with 1.
+    return rows.groupBy("bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("_at") + 1)).alias("bits"))
+
+
+def bloom_merge(*filters: DataFrame) -> DataFrame:
+    """Filter of all the keys that the given filters of the same shape have seen."""
+    merged = filters[0]
+    for other in filters[1:]:
+        merged = merged.unionByName(other)
+    return merged.groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
 
 
 def bloom_contains(
     filter_bits: DataFrame, probes: DataFrame, key: str, capacity: int, false_positive_rate: float = 0.01
 ) -> DataFrame:
-    """Distinct probe keys with ``maybe_present``: false means certainly never inserted."""
-    bits, hashes = bloom_shape(capacity, false_positive_rate)
-    asked = hashed(probes.select(key), key, hashes, bits)
-    marked = filter_bits.select("cell", F.lit(True).alias("_set"))
-    return (
-        asked.join(_small(marked, bits), "cell", "left")
-        .groupBy(key)
-        .agg((F.count_if(F.col("_set").isNull()) == 0).alias("maybe_present"))
-    )
+    """Every probe with ``maybe_present``: false means certainly never inserted, as for a NULL.
+
+    A probe is one row of the join with the bitmap of its bucket; its bits are looked up there.
+    """
+    buckets, size, hashes = bloom_buckets(capacity, false_positive_rate)
+    asked = probes.select(key, _slice(key, hashes, 0, buckets).alias("bucket"))
+    present = F.lit(True)
+    for seed in range(1, hashes + 1):
+        at = _slice(key, hashes, seed, size)
+        byte = F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))
+        present = present & (F.getbit(F.conv(F.hex(byte), 16, 10).cast("bigint"), (at % 8).cast("int")) == 1)
+    found = asked.join(_small(filter_bits, buckets * size), "bucket", "left")
+    return found.select(key, F.coalesce(present, F.lit(False)).alias("maybe_present"))
 
 
 def bloom_report(answers: DataFrame) -> DataFrame:
