@@ -38,9 +38,6 @@ def arguments() -> argparse.ArgumentParser:
     reconcile.add_argument("--serving", required=True)
     reconcile.add_argument("--output", required=True)
 
-    compact = jobs.add_parser("compact", help="fold the serving changelog into a new base")
-    compact.add_argument("--serving", required=True)
-
     month = jobs.add_parser("import-month", help="import one month of history from CSV")
     month.add_argument("--source", required=True)
     month.add_argument("--month", required=True, help="such as 2019-Oct")
@@ -94,7 +91,6 @@ def run_stream(spark, args) -> None:
 
 def main(argv: list[str] | None = None) -> int:
     args = arguments().parse_args(argv)
-    from basketline import constants as C
     from basketline.session import build_session
 
     spark = build_session(f"commerce {args.job}")
@@ -121,10 +117,6 @@ def main(argv: list[str] | None = None) -> int:
         except Mismatch as found:
             print(found, file=sys.stderr)
             return 1
-    elif args.job == "compact":
-        from basketline.sinks.changelog import compact
-
-        print({name: compact(spark, args.serving, name) for name, _, _ in C.METRIC_WINDOWS})
     elif args.job == "import-month":
         from basketline.sinks.history import import_month
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketline import constants as C
+from basketline import schemas
 from basketline.functions.columns import category_label, money_label, product_label
+from basketline.session import hadoop_path
 
 
 def one_row(spark, **sections: DataFrame) -> DataFrame:
@@ -15,20 +17,31 @@ def one_row(spark, **sections: DataFrame) -> DataFrame:
     return spark.range(1).select(*columns)
 
 
+MEANING = {
+    C.REAL_SOURCE: "Real records: listed prices of purchase records are added up; quantities and orders are unknown.",
+    C.SYNTHETIC_SOURCE: "Generated records: every purchase is an order of one product.",
+}
+
+
 def batch_report(
-    totals: DataFrame, sampling: DataFrame, funnel: DataFrame, conflicts: DataFrame, data_source: str
+    totals: DataFrame, sampling: DataFrame, funnel: DataFrame, conflicts: DataFrame, data_source: str, source: str
 ) -> DataFrame:
-    """Totals, sample estimate, funnel and number of conflicting ids of one snapshot in one row."""
+    """Totals, sample estimate, funnel and number of conflicting ids of one snapshot in one row.
+
+    ``source`` says where the events were read; ``definition`` what the sums of this kind of data mean.
+    """
     counted = conflicts.agg(F.count(F.lit(1)).alias("conflicting_event_ids"))
     sections = one_row(
         totals.sparkSession, totals=totals, sampling=sampling, session_funnel=funnel, conflicts=counted
     )
     return sections.select(
         F.lit(data_source).alias("data_source"),
+        F.lit(source).alias("source"),
         "totals",
         "sampling",
         "session_funnel",
         F.col("conflicts.conflicting_event_ids").alias("conflicting_event_ids"),
+        F.lit(MEANING[data_source]).alias("definition"),
     )
 
 
@@ -51,6 +64,27 @@ def recent_events(raw: DataFrame, data_source: str | None = None, keep: int = 20
     return ring.orderBy(*newest).limit(show)
 
 
+def write_by_ingestion(raw: DataFrame, path: str, pattern: str = "yyyyMMddHH") -> None:
+    """Raw records in a folder per hour of ingestion, or other span that ``pattern`` names, so that the newest can be read alone."""
+    rows = raw.withColumn("ingested_in", F.date_format("ingested_at", pattern)).hint("rebalance", "ingested_in")
+    rows.write.mode("append").partitionBy("ingested_in").parquet(path)
+
+
+def newest_ingested(spark: SparkSession, path: str, keep: int = 200) -> DataFrame:
+    """The records of the newest folders that hold ``keep`` records or more; older ones are not opened.
+
+    Twice as many folders are looked at until they hold enough; counts come from the files' footers.
+    """
+    pattern, fs = hadoop_path(spark, f"{path}/ingested_in=*")
+    folders = sorted((s.getPath().toString() for s in fs.globStatus(pattern) or []), reverse=True)
+    taken = 1
+    while True:
+        rows = spark.read.schema(schemas.RAW).option("basePath", path).parquet(*folders[:taken])
+        if taken >= len(folders) or rows.count() >= keep:
+            return rows
+        taken *= 2
+
+
 def display_labels(
     df: DataFrame, namespace: str, names: dict[str, str] | None = None, money: str | None = None, symbol: str = ""
 ) -> DataFrame:

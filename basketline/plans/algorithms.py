@@ -12,9 +12,9 @@ from basketline.operators import sketches
 from basketline.operators.sampling import uniform_sample
 from basketline.plans.customers import replace_text
 from basketline.session import path_exists, scratch_folder, through_table
-from basketline.sources.history import read_months
+from basketline.sources.history import read_months, read_prefix
 
-SCOPE = "All records of the imported months, or the first in time order where a limit was asked for."
+SCOPE = "All records of the imported months, or the first in path order where a limit was asked for."
 DEFINITIONS = {
     "count_min_sketch": "Exact counts choose the compared keys; this is a check, not a bounded-memory tracker.",
     "reservoir": "Uniform sample without replacement over the experiment's records.",
@@ -22,11 +22,10 @@ DEFINITIONS = {
 }
 
 
-def experiment_records(events: DataFrame, limit: int | None = None) -> DataFrame:
-    """The records, or the first ``limit`` in time order, with only the columns the experiment reads."""
-    columns = ["event_time", "source_row", "event_id", "product_id"]
-    records = events.select(*columns)
-    return records if limit is None else records.orderBy(*columns[:3]).limit(limit)
+def experiment_records(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:
+    """The records, or the first ``limit`` in path order, with only the columns the experiment reads."""
+    events = read_months(spark, root) if limit is None else read_prefix(spark, root, limit)
+    return events.select("event_time", "source_row", "event_id", "product_id")
 
 
 def experiment_sections(records: DataFrame, inserted: int, sample: int) -> dict[str, DataFrame]:
@@ -49,7 +48,7 @@ def run_algorithm_report(
     All records take part unless a ``limit`` is asked for; ``inserted`` and ``sample`` bound what is
     read back.
     """
-    records = experiment_records(read_months(spark, root), limit)
+    records = experiment_records(spark, root, limit)
     with scratch_folder(spark) as folder:
         records = through_table(records, f"{folder}/records")
         seen = records.count()

@@ -71,6 +71,7 @@ def _run(spark, folder, silver, output, namespace, real, sample_fraction, bronze
         stored_sections["session_funnel"],
         conflicts,
         "real" if real else "synthetic",
+        silver,
     )
     row = report_json(report, run_id or str(uuid.uuid4()))
     row.write.mode("append").json(f"{output}/reports")

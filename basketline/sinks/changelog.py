@@ -2,11 +2,9 @@
 
     rows/query_name=<q>/epoch_id=<n>/       absolute values of the keys that changed in an epoch
     commits/query_name=<q>/epoch_id=<n>/    written last: the epoch counts from here on
-    owners/query_name=<q>/stream_id=<id>/   the stream (checkpoint) that may publish under the name
-    base/query_name=<q>/upto=<n>/           compacted state of all epochs up to n
 
-An epoch is overwritten until it is committed and skipped afterwards. Rows go from the tasks to the
-files; nothing passes through the driver.
+An epoch is overwritten until it is committed and skipped afterwards, so a new checkpoint needs a new folder.
+Rows go from the tasks to the files; nothing passes through the driver.
 """
 
 from __future__ import annotations
@@ -19,18 +17,14 @@ from pyspark.sql import types as T
 
 from basketline import constants as C
 from basketline import schemas
-from basketline.session import hadoop_path, path_exists
+from basketline.session import path_exists
 
 COMMIT = schemas.row("committed_at timestamp, query_name string, epoch_id bigint")
 ROWS = T.StructType(
     schemas.WINDOW_METRICS.fields
     + [T.StructField("query_name", T.StringType()), T.StructField("epoch_id", T.LongType())]
 )
-BASE_ROWS = schemas.WINDOW_METRICS.fields + [T.StructField("epoch_id", T.LongType())]
-
-
-class ForeignStream(RuntimeError):
-    """A stream with another checkpoint tries to publish under an existing query name."""
+SERVED = schemas.WINDOW_METRICS.fields + [T.StructField("epoch_id", T.LongType())]
 
 
 def _folder(root: str, part: str, query_name: str, leaf: str = "") -> str:
@@ -38,29 +32,8 @@ def _folder(root: str, part: str, query_name: str, leaf: str = "") -> str:
     return f"{path}/{leaf}" if leaf else path
 
 
-def _claim(spark: SparkSession, root: str, query_name: str, stream_id: str) -> None:
-    """The first stream to publish owns the name. Restarted epoch numbers would otherwise be skipped."""
-    owner, fs = hadoop_path(spark, _folder(root, "owners", query_name, f"stream_id={stream_id}"))
-    if fs.exists(owner):
-        return
-    if fs.exists(owner.getParent()):
-        raise ForeignStream(
-            f"{query_name} was published by another checkpoint; use a new query name or a new folder"
-        )
-    fs.mkdirs(owner)
-
-
-def _compacted_upto(spark: SparkSession, root: str, query_name: str) -> int | None:
-    pattern, fs = hadoop_path(spark, _folder(root, "base", query_name, "upto=*/_SUCCESS"))
-    found = fs.globStatus(pattern) or []
-    return max((int(s.getPath().getParent().getName().split("=")[1]) for s in found), default=None)
-
-
 def committed(spark: SparkSession, root: str, query_name: str, epoch: int) -> bool:
-    if path_exists(spark, _folder(root, "commits", query_name, f"epoch_id={epoch}/_SUCCESS")):
-        return True
-    upto = _compacted_upto(spark, root, query_name)
-    return upto is not None and epoch <= upto
+    return path_exists(spark, _folder(root, "commits", query_name, f"epoch_id={epoch}/_SUCCESS"))
 
 
 def _partition(spark: SparkSession, root: str, part: str, query_name: str, schema: T.StructType) -> DataFrame:
@@ -69,15 +42,12 @@ def _partition(spark: SparkSession, root: str, part: str, query_name: str, schem
     return reader.parquet(_folder(root, part, query_name))
 
 
-def publish_epoch(
-    frame: DataFrame, epoch: int, query_name: str, root: str, stream_id: str = "batch"
-) -> bool:
+def publish_epoch(frame: DataFrame, epoch: int, query_name: str, root: str) -> bool:
     """Publish the changed keys of one epoch; False when that epoch was committed before.
 
     A committed epoch is still computed, because a stateful batch has to finish to save its state.
     """
     spark = frame.sparkSession
-    _claim(spark, root, query_name, stream_id)
     if committed(spark, root, query_name, epoch):
         frame.write.format("noop").mode("overwrite").save()
         return False
@@ -90,11 +60,10 @@ def publish_epoch(
 
 
 def epoch_publisher(query_name: str, root: str) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` form; the stream id is the one stored in the checkpoint."""
+    """The ``foreachBatch`` form."""
 
     def publish(frame: DataFrame, epoch: int) -> None:
-        stream_id = frame.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        publish_epoch(frame, epoch, query_name, root, stream_id or "batch")
+        publish_epoch(frame, epoch, query_name, root)
 
     return publish
 
@@ -111,47 +80,8 @@ def committed_only(rows: DataFrame, commits: DataFrame) -> DataFrame:
 
 def latest_metrics(spark: SparkSession, root: str, query_name: str) -> DataFrame:
     """The serving table of one query: committed epochs only, the latest value of every key."""
-    empty = spark.createDataFrame([], T.StructType(BASE_ROWS))
-    upto = _compacted_upto(spark, root, query_name)
-    rows = empty
-    if path_exists(spark, _folder(root, "commits", query_name)):
-        rows = _partition(spark, root, "rows", query_name, ROWS)
-        commits = _partition(spark, root, "commits", query_name, COMMIT)
-        if upto is not None:
-            rows, commits = rows.filter(F.col("epoch_id") > upto), commits.filter(F.col("epoch_id") > upto)
-        rows = committed_only(rows, commits).select(*[f.name for f in BASE_ROWS])
-    if upto is not None:
-        base = spark.read.schema(T.StructType(BASE_ROWS)).parquet(_folder(root, "base", query_name, f"upto={upto}"))
-        rows = rows.unionByName(base)
-    return latest_by_epoch(rows, C.METRIC_KEYS)
-
-
-def compact(spark: SparkSession, root: str, query_name: str) -> int | None:
-    """Write the current state as a new base, so that readers skip the epochs it covers."""
     if not path_exists(spark, _folder(root, "commits", query_name)):
-        return _compacted_upto(spark, root, query_name)
+        return spark.createDataFrame([], T.StructType(SERVED))
+    rows = _partition(spark, root, "rows", query_name, ROWS)
     commits = _partition(spark, root, "commits", query_name, COMMIT)
-    upto = commits.agg(F.max("epoch_id").alias("n")).first()["n"]
-    covered = _compacted_upto(spark, root, query_name)
-    if upto is None or (covered is not None and upto <= covered):
-        return covered
-    state = latest_metrics(spark, root, query_name).filter(F.col("epoch_id") <= upto)
-    state.write.mode("overwrite").parquet(_folder(root, "base", query_name, f"upto={upto}"))
-    return upto
-
-
-def drop_covered(spark: SparkSession, root: str, query_name: str) -> int:
-    """Delete the epochs and bases that the newest base covers; returns how many folders went.
-
-    Run it some time after ``compact``, when no reader uses the older files any more.
-    """
-    upto = _compacted_upto(spark, root, query_name)
-    if upto is None:
-        return 0
-    dropped = 0
-    for part, last in (("rows", upto), ("commits", upto), ("base", upto - 1)):
-        pattern, fs = hadoop_path(spark, _folder(root, part, query_name, "*=*"))
-        for status in fs.globStatus(pattern) or []:
-            if int(status.getPath().getName().split("=")[1]) <= last:
-                dropped += bool(fs.delete(status.getPath(), True))
-    return dropped
+    return latest_by_epoch(committed_only(rows, commits).select(*[f.name for f in SERVED]), C.METRIC_KEYS)

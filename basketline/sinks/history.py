@@ -33,6 +33,29 @@ def write_by_date(df: DataFrame, path: str, *leading: str) -> None:
     )
 
 
+def republish_dates(df: DataFrame, path: str) -> None:
+    """Put the dates that ``df`` has in the place of those at ``path``; all other dates stay as they are."""
+    (
+        df.hint("rebalance", "event_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date")
+        .option("compression", "zstd")
+        .parquet(path)
+    )
+
+
+def write_by_customer(df: DataFrame, path: str, table: str, buckets: int, key: str = "user_id") -> DataFrame:
+    """Store the events as a table of ``buckets`` files by customer, sorted, and return it.
+
+    Groupings and joins on the customer, or on keys that contain it, then need no exchange. All rows of a
+    customer are in one file: where one customer holds a large share, keep the layout by date instead.
+    """
+    placed = df.repartition(buckets, key)
+    placed.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_rejects(rejected: DataFrame, path: str) -> None:
     rejected.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 

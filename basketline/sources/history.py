@@ -9,7 +9,7 @@ from basketline import schemas
 from basketline.constants import HISTORY_CSV_FIELDS
 from basketline.operators.customers import union_months
 from basketline.session import hadoop_path
-from basketline.sources.rows import with_source_row
+from basketline.sources.rows import path_prefix, with_source_row
 
 
 class UnexpectedHeader(ValueError):
@@ -61,6 +61,24 @@ def read_months(
     return events
 
 
+def read_prefix(spark: SparkSession, root: str, rows: int) -> DataFrame:
+    """The first ``rows`` events in the order of months, dates and files, without sorting them.
+
+    The manifests say which months are read whole; of the one that holds the border only the files up to it are opened.
+    """
+    parts, left = [], rows
+    for manifest in sorted(read_manifests(spark, root).select("month", "accepted_rows").collect()):
+        events = f"{root}/months/{manifest['month']}/events"
+        if manifest["accepted_rows"] <= left:
+            parts.append(spark.read.schema(schemas.HISTORY).parquet(events))
+        else:
+            parts.append(path_prefix(spark, events, left, schemas.HISTORY))
+        left -= manifest["accepted_rows"]
+        if left <= 0:
+            break
+    return union_months(parts)
+
+
 MANIFEST = schemas.row(
     """
     month string, status string, source_rows bigint, accepted_rows bigint, rejected_rows bigint,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketline.session import hadoop_path
 
@@ -61,3 +62,22 @@ def with_source_row(scan: DataFrame, name: str = "source_row") -> DataFrame:
         .withColumn(name, (F.col("_before") + F.col("_id") - F.col("_first") + 1).cast("bigint"))
         .drop("_file", "_start", "_id", "_first", "_before")
     )
+
+
+def path_prefix(spark: SparkSession, path: str, rows: int, schema: T.StructType | None = None) -> DataFrame:
+    """The first ``rows`` rows of a Parquet folder, in the order of its paths and of the rows in each file.
+
+    Rows are counted per file, from the footers. Only the files that hold the prefix are opened, and
+    only the last of them is cut, by the row numbers it has; nothing is sorted but the table of files.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    counted = reader.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+    held = placed.filter(F.col("before") < rows).orderBy("file").collect()
+    if not held:
+        return reader.parquet(path).limit(0)
+    names = [hadoop_path(spark, spark._jvm.java.net.URI(r["file"]))[0].toString() for r in held]
+    last = reader.option("basePath", path).parquet(names[-1])
+    cut = last.filter(F.col("_metadata.row_index") < rows - held[-1]["before"])
+    return reader.option("basePath", path).parquet(*names[:-1]).unionByName(cut) if names[:-1] else cut

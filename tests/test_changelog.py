@@ -54,14 +54,6 @@ def test_rows_without_a_commit_are_invisible(spark, tmp_path):
     assert read(spark, root) == [("P1", 7, 1)]
 
 
-def test_another_checkpoint_is_refused(spark, tmp_path):
-    root = str(tmp_path)
-    L.publish_epoch(metrics(spark), 0, "test", root, stream_id="a")
-    with pytest.raises(L.ForeignStream):
-        L.publish_epoch(metrics(spark), 0, "test", root, stream_id="b")
-    assert L.publish_epoch(metrics(spark), 0, "other", root, stream_id="b")
-
-
 def test_queries_are_separate_and_unknown_ones_empty(spark, tmp_path):
     root = str(tmp_path)
     L.publish_epoch(metrics(spark, 1), 0, "one", root)
@@ -77,27 +69,6 @@ def test_empty_epoch_is_committed(spark, tmp_path):
     assert read(spark, root) == [] and L.committed(spark, root, "test", 0)
 
 
-def test_compaction_keeps_the_state(spark, tmp_path):
-    root = str(tmp_path)
-    assert L.compact(spark, root, "test") is None
-    L.publish_epoch(metrics(spark, 1, ("P1", "P2")), 0, "test", root)
-    L.publish_epoch(metrics(spark, 2, ("P2", "P3")), 1, "test", root)
-    before = read(spark, root)
-    assert L.compact(spark, root, "test") == 1
-    assert read(spark, root) == before == [("P1", 1, 0), ("P2", 2, 1), ("P3", 2, 1)]
-    assert not L.publish_epoch(metrics(spark, 99), 1, "test", root)
-    L.publish_epoch(metrics(spark, 3, ("P1",)), 2, "test", root)
-    assert read(spark, root) == [("P1", 3, 2), ("P2", 2, 1), ("P3", 2, 1)]
-    assert L.compact(spark, root, "test") == 2 == L.compact(spark, root, "test")
-    assert read(spark, root) == [("P1", 3, 2), ("P2", 2, 1), ("P3", 2, 1)]
-    assert L.drop_covered(spark, root, "test") == 7  # three epochs with their commits, one older base
-    assert read(spark, root) == [("P1", 3, 2), ("P2", 2, 1), ("P3", 2, 1)]
-    assert not L.publish_epoch(metrics(spark, 99), 2, "test", root)
-    assert L.publish_epoch(metrics(spark, 4, ("P3",)), 3, "test", root)
-    assert read(spark, root) == [("P1", 3, 2), ("P2", 2, 1), ("P3", 4, 3)]
-    assert L.drop_covered(spark, root, "unknown") == 0
-
-
 def test_reconcile_reports_all_kinds_of_difference(spark):
     expected = metrics(spark, 1, ("same", "changed", "gone"))
     actual = metrics(spark, 1, ("same",)).unionByName(metrics(spark, 2, ("changed", "new")))

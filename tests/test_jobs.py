@@ -19,7 +19,7 @@ def test_every_job_has_arguments():
         arguments().parse_args(["nothing"])
 
 
-def test_stream_snapshot_reconcile_compact(spark, tmp_path, capsys):
+def test_stream_snapshot_reconcile(spark, tmp_path, capsys):
     raw_frame(spark, random_events(60)).write.parquet(str(tmp_path / "raw"))
     root = str(tmp_path / "lake")
     places = ["--silver", f"{root}/silver"]
@@ -27,7 +27,6 @@ def test_stream_snapshot_reconcile_compact(spark, tmp_path, capsys):
     assert main(["snapshot", *places, "--bronze", f"{root}/bronze", "--output", str(tmp_path / "b"), "--namespace", "real:"]) == 0
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report["totals"]["events"] == 60 and report["data_source"] == "synthetic"
-    assert main(["compact", "--serving", f"{root}/serving"]) == 0
     reconcile = ["reconcile", *places, "--serving", f"{root}/serving", "--output", str(tmp_path / "m")]
     assert main(reconcile) == 0
     extra = spark.read.parquet(f"{root}/silver").limit(1).selectExpr("* except (event_id)", "'extra' as event_id")
