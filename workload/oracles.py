@@ -173,20 +173,41 @@ scaled AS (
   FROM estimates
 )"""
 
-PROGRESS = """
-progress AS (
-  SELECT ['bronze-v1', 'silver-v1', 'quarantine-v1', 'sales-1m-v1', 'trending-5m-v1'][CAST(user_id AS BIGINT) % 5 + 1]
-           AS query_name,
-         CAST(floor(epoch(date_trunc('second', event_ts)) / 3600) AS BIGINT) AS batch_id,
-         count(*) FILTER (event_type <> 'error') AS n, CAST(sum(quantity) AS BIGINT) AS ms,
-         count(*) FILTER (event_type = 'view') AS late, count(*) FILTER (event_type = 'cart') AS repeated,
-         max(event_ts) AS updated_at
-  FROM ev GROUP BY ALL
+DELIVERED = """
+delivered AS (
+  SELECT *, unnest(CASE WHEN source_row % 20 = 3 THEN [least(week + 3, 4)]
+                        WHEN source_row % 20 = 13 THEN [least(week + 1, 4)]
+                        WHEN source_row % 10 = 9 THEN [week, least(week + 1, 4)] ELSE [week] END) AS round
+  FROM (SELECT *, CAST((day(event_ts) - 1) // 7 AS INTEGER) AS week FROM ev)
 ),
-newest AS (
-  SELECT * FROM progress
-  QUALIFY row_number() OVER (PARTITION BY query_name ORDER BY updated_at DESC, batch_id DESC) = 1
-)"""
+marks AS (
+  SELECT CAST(r AS INTEGER) AS round, max(epoch_ms(event_ts)) - 864000000 AS mark
+  FROM range(6) t(r) LEFT JOIN delivered d ON d.round < r AND event_type <> 'error' GROUP BY r
+),
+judged AS (
+  SELECT d.*, event_type <> 'error' AND coalesce(epoch_us(event_ts) <= mark * 1000, false) AS late
+  FROM delivered d JOIN marks USING (round)
+),
+accepted AS (
+  SELECT * FROM judged WHERE event_type <> 'error' AND NOT late
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY round) = 1
+),
+rounds AS (
+  SELECT round, count(*) AS delivered, count(*) FILTER (late) AS late,
+         count(*) FILTER (event_type <> 'error' AND NOT late) AS in_time
+  FROM judged GROUP BY round
+),
+kept AS (SELECT round, count(*) AS accepted FROM accepted GROUP BY round)"""
+
+# Rows of the month's file, numbered as they stand in it, and the price text of a row.
+NUMBERED = """
+numbered_csv AS (SELECT *, row_number() OVER (ORDER BY source_row) AS line FROM history_routed)"""
+
+CSV_PRICE = """CASE c WHEN 0 THEN 'NaN' WHEN 1 THEN '1.001'
+  ELSE CAST(price_paise // 100 AS VARCHAR) || '.' || lpad(CAST(price_paise % 100 AS VARCHAR), 2, '0') END"""
+
+# Lines of a file are taken in a year later: no time lies in the future.
+FOUND_VALID = "(reject_reason IS NULL OR reject_reason = 'event timestamp too far in the future')"
 
 EVENT_OUT = """event_id, user_id, session_id, event_type, product_id, 'Item ' || product_id AS product_name,
   category, quantity, price_paise, source_row, event_ts"""
@@ -518,19 +539,24 @@ sketch AS (SELECT seed, cell, CAST(sum(n) AS BIGINT) AS hits FROM cells GROUP BY
     "bloom_membership": _with(
         """
 shape AS (
-  SELECT bits, CAST(greatest(1, round(bits / n * ln(2))) AS BIGINT) AS hashes FROM (
-    SELECT count(*) AS n, CAST(ceil(-count(*) * ln(0.01) / (ln(2) * ln(2))) AS BIGINT) AS bits
-    FROM silver WHERE event_type = 'purchase')
+  SELECT *, CAST(ceil(bits / buckets) AS BIGINT) AS size FROM (
+    SELECT bits, CAST(greatest(1, round(bits / n * ln(2))) AS BIGINT) AS hashes,
+           CAST(ceil(bits / 32768) AS BIGINT) AS buckets
+    FROM (SELECT count(*) AS n, CAST(ceil(-count(*) * ln(0.01) / (ln(2) * ln(2))) AS BIGINT) AS bits
+          FROM silver WHERE event_type = 'purchase'))
+),
+digests AS (
+  SELECT event_id, event_type = 'purchase' AS inserted, sha256('0:' || event_id) AS d FROM silver
 ),
 cells AS (
-  SELECT event_id, event_type = 'purchase' AS inserted,
-    ('0x' || substr(sha256('0:' || event_id), CAST(seed * 8 + 1 AS BIGINT), 8))::BIGINT % bits AS cell
-  FROM silver, shape, range(8) s(seed) WHERE seed < hashes
+  SELECT event_id, inserted, ('0x' || substr(d, 1, 8))::BIGINT % buckets AS bucket,
+         ('0x' || substr(d, CAST(seed * 8 + 1 AS BIGINT), 8))::BIGINT % size AS cell
+  FROM digests, shape, range(1, 8) s(seed) WHERE seed <= hashes
 ),
-bitset AS (SELECT DISTINCT cell FROM cells WHERE inserted),
+bitset AS (SELECT DISTINCT bucket, cell FROM cells WHERE inserted),
 answers AS (
   SELECT event_id, inserted, bool_and(b.cell IS NOT NULL) AS present
-  FROM cells c LEFT JOIN bitset b USING (cell) GROUP BY event_id, inserted
+  FROM cells c LEFT JOIN bitset b USING (bucket, cell) GROUP BY event_id, inserted
 )""",
         select="""SELECT count(*) FILTER (NOT inserted) AS absent_probes,
           count(*) FILTER (NOT inserted AND present) AS false_positives,
@@ -552,7 +578,8 @@ funnel AS (
   SELECT count(first_cart) AS cart_sessions, count(*) FILTER (last_purchase >= first_cart) AS converted_sessions
   FROM sessions
 )""",
-        select="""SELECT 'synthetic' AS data_source, count(*) AS events,
+        select="""SELECT 'synthetic' AS data_source, 'events' AS source,
+          'Generated records: every purchase is an order of one product.' AS definition, count(*) AS events,
           count(*) FILTER (event_type = 'purchase') AS purchases,
           CAST(sum(CASE WHEN event_type = 'purchase' THEN quantity * price_paise ELSE 0 END) AS BIGINT)
             AS revenue_paise,
@@ -585,27 +612,174 @@ ranked AS (
     ),
     "stream_tumbling": _with(TUMBLING, select="SELECT * FROM tumbling"),
     "stream_sliding": _with(SPREAD, SLIDING, select="SELECT * FROM sliding"),
-    "stage_health": _with(
-        PROGRESS,
-        select="""SELECT query_name, CASE query_name
-            WHEN 'bronze-v1' THEN 'raw records' WHEN 'silver-v1' THEN 'valid events, once each'
-            WHEN 'quarantine-v1' THEN 'refused records' WHEN 'sales-1m-v1' THEN 'totals by minute'
-            ELSE 'activity over five minutes' END AS step,
-          CASE WHEN age < 30 THEN 'Recent progress' ELSE 'Idle or needs checking' END AS state,
-          CAST(round(age) AS BIGINT) AS seconds_since_update
-        FROM (SELECT *, (epoch_us((SELECT max(updated_at) FROM newest)) + 20000000 - epoch_us(updated_at)) / 1e6
-          AS age FROM newest)""",
+    "stream_late_rows": _with(
+        DELIVERED,
+        select="""SELECT round, delivered, late, in_time - coalesce(accepted, 0) AS repeated,
+          coalesce(accepted, 0) AS accepted FROM rounds LEFT JOIN kept USING (round)""",
     ),
+    "stream_restart": _with(
+        DELIVERED,
+        select=f"""SELECT time_bucket(INTERVAL 1 MINUTE, event_ts) AS window_start,
+          time_bucket(INTERVAL 1 MINUTE, event_ts) + INTERVAL 1 MINUTE AS window_end, category, product_id, {MEASURES}
+        FROM accepted GROUP BY ALL""",
+    ),
+    "stream_state": _with(
+        DELIVERED,
+        select="""SELECT event_id, event_ts + INTERVAL 10 DAY AS known_until FROM accepted
+        WHERE epoch_us(event_ts) + 864000000000 > (SELECT mark FROM marks WHERE round = 5) * 1000""",
+    ),
+    "pipeline_health": """SELECT query_name, step, 'Recent progress' AS state, CAST(0 AS BIGINT) AS seconds_since_update,
+          'Idle or needs checking' AS state_later, CAST(3600 AS BIGINT) AS seconds_later
+        FROM (VALUES ('bronze-v1', 'raw records'), ('silver-v1', 'valid events, once each'),
+                     ('quarantine-v1', 'refused records'), ('sales-1m-v1', 'totals by minute'),
+                     ('trending-5m-v1', 'activity over five minutes')) q(query_name, step)""",
     "quality_counters": _with(
-        PROGRESS,
-        select="""SELECT query_name, batch_id,
-          CASE WHEN query_name = 'silver-v1' THEN repeated::DOUBLE END AS repeated_events_removed,
-          CASE WHEN query_name <> 'bronze-v1' THEN late::DOUBLE END AS late_events_removed FROM newest""",
+        DELIVERED,
+        select="""SELECT query_name,
+          CASE WHEN query_name = 'silver-v1' THEN (in_time - coalesce(accepted, 0))::DOUBLE END AS repeated_events_removed,
+          CASE query_name WHEN 'silver-v1' THEN late::DOUBLE WHEN 'sales-1m-v1' THEN 0::DOUBLE WHEN 'trending-5m-v1' THEN 0::DOUBLE END
+            AS late_events_removed
+        FROM rounds LEFT JOIN kept USING (round),
+             (VALUES ('bronze-v1'), ('silver-v1'), ('quarantine-v1'), ('sales-1m-v1'), ('trending-5m-v1')) q(query_name)
+        WHERE round = 4""",
     ),
     "stage_throughput": _with(
-        PROGRESS,
-        select="""SELECT query_name, count(*) AS batches, CAST(sum(n) AS BIGINT) AS rows,
-          CAST(sum(n) AS DOUBLE) * 1000.0 / CAST(sum(ms) AS DOUBLE) AS rows_per_second
-        FROM progress WHERE n > 0 GROUP BY query_name""",
+        DELIVERED,
+        select="""SELECT query_name, count(*) AS batches,
+          CAST(sum(CASE WHEN query_name IN ('sales-1m-v1', 'trending-5m-v1') THEN accepted ELSE delivered END) AS BIGINT)
+            AS rows,
+          true AS measured
+        FROM rounds JOIN kept USING (round),
+             (VALUES ('bronze-v1'), ('silver-v1'), ('quarantine-v1'), ('sales-1m-v1'), ('trending-5m-v1')) q(query_name)
+        GROUP BY query_name""",
+    ),
+
+    "merged_users": _with(
+        SPREAD,
+        """
+grains AS (
+  SELECT 'window' AS grain, strftime(window_start, '%Y-%m-%d %H:%M') AS key, user_id FROM spread
+  UNION ALL SELECT 'period', period, user_id FROM silver
+  UNION ALL SELECT 'category', category, user_id FROM silver
+  UNION ALL SELECT 'all', 'all', user_id FROM silver
+)""",
+        select="SELECT grain, key, count(DISTINCT user_id) AS active_users_exact, true AS within_bound FROM grains GROUP BY ALL",
+    ),
+    "price_quantiles": _with(
+        select="""SELECT product_id, probability, count(price_paise) AS n, true AS within_bound
+        FROM silver, (SELECT unnest([0.1, 0.5, 0.95]::DOUBLE[]) AS probability) GROUP BY ALL"""
+    ),
+    "purchase_time_quantiles": _with(
+        PAIRS,
+        TIMINGS,
+        select="""SELECT product_id, probability, count(*) AS n, true AS within_bound
+        FROM timings, (SELECT unnest([0.5, 0.9]::DOUBLE[]) AS probability) GROUP BY ALL""",
+    ),
+    "source_rows": _with(
+        CSV,
+        select=f"""SELECT compression, row_number() OVER (PARTITION BY compression ORDER BY source_row) AS source_row,
+          strftime(happened, '%Y-%m-%d %H:%M:%S UTC') AS event_time, product_id, {CSV_PRICE} AS price
+        FROM csv, (VALUES ('none'), ('gzip')) k(compression)""",
+    ),
+    "month_import": _with(
+        CSV,
+        select="""SELECT '2024-Jan' AS month, 'complete' AS status,
+          count(*) AS source_rows, count(*) FILTER (reason IS NULL) AS accepted_rows,
+          count(*) FILTER (reason IS NOT NULL) AS rejected_rows,
+          count(*) FILTER (reason IS NULL AND kind = 'view') AS view_rows,
+          count(*) FILTER (reason IS NULL AND kind = 'cart') AS cart_rows,
+          count(*) FILTER (reason IS NULL AND kind = 'purchase') AS purchase_rows,
+          count(*) FILTER (reason IS NULL AND kind = 'remove_from_cart') AS remove_from_cart_rows,
+          min(happened) FILTER (reason IS NULL) AS first_event_time, max(happened) FILTER (reason IS NULL) AS last_event_time,
+          count(*) FILTER (reason IS NULL) AS stored_rows
+        FROM history_routed""",
+    ),
+    "month_events": _with(
+        CSV,
+        NUMBERED,
+        select="""SELECT 'shop-2024-Jan-row-' || line AS event_id, line AS source_row, happened AS event_time,
+          kind AS event_type, product_id, user_id, CASE WHEN c <> 5 THEN session_id END AS session_id,
+          cat AS category, 'brand-' || substr(product_id, 2) AS brand, price_paise AS price_minor,
+          strftime(happened, '%Y-%m-%d') AS event_date
+        FROM numbered_csv WHERE reason IS NULL""",
+    ),
+    "month_rejects": _with(
+        CSV,
+        NUMBERED,
+        select=f"SELECT line AS source_row, reason, {CSV_PRICE} AS price FROM numbered_csv WHERE reason IS NOT NULL",
+    ),
+    "republished_dates": _with(
+        select="""SELECT event_id, event_ts AS event_time, strftime(event_ts, '%Y-%m-%d') AS event_date,
+          price_paise + CASE WHEN strftime(event_ts, '%Y-%m-%d') IN ('2024-01-05', '2024-01-20') THEN 1 ELSE 0 END
+            AS price_minor
+        FROM silver"""
+    ),
+    "bucketed_customers": _with(PERIODS, select="SELECT * FROM periods"),
+    "bucketed_journeys": _with(PAIRS, select="SELECT * FROM pairs"),
+    "merged_scan": _with(
+        select="""SELECT event_id, event_ts, price_paise, CASE WHEN source_row % 2 = 1 THEN source_row::DOUBLE END AS source_row,
+          CAST(CASE WHEN source_row % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS generation FROM silver"""
+    ),
+    "months_union": _with(
+        select="""SELECT event_id, event_type,
+          CASE WHEN period IN ('w1', 'w3') THEN category END AS category FROM silver"""
+    ),
+    "path_prefix_sample": _with(
+        select="SELECT event_id, source_row, event_type FROM silver ORDER BY source_row LIMIT 500"
+    ),
+    "json_lines": _with(
+        BAD,
+        select=f"SELECT row_number() OVER (ORDER BY source_row) AS line, {FOUND_VALID} AS valid FROM bad",
+    ),
+    "nested_timelines": _with(
+        """
+chosen AS (
+  SELECT user_id, session_id, count(*) AS total_actions FROM silver
+  GROUP BY user_id, session_id ORDER BY user_id, session_id LIMIT 10
+),
+shown AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, session_id ORDER BY event_ts, source_row) AS position
+  FROM silver JOIN chosen USING (user_id, session_id)
+)""",
+        select="""SELECT user_id, session_id, total_actions, CAST(count(*) AS INTEGER) AS shown,
+          string_agg(event_type || ':' || product_id, ',' ORDER BY position) AS steps
+        FROM shown WHERE position <= 200 GROUP BY ALL""",
+    ),
+    "snapshot_report": _with(
+        TUMBLING,
+        """
+sessions AS (
+  SELECT session_id, min(event_ts) FILTER (event_type = 'cart') AS first_cart,
+         max(event_ts) FILTER (event_type = 'purchase') AS last_purchase
+  FROM silver GROUP BY session_id
+)""",
+        select="""SELECT 'r' AS run_id, count(*) AS events, count(*) FILTER (event_type = 'purchase') AS purchases,
+          CAST(sum(CASE WHEN event_type = 'purchase' THEN quantity * price_paise ELSE 0 END) AS BIGINT) AS revenue_paise,
+          count(DISTINCT user_id) AS active_users_exact,
+          (SELECT count(first_cart) FROM sessions) AS cart_sessions,
+          (SELECT count(*) FILTER (last_purchase >= first_cart) FROM sessions) AS converted_sessions,
+          CAST(0 AS BIGINT) AS conflicting_event_ids,
+          'Generated records: every purchase is an order of one product.' AS definition,
+          (SELECT count(*) FROM tumbling) AS windows, count(*) AS window_events
+        FROM silver""",
+    ),
+    "customer_report": _with(
+        CSV,
+        select="""SELECT count(*) AS accepted_rows, '2024-01' AS period, count(*) AS actions,
+          count(DISTINCT user_id) AS customers, count(*) FILTER (kind = 'view') AS views,
+          count(*) FILTER (kind = 'cart') AS carts, count(*) FILTER (kind = 'purchase') AS purchases,
+          CAST(sum(CASE WHEN kind = 'purchase' THEN price_paise ELSE 0 END) AS DOUBLE) / 100.0 AS purchase_price_sum
+        FROM history_routed WHERE reason IS NULL""",
+    ),
+    "fixture_report": _with(
+        BAD,
+        select=f"""SELECT count(*) + count(*) FILTER (source_row % 10 = 9) AS input_lines,
+          count(*) FILTER (source_row % 10 = 9 AND {FOUND_VALID}) AS duplicate_records,
+          count(*) FILTER ({FOUND_VALID}) AS events,
+          count(*) FILTER ({FOUND_VALID} AND event_type = 'purchase') AS purchases,
+          CAST(sum(CASE WHEN {FOUND_VALID} AND event_type = 'purchase' THEN quantity * price_paise ELSE 0 END) AS BIGINT)
+            AS revenue_paise
+        FROM bad""",
     ),
 }
+ORACLES["recent_events_pruned"] = ORACLES["recent_events"]
