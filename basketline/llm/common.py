@@ -7,10 +7,10 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketline.session import hadoop_path, pin_runtime, shared_folder, through_table
+from basketline.session import hadoop_path, pin_runtime, shared_folder
 
 _scopes: list[list[str]] = []  # folders of the open scopes, the innermost last
 
@@ -24,7 +24,8 @@ def stored(frame: DataFrame) -> DataFrame:
     folder = shared_folder(frame.sparkSession)
     if _scopes:
         _scopes[-1].append(folder)
-    out = through_table(frame, folder)
+    frame.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+    out = frame.sparkSession.read.schema(frame.schema).parquet(folder)
     out._folder = folder
     return out
 
@@ -78,6 +79,88 @@ def document_rows(documents: DataFrame) -> DataFrame:
     )
 
 
+def identified(documents: DataFrame, name: str = "row_id") -> tuple[DataFrame, str, bool]:
+    """The documents with a long that no two rows share, its column, and whether it is doc_id in every row.
+
+    It is doc_id for the only or the first row that has it, by a hash of the text, then in storage order. Further
+    rows of a doc_id and rows without one have numbers behind all doc_ids. So each row is a document of its own.
+    """
+    name = fresh(documents.columns, name)
+    own = F.col("doc_id").cast("long")
+    counted = documents.select(own.alias("_id")).groupBy("_id").agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_top"))
+    facts = counted.agg(F.max("_top").alias("top"), F.count_if((F.col("_n") > 1) | F.col("_id").isNull()).alias("odd")).first()
+    if not facts["odd"]:
+        return documents.withColumn(name, own), name, True
+    rows, mark, seen = (fresh([*documents.columns, name], c) for c in ("row_no", "text_hash", "seen_id"))
+    kept = documents.withColumn(rows, F.monotonically_increasing_id())
+    kept = stored(kept.withColumn(mark, F.xxhash64(F.col("text").cast("string"))))
+    first = kept.where(own.isNotNull()).groupBy(own.alias(seen)).agg(F.min(F.struct(mark, rows)).alias("_first"))
+    first = first.select(seen, F.col(f"_first.{rows}").alias("_row"))
+    joined = kept.join(first, (own == F.col(seen)) & (F.col(rows) == F.col("_row")), "left")
+    behind = F.lit((facts["top"] or 0) + 1).cast("long") + F.col(rows)
+    out = joined.withColumn(name, F.when(F.col("_row").isNotNull(), own).otherwise(behind))
+    return stored(out.select(*documents.columns, name)), name, False
+
+
+def screened(rows: DataFrame, ids: DataFrame, column: str, bits: int = 1 << 26) -> DataFrame:
+    """The rows whose ``column`` is in ``ids`` (one column), without moving most of the others.
+
+    A table of bitmaps over hashes of the ids, of ``bits`` bits whatever their number, is broadcast and
+    turns away most other rows where they are; a join decides on the rest.
+    """
+    key = ids.columns[0]
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    set_bits = ids.select(place(key).alias("_at")).select(F.shiftright("_at", 15).alias("_part"), (F.col("_at") % 32768).alias("_bit"))
+    table = set_bits.groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.substring("_bits", (F.floor(F.col("_at") % 32768 / 8) + 1).cast("int"), F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), (F.col("_at") % 8).cast("int")) == 1
+    some = rows.withColumn("_at", place(column)).withColumn("_part", F.shiftright("_at", 15))
+    some = some.join(F.broadcast(table), "_part").where(is_set).select(*rows.columns)
+    return some.join(ids.select(F.col(key).alias(column)).distinct(), column, "left_semi").select(*rows.columns)
+
+
+def key_rows(ids: np.ndarray, keys: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """(key, id, head, n) for the keys of some rows: keys[at[i] : at[i + 1]] are those of ids[i].
+
+    The smallest id of each key is its head here, and has the number of ids; the others name their head. So a key
+    that many rows have is one row without head for each batch.
+    """
+    owner = np.repeat(ids, np.diff(at))
+    order = np.lexsort((owner, keys))
+    keys, owner = keys[order], owner[order]
+    again = np.zeros(len(keys), bool)
+    again[1:] = (keys[1:] == keys[:-1]) & (owner[1:] == owner[:-1])
+    keys, owner = keys[~again], owner[~again]
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    begin = np.flatnonzero(first)
+    size = np.diff(np.append(begin, len(keys)))
+    group = np.cumsum(first) - 1
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(keys.view(np.int64)), pa.array(owner), pa.array(owner[begin][group], pa.int64(), mask=first),
+            pa.array(np.where(first, size[group], 1).astype(np.int32)),
+        ],
+        names=["key", "id", "head", "n"],
+    )
+
+
+KEY_ROWS = "key long, id long, head long, n int"
+
+
+def led_by_heads(keys: DataFrame) -> DataFrame:
+    """(key, id, leader) of every key of ``key_rows`` that two or more ids have, after one exchange.
+
+    Heads are led by the smallest of their key, the others by their head; only heads of a key come together.
+    """
+    over = Window.partitionBy("key", "head")
+    is_head = F.col("head").isNull()
+    found = keys.withColumns({"first": F.min("id").over(over), "last": F.max("id").over(over)})
+    found = found.where(~is_head | (F.col("first") < F.col("last")) | (F.col("n") > 1))
+    # The same id may come from several batches.
+    return found.select("key", "id", F.when(is_head, F.col("first")).otherwise(F.col("head")).alias("leader")).distinct()
+
+
 def led(keys: DataFrame) -> DataFrame:
     """(key, id, leader) of every key that two or more ids have; the leader is the smallest id.
 
@@ -112,28 +195,35 @@ def components(edges: DataFrame, part: int = 100_000) -> DataFrame:
 
     Distributed union-find: parts of at most about ``part`` edges are contracted to stars by a task each.
     While there are several parts, large-star and small-star steps connect neighbours with the
-    smallest node across parts, until every node hangs on a root. Each round is a stored table; only
-    counts reach the driver.
+    smallest node across parts, until every node hangs on a root. Each round is a stored table that takes the
+    place of the one before, and so is the result; only counts reach the driver.
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    pairs = stored(pairs.distinct())
-    while True:
-        parts = -(-pairs.count() // part)
-        if parts:
-            pairs = stored(pairs.repartition(parts).mapInArrow(_local_roots, "u long, v long"))
-        roots = pairs.select("v").distinct()
-        if parts <= 1 or pairs.join(roots.withColumnRenamed("v", "u"), "u", "left_semi").isEmpty():
-            # One part, or all edges lead to roots and each node has one.
-            if parts <= 1 or pairs.groupBy("u").count().where("count > 1").isEmpty():
-                return pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
-                    roots.select(F.col("v").alias("id"), F.col("v").alias("component"))
-                )
-        both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = stored(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = stored(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+
+    def replaced(old: DataFrame, new: DataFrame) -> DataFrame:
+        new = stored(new)
+        dropped(old)
+        return new
+
+    with scratch(edges.sparkSession) as keep:
+        pairs = stored(pairs.distinct())
+        while True:
+            parts = -(-pairs.count() // part)
+            if parts:
+                pairs = replaced(pairs, pairs.repartition(parts).mapInArrow(_local_roots, "u long, v long"))
+            roots = pairs.select("v").distinct()
+            if parts <= 1 or pairs.join(roots.withColumnRenamed("v", "u"), "u", "left_semi").isEmpty():
+                # One part, or all edges lead to roots and each node has one.
+                if parts <= 1 or pairs.groupBy("u").count().where("count > 1").isEmpty():
+                    own = roots.select(F.col("v").alias("id"), F.col("v").alias("component"))
+                    return keep(pairs.select(F.col("u").alias("id"), F.col("v").alias("component")).union(own))
+            both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            up = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            pairs = replaced(pairs, up.distinct())
+            least = pairs.groupBy("u").agg(F.min("v").alias("m"))
+            small = pairs.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            pairs = replaced(pairs, small.union(least.select("u", F.col("m").alias("v"))).distinct())
 
 
 def tiled(rows: DataFrame, payload: DataFrame, block: int = 2048, gathered: int = 2048) -> DataFrame:
@@ -168,53 +258,83 @@ def groups_of(found: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def linked(
-    keys: DataFrame,
+    members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
-    signed: Callable[[], DataFrame],
+    payload: Callable[[], DataFrame],
     may_link: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray],
+    exact: Callable[[pa.Table], Callable[[int, int], bool]] | None = None,
     rounds: int = 2,
 ) -> DataFrame:
-    """Components over all links that share a key: (id, component) of every id with a link.
+    """Components over all links that share a key: (id, component) of every id with a link; stored.
 
-    ``keys`` is (key, id) without repeats; ``verify`` turns candidate pairs (a, b) into those that
+    ``members`` is (key, id, leader); ``verify`` turns candidate pairs (a, b) into those that
     link. First every id is held against the leader of each of its keys, then what is not
     in the leader's component against the next leader: linear work that settles groups of near
     copies. Keys that still hold several components are then searched whole, in tiles of bounded size
-    inside tasks: ``may_link`` bounds the pairs of two sides of a tile from the signatures that
-    ``signed`` gives per id (as further columns), and only pairs of different components that it
-    leaves are made and verified. So no link between components is lost.
+    inside tasks: ``may_link`` bounds the pairs of two sides of a tile from the columns that
+    ``payload`` gives per id, and only pairs of different components that it leaves are looked at. With ``exact``
+    they are verified in the tile too, unless a link found there already connects them, and the tile returns a
+    forest; else they are verified as rows. So no link between components is lost.
     """
-    members = stored(led(keys))
-    rest, seen, edges = members, None, None
-    for _ in range(rounds):
-        pairs = rest.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-        pairs = stored(pairs.join(seen, ["a", "b"], "left_anti") if seen else pairs)
-        new = stored(verify(pairs))
-        seen, edges = (seen.union(pairs), edges.union(new)) if seen else (pairs, new)
-        known = stored(components(edges))
-        tag = known.select(F.col("id").alias("leader"), F.col("component").alias("leads"))
-        rest = rest.join(known, "id", "left").join(tag, "leader", "left")
-        rest = rest.where(F.coalesce("component", "id") != F.coalesce("leads", "leader")).select("key", "id")
-        rest = stored(led(rest))
-    tagged = members.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    several = tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    rest = stored(tagged.join(several.where("lo < hi").select("key"), "key"))
-    if rest.isEmpty():
-        return known
-
-    def bounded(found: pa.Table) -> pa.Table:
-        ids, component = found.column("id").to_numpy(), found.column("component").to_numpy()
-        a, b = [ids[:0]], [ids[:0]]
-        for left, right in groups_of(found):
-            ok = (component[left][:, None] != component[right][None]) & may_link(found, left, right)
-            x, y = np.nonzero(np.triu(ok) if left is right else ok)
-            a.append(np.minimum(ids[left[x]], ids[right[y]]))
-            b.append(np.maximum(ids[left[x]], ids[right[y]]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)}).group_by(["a", "b"]).aggregate([])
-
-    cross = tiled(rest, signed()).groupBy("bucket").applyInArrow(bounded, "a long, b long").distinct()
-    more = stored(verify(stored(cross.join(seen, ["a", "b"], "left_anti"))))
-    return components(edges.union(more))
+    with scratch(members.sparkSession) as keep:
+        members = stored(members)
+        rest, edges, seen = members, [], []
+        for _ in range(rounds):
+            pairs = rest.where("id <> leader").select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
+            for before in seen:
+                pairs = pairs.join(before, ["a", "b"], "left_anti")
+            seen.append(stored(pairs))
+            edges.append(stored(verify(seen[-1])))
+            known = components(_union(edges))
+            tag = known.select(F.col("id").alias("leader"), F.col("component").alias("leads"))
+            left = rest.join(known, "id", "left").join(tag, "leader", "left")
+            left = left.where(F.coalesce("component", "id") != F.coalesce("leads", "leader")).select("key", "id")
+            left = stored(led(left))
+            if rest is not members:
+                dropped(rest)
+            rest = left
+        tagged = members.join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        several = tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        rest = stored(tagged.join(several.where("lo < hi").select("key"), "key"))
+        dropped(members)
+        if rest.isEmpty():
+            return keep(known)
+
+        def bounded(found: pa.Table) -> pa.Table:
+            ids, component = found.column("id").to_numpy(), found.column("component").to_numpy()
+            holds = exact(found) if exact else None
+            label = component.copy()  # components that links of this bucket have put together have one label
+            a, b = [], []
+            for left, right in groups_of(found):
+                ok = may_link(found, left, right)
+                if left is right:
+                    ok = np.triu(ok, 1)
+                for x in np.flatnonzero(ok.any(1)).tolist():
+                    one = int(left[x])
+                    for other in right[np.flatnonzero(ok[x] & (label[right] != label[one]))].tolist():
+                        if label[other] == label[one]:
+                            continue
+                        if holds:
+                            if not holds(one, other):
+                                continue
+                            label[label == label[other]] = label[one]
+                        a.append(min(ids[one], ids[other]))
+                        b.append(max(ids[one], ids[other]))
+            return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}).group_by(["a", "b"]).aggregate([])
+
+        cross = tiled(rest, payload()).groupBy("bucket").applyInArrow(bounded, "a long, b long").distinct()
+        if not exact:
+            for before in seen:
+                cross = cross.join(before, ["a", "b"], "left_anti")
+            cross = verify(stored(cross))
+        return keep(components(_union([*edges, cross])))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.union(frame)
+    return out
 
 
 def bitmap(codes: np.ndarray) -> bytes:
@@ -247,6 +367,15 @@ def most_in_common(found: pa.Table, left: np.ndarray, right: np.ndarray) -> np.n
     return np.minimum(n[left][:, None] - own_x[:, None] + both, n[right][None] - own_y[None] + both)
 
 
+def bits_in_common(x: pa.Buffer, y: pa.Buffer, n_x: int, n_y: int) -> int:
+    """``most_in_common`` of two sets."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_or.reduce(v.reshape(-1, size), 0) if len(v) > size else v for v in (x, y))
+    own_x, own_y, both = (int(np.bitwise_count(v).sum()) for v in (x, y, x & y))
+    return min(n_x - own_x + both, n_y - own_y + both)
+
+
 def intersection(x: np.ndarray, y: np.ndarray) -> int:
     """Size of the intersection of two sorted arrays of distinct codes."""
     x, y = (x, y) if len(x) <= len(y) else (y, x)
@@ -255,6 +384,24 @@ def intersection(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.count_nonzero(y[at] == x)) if len(x) else 0
 
 
+def overlaps(x: np.ndarray, x_at: np.ndarray, y: np.ndarray, y_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of the sets of mixed codes of row i on both sides, and of their intersection; codes may repeat.
+
+    Rows are taken 4096 at a time, so that a row's number and 52 bits of a code make one number to sort.
+    """
+    out = []
+    for lo in range(0, len(x_at) - 1, 4096):
+        parts = []
+        for codes, at in ((x, x_at[lo : lo + 4097]), (y, y_at[lo : lo + 4097])):
+            row = np.repeat(np.arange(len(at) - 1, dtype=np.uint64), np.diff(at))
+            key = np.sort((row << np.uint64(52)) | (codes[at[0] : at[-1]] >> np.uint64(12)))
+            parts.append(key[np.append(True, key[1:] != key[:-1])] if len(key) else key)
+        both = np.sort(np.concatenate(parts))
+        parts.append(both[1:][both[1:] == both[:-1]])
+        out.append([np.bincount((p >> np.uint64(52)).astype(np.int64), minlength=len(at) - 1) for p in parts])
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+
+
 def sets_link(pairs: DataFrame, own: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets (id, n, bits, codes) have a Jaccard similarity of num / den or more."""
 

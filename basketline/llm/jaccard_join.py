@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketline.llm import textcodes as X
-from basketline.llm.common import bitmap, document_rows, linked, most_in_common, sets_link, stored
+from basketline.llm.common import (
+    KEY_ROWS, bitmap, bits_in_common, document_rows, key_rows, led_by_heads, linked, most_in_common, scratch, screened, sets_link, stored,
+)
 
 
 @lru_cache(maxsize=16)
@@ -56,7 +58,7 @@ def _rows(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
 
 
 def profiles(documents: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
-    """doc_id, size and 128-bit name of the shingle set, and the tile keys."""
+    """doc_id, size and 128-bit name of the shingle set, its bitmap, and the tile keys."""
 
     def run(batches):
         for big in batches:
@@ -68,34 +70,65 @@ def profiles(documents: DataFrame, shingle: int, num: int, den: int) -> DataFram
                         pa.array([len(s) for s in found], pa.int64()),
                         pa.array(np.array([X.mix(s).sum(dtype=X.U) for s in found], X.U).view(np.int64)),
                         pa.array(np.array([X.mix(s ^ X.U(X.ODD)).sum(dtype=X.U) for s in found], X.U).view(np.int64)),
+                        pa.array(map(bitmap, found), pa.binary()),
                         X.long_list([tile_keys(s, num, den) if len(s) else s for s in found]),
                     ],
-                    names=["doc_id", "n_shingles", "name_a", "name_b", "keys"],
+                    names=["doc_id", "n_shingles", "name_a", "name_b", "bits", "keys"],
                 )
 
-    return document_rows(documents).mapInArrow(
-        run, "doc_id long, n_shingles long, name_a long, name_b long, keys array<long>"
-    )
+    kind = "doc_id long, n_shingles long, name_a long, name_b long, bits binary, keys array<long>"
+    return document_rows(documents).mapInArrow(run, kind)
 
 
-def signed_sets(documents: DataFrame, shingle: int) -> DataFrame:
-    """id, size, bitmap signature and the sorted set itself."""
+def shingle_sets(documents: DataFrame, shingle: int) -> DataFrame:
+    """id, size and the sorted set itself."""
 
     def run(batches):
         for big in batches:
             for batch in X.slices(big, "text"):
                 found = list(_rows(batch.column("text"), shingle))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id"),
-                        pa.array([len(s) for s in found], pa.int64()),
-                        pa.array([bitmap(s) for s in found], pa.binary()),
-                        X.long_list(found),
-                    ],
-                    names=["id", "n", "bits", "codes"],
+                    [batch.column("doc_id"), pa.array([len(s) for s in found], pa.int64()), X.long_list(found)],
+                    names=["id", "n", "codes"],
                 )
 
-    return documents.mapInArrow(run, "id long, n long, bits binary, codes array<long>")
+    return documents.mapInArrow(run, "id long, n long, codes array<long>")
+
+
+def signatures_allow(pairs: DataFrame, signatures: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that their sizes and bitmaps (id, n, bits) do not keep from linking."""
+
+    def run(batches):
+        for batch in batches:
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            keep = np.zeros(batch.num_rows, bool)
+            sizes_fit = np.minimum(n_a, n_b) * den >= np.maximum(n_a, n_b) * num
+            for i in np.flatnonzero(sizes_fit).tolist():
+                keep[i] = bits_in_common(batch.column("bits_a")[i].as_buffer(), batch.column("bits_b")[i].as_buffer(), int(n_a[i]), int(n_b[i])) * (num + den) >= (n_a[i] + n_b[i]) * num
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in "ab"], names=["a", "b"])
+
+    def side(s: str) -> DataFrame:
+        return signatures.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}"))
+
+    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a long, b long").distinct()
+
+
+def keyed(rows: DataFrame) -> DataFrame:
+    """``key_rows`` of the stored profiles; of equal sets in a batch only the first has keys."""
+
+    def run(batches):
+        for batch in batches:
+            name = np.stack([batch.column(c).to_numpy() for c in ("name_a", "name_b", "n_shingles")], 1)
+            ids = batch.column("doc_id").to_numpy()
+            order = np.lexsort((ids, name[:, 2], name[:, 1], name[:, 0]))
+            new = np.ones(len(ids), bool)
+            new[1:] = (name[order[1:]] != name[order[:-1]]).any(1)
+            some = batch.take(pa.array(np.sort(order[new])))
+            column = some.column("keys")
+            at = column.offsets.to_numpy().astype(np.int64)
+            yield key_rows(some.column("doc_id").to_numpy(), column.flatten().to_numpy(zero_copy_only=False).view(np.uint64), at - at[0])
+
+    return rows.mapInArrow(run, KEY_ROWS)
 
 
 def jaccard_classes(documents: DataFrame, shingle: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -107,33 +140,40 @@ def jaccard_classes(documents: DataFrame, shingle: int = 3, num: int = 90, den:
     size 0, link with nothing and are kept. Rows that share a doc_id are one document; rows
     without doc_id link with nothing and have a null component. Other columns are not looked at.
     """
-    rows = stored(profiles(documents, shingle, num, den))
-    some = rows.where("n_shingles > 0 and doc_id is not null")
-    name = ["n_shingles", "name_a", "name_b"]
-    nodes = stored(some.groupBy(*name).agg(F.min("doc_id").alias("id")))
-    keys = some.join(nodes.select(*name, F.col("id").alias("doc_id")), [*name, "doc_id"], "left_semi")
-    keys = keys.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
     texts = document_rows(documents)
-    sets: list[DataFrame] = []
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        if not sets:  # the first pairs have every document that shares a tile
-            ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-            sets.append(stored(signed_sets(texts.join(ids, "doc_id", "left_semi"), shingle)))
-        return sets_link(pairs, sets[0], num, den)
-
-    def signed() -> DataFrame:
-        return sets[0].select("id", "n", "bits")
-
-    def may_link(found: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        n = found.column("n").to_numpy()
-        return most_in_common(found, left, right) * (num + den) >= (n[left][:, None] + n[right][None]) * num
-
-    found = linked(keys, verify, signed, may_link)
-    groups = nodes.join(found, "id", "left").select(*name, F.coalesce("component", "id").alias("component_id"))
-    # A doc_id with several rows: all of them get the smallest class that one of them is in.
-    out = rows.join(groups, name, "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-    )
-    return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
+    name = ["n_shingles", "name_a", "name_b"]
+    with scratch(documents.sparkSession) as keep:
+        rows = stored(profiles(documents, shingle, num, den))
+        some = rows.where("n_shingles > 0 and doc_id is not null")
+        nodes = stored(some.groupBy(*name).agg(F.min("doc_id").alias("id")))
+        # Rows whose set another row has too stand for that row, their node.
+        copies = some.select("doc_id", *name).join(nodes, name).where("doc_id <> id").select("doc_id", F.col("id").alias("node"))
+        copies = stored(copies.distinct().join(nodes.select(F.col("id").alias("doc_id")), "doc_id", "left_anti"))
+
+        def of_nodes(members: DataFrame, column: str) -> DataFrame:
+            node = copies.select(F.col("doc_id").alias(column), "node")
+            return members.join(node, column, "left").withColumn(column, F.coalesce("node", column)).drop("node")
+
+        members = of_nodes(of_nodes(led_by_heads(keyed(some)), "id"), "leader").distinct()
+        signatures = some.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bits")
+
+        def verify(pairs: DataFrame) -> DataFrame:
+            """The bound by bitmaps first; the sets are made and moved only for pairs that it leaves."""
+            with scratch(documents.sparkSession) as keep:
+                close = stored(signatures_allow(pairs, signatures, num, den))
+                ids = stored(close.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+                own = stored(shingle_sets(screened(texts, ids, "doc_id"), shingle))
+                return keep(sets_link(close, own, num, den))
+
+        def may_link(found: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            n = found.column("n").to_numpy()
+            return most_in_common(found, left, right) * (num + den) >= (n[left][:, None] + n[right][None]) * num
+
+        found = linked(members, verify, lambda: signatures, may_link)
+        groups = nodes.join(found, "id", "left").select(*name, F.coalesce("component", "id").alias("component_id"))
+        # A doc_id with several rows: all of them get the smallest class that one of them is in.
+        out = rows.join(groups, name, "left").select(
+            "doc_id", "n_shingles",
+            F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+        )
+        return keep(out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))
