@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from bisect import bisect_left
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -24,10 +25,8 @@ ENDS = {
     "body": ({"head"}, {"html"}),
 }
 _P = ({"p"}, {"table", "td", "th", "button", "object"})
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.S,
-)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_MARK = re.compile("[\"'>]")
 _NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+|[0-9]+")
 
@@ -45,13 +44,50 @@ class Tree:
         self.linked: list[int] = [0]  # characters of a run inside links
 
 
+class _Tags:
+    """Where tags end: at the first > outside of quotes, or at the first > at all where quotes never close.
+
+    Marks are found once for the whole page, and a quote from which no end was reached is remembered, so
+    the work grows with the page however broken it is.
+    """
+
+    def __init__(self, page: str):
+        self.marks = [m.start() for m in _MARK.finditer(page)]
+        self.of = {c: [i for i in self.marks if page[i] == c] for c in "\"'>"}
+        self.page = page
+        self.dead: set[int] = set()
+
+    def _next(self, places: list[int], at: int) -> int:
+        i = bisect_left(places, at)
+        return places[i] if i < len(places) else -1
+
+    def end(self, at: int) -> int:
+        """The place of the > that ends a tag whose name ends at ``at``; -1 without any."""
+        seen: list[int] = []
+        place = at
+        while True:
+            mark = self._next(self.marks, place)
+            if mark >= 0 and self.page[mark] == ">":
+                return mark
+            close = -1 if mark < 0 or mark in self.dead else self._next(self.of[self.page[mark]], mark + 1)
+            if close < 0:
+                self.dead.update(seen)
+                if mark >= 0:
+                    self.dead.add(mark)
+                return self._next(self.of[">"], at)
+            seen.append(mark)
+            place = close + 1
+
+
 def parse(page: str) -> Tree:
-    """Read a page however broken: unknown ends are skipped, open elements end where they must."""
+    """Read a page however broken: unknown ends are skipped, open elements end where they must. Linear in the page."""
     tree = Tree()
     parent, tag, attrs, text, linked = tree.parent, tree.tag, tree.attrs, tree.text, tree.linked
     stack = [0]
+    depths: dict[str, list[int]] = {}  # where elements of each tag stand in the stack
     run: list[str] = []
     in_link = links = 0
+    tags = _Tags(page)
 
     def flush() -> None:
         nonlocal links
@@ -74,38 +110,51 @@ def parse(page: str) -> Tree:
             if in_link:
                 links += len(piece.strip())
 
+    def nearest(kinds) -> int:
+        return max((depths[k][-1] for k in kinds if depths.get(k)), default=0)
+
+    def cut(depth: int) -> None:
+        flush()
+        while len(stack) > depth:
+            depths[tag[stack.pop()]].pop()
+
     def close(kinds: set, until: set) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            name = tag[stack[depth]]
-            if name in kinds:
-                flush()
-                del stack[depth:]
-                return
-            if name in until:
-                return
+        depth = nearest(kinds)
+        if depth > nearest(until):
+            cut(depth)
 
     at, size = 0, len(page)
     while at < size:
-        found = _TOKEN.search(page, at)
-        if not found:
+        start = page.find("<", at)
+        if start < 0:
             add(page[at:])
             break
-        if found.start() > at:
-            add(page[at : found.start()])
-        at = found.end()
-        name = found.group(2) or found.group(5)
-        if not name:
+        follows = page[start + 1 : start + 2]
+        if page.startswith("<!--", start):
+            add(page[at:start])
+            end = page.find("-->", start + 4)
+            at = end + 3 if end >= 0 else size
+            continue
+        if follows in ("!", "?"):
+            add(page[at:start])
+            end = tags._next(tags.of[">"], start)
+            at = end + 1 if end >= 0 else size
+            continue
+        found = _NAME.match(page, start + 1)
+        end = tags.end(found.end()) if found else -1
+        if end < 0:
+            add(page[at : start + 1])
+            at = start + 1
             continue
-        name = name.lower()
-        if found.group(1) or found.group(4):
+        add(page[at:start])
+        at = end + 1
+        name = found.group(2).lower()
+        if found.group(1):
             if name == "a":
                 in_link = 0
             if name in BLOCK:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if tag[stack[depth]] == name:
-                        flush()
-                        del stack[depth:]
-                        break
+                if depths.get(name):
+                    cut(depths[name][-1])
                 in_link = 0
             continue
         if name in RAW:
@@ -130,9 +179,10 @@ def parse(page: str) -> Tree:
             continue
         parent.append(stack[-1])
         tag.append(name)
-        attrs.append((found.group(3) or found.group(6) or "").strip())
+        attrs.append(page[found.end() : end].strip())
         text.append("")
         linked.append(0)
+        depths.setdefault(name, []).append(len(stack))
         stack.append(len(tag) - 1)
     flush()
     return tree
