@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketline.llm import textcodes as X
-from basketline.llm.common import document_rows
+from basketline.llm.common import document_rows, scratch, stored
 
 BUCKETS = 1 << 20  # hashed words and beginnings
 BEGINNINGS = (4, 5, 6)  # bytes
@@ -51,6 +51,20 @@ def hashed_words(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "kind", "text").mapInArrow(run, "doc_id long, kind int, words binary")
 
 
+def pu_slopes(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> list[np.ndarray]:
+    """Slopes of the non-negative PU risk by the scores of both samples.
+
+    The risk is prior * mean loss of the positives as positive, plus what the unlabelled have as negatives less
+    prior times what the positives have as negatives. Where that second part is below 0 its slope is turned
+    round and the first left out.
+    """
+    s = [1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in (positive, unlabelled)]
+    to_p, to_n = (s[0] - 1) / len(s[0]), [y / len(y) for y in s]
+    if np.logaddexp(0, unlabelled).mean() >= prior * np.logaddexp(0, positive).mean():
+        return [prior * (to_p - to_n[0]), to_n[1]]
+    return [prior * to_n[0], -to_n[1]]
+
+
 class Linear:
     """sigmoid(b + sum of the weights of the distinct features), trained by the non-negative PU risk."""
 
@@ -59,29 +73,26 @@ class Linear:
         self.weights = np.zeros(BUCKETS)
         self.bias = float(np.log(prior / (1 - prior)))
 
-    def screen(self, positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
+    def screen(self, p: np.ndarray, u: np.ndarray, n_p: int, n_u: int) -> np.ndarray:
         """Features whose rates differ clearly: among the positives, and among the negatives.
 
-        The rate among negatives is that of the unlabelled with the share of the positives taken out.
+        ``p`` and ``u`` are the numbers of positive and of unlabelled texts with each feature. The rate among
+        negatives is that of the unlabelled with the share of the positives taken out.
         """
-        n_p, n_u = len(positive), len(unlabelled)
-        p = np.bincount(np.concatenate(positive), minlength=BUCKETS)
-        u = np.bincount(np.concatenate(unlabelled), minlength=BUCKETS)
         rate = p / n_p
         other = np.clip((u / n_u - self.prior * rate) / (1 - self.prior), 0, 1)
         pooled = np.clip((p + other * n_u) / (n_p + n_u), 1e-9, 1 - 1e-9)
         z = np.abs(rate - other) / np.sqrt(pooled * (1 - pooled) * (1 / n_p + 1 / n_u))
         return (p + u >= LEAST) & (z >= CLEAR)
 
-    def fit(self, positive: list[np.ndarray], unlabelled: list[np.ndarray], rounds: int = 400, rate: float = 0.05,
+    def fit(self, use: np.ndarray, positive: list[np.ndarray], unlabelled: list[np.ndarray], rounds: int = 400, rate: float = 0.05,
             decay: float = 2e-3) -> Linear:
-        """Adam over the whole sample.
+        """Adam over the whole sample; ``use`` are the features that have a weight, texts are lists of features.
 
         The risk of the negatives is that of the unlabelled less prior times that of the positives
         taken as negatives. Where that estimate is negative, the step goes back up its gradient,
         which keeps the classifier from fitting the positives among the unlabelled.
         """
-        use = np.flatnonzero(self.screen(positive, unlabelled))
         place = np.full(BUCKETS, -1)
         place[use] = np.arange(len(use))
         parts = []
@@ -94,13 +105,7 @@ class Linear:
         m, v = np.zeros_like(x), np.zeros_like(x)
         for t in range(1, rounds + 1):
             z = [np.bincount(at, x[words], minlength=n) + x[-1] for at, words, n in parts]
-            s = [1 / (1 + np.exp(-np.clip(y, -30, 30))) for y in z]
-            # Slopes of the mean logistic losses: taken as positive, and taken as negative.
-            to_p, to_n = (s[0] - 1) / len(s[0]), [y / len(y) for y in s]
-            if np.logaddexp(0, z[1]).mean() >= self.prior * np.logaddexp(0, z[0]).mean():
-                slope = [self.prior * (to_p - to_n[0]), to_n[1]]
-            else:
-                slope = [self.prior * to_n[0], -to_n[1]]
+            slope = pu_slopes(z[0], z[1], self.prior)
             grad = np.zeros_like(x)
             for (at, words, _), g in zip(parts, slope):
                 grad[:-1] += np.bincount(words, g[at], minlength=len(use))
@@ -113,8 +118,8 @@ class Linear:
         return self
 
 
-def training_sample(documents: DataFrame, labels: DataFrame, each: int) -> tuple[list[np.ndarray], list[np.ndarray], float]:
-    """Hashed words of at most ``each`` confirmed toxic and ``each`` unlabelled texts, and the class prior.
+def training_sample(documents: DataFrame, labels: DataFrame, each: int) -> tuple[DataFrame, float]:
+    """(doc_id, kind, words) of at most ``each`` confirmed toxic and ``each`` unlabelled texts, kind 1 and 0, and the class prior.
 
     Only rows outside the held-out fold take part. The sample is a bounded one in the order of a hash of the
     id; the prior is the toxic share of all labelled rows of the fold. A label of 0 or null
@@ -129,10 +134,38 @@ def training_sample(documents: DataFrame, labels: DataFrame, each: int) -> tuple
     ids = rows.select("doc_id").join(known, "doc_id", "left").select("doc_id", F.coalesce("kind", F.lit(0)).alias("kind"))
     order = [F.xxhash64(F.lit("sample"), "doc_id"), "doc_id"]
     chosen = ids.where("kind = 1").orderBy(*order).limit(each).union(ids.where("kind = 0").orderBy(*order).limit(each))
-    found = hashed_words(rows.join(F.broadcast(chosen.distinct()), "doc_id")).orderBy("doc_id").toPandas()
-    words = [np.frombuffer(w, np.int32) for w in found["words"]]
-    kind = found["kind"].to_numpy()
-    return [w for w, k in zip(words, kind) if k == 1], [w for w, k in zip(words, kind) if k == 0], float(share or 0.0)
+    return hashed_words(rows.join(F.broadcast(chosen.distinct()), "doc_id")), float(share or 0.0)
+
+
+def feature_counts(sample: DataFrame) -> DataFrame:
+    """feature, p and u: in how many toxic and in how many unlabelled texts it is; features of LEAST texts or more."""
+
+    def run(batches):
+        counts = np.zeros((2, BUCKETS), np.int64)
+        for batch in batches:
+            for kind, words in zip(batch.column("kind").to_pylist(), batch.column("words")):
+                counts[kind, np.frombuffer(words.as_buffer(), np.int32)] += 1
+        at = np.flatnonzero(counts.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[1, at]), pa.array(counts[0, at])], names=["feature", "p", "u"])
+
+    found = sample.mapInArrow(run, "feature int, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    return found.where(F.col("p") + F.col("u") >= LEAST)
+
+
+def only_features(sample: DataFrame, use: np.ndarray) -> DataFrame:
+    """The sample's texts with the given features alone."""
+    wanted = np.zeros(BUCKETS, bool)
+    wanted[use] = True
+    shared = sample.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+
+    def run(batches):
+        wanted = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            words = [np.frombuffer(w.as_buffer(), np.int32) for w in batch.column("words")]
+            kept = pa.array([w[wanted[w]].tobytes() for w in words], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("kind"), kept], names=["doc_id", "kind", "words"])
+
+    return sample.mapInArrow(run, "doc_id long, kind int, words binary")
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame, each: int = 6000) -> DataFrame:
@@ -144,21 +177,38 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, each: int = 6000) -
     language and id never enter it. Null and empty texts score by the bias alone. Without any
     confirmed toxic text all scores are 0. held_out is null where doc_id is.
     """
-    positive, unlabelled, prior = training_sample(documents, labels, each)
+    score = scorer(documents, labels, each)
+    scored = document_rows(documents).select("doc_id", score("text").alias("score"))
+    return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def scorer(documents: DataFrame, labels: DataFrame, each: int = 6000) -> Callable[[Column | str], Column]:
+    """The trained model of ``toxicity_scores`` as a function of a text column without nulls."""
     weights, bias = np.zeros(BUCKETS), -np.inf
-    if positive and unlabelled:
-        model = Linear(min(max(prior, 0.001), 0.999)).fit(positive, unlabelled)
-        weights, bias = model.weights, model.bias
+    with scratch(documents.sparkSession):
+        sample, prior = training_sample(documents, labels, each)
+        sample = stored(sample)
+        n = {r["kind"]: r["n"] for r in sample.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if n.get(1) and n.get(0):
+            model = Linear(min(max(prior, 0.001), 0.999))
+            counts = feature_counts(sample).toPandas()  # BUCKETS rows at most
+            p, u = np.zeros(BUCKETS), np.zeros(BUCKETS)
+            p[counts["feature"]], u[counts["feature"]] = counts["p"], counts["u"]
+            use = np.flatnonzero(model.screen(p, u, n[1], n[0]))
+            found = only_features(sample, use).orderBy("doc_id", "kind").toPandas()
+            texts = {k: [np.frombuffer(w, np.int32) for w in found["words"][found["kind"] == k]] for k in (0, 1)}
+            model.fit(use, texts[1], texts[0])
+            weights, bias = model.weights, model.bias
     shared = documents.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # BUCKETS floats
 
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        for big in batches:
-            for batch in X.slices(big, "text"):
-                words, at = presence(batch.column("text"))
-                sums = np.concatenate([[0.0], np.cumsum(shared.value[words].astype(float))])
-                z = np.clip(sums[at[1:]] - sums[at[:-1]] + bias, -700, 700)
-                score = 1 / (1 + np.exp(-z)) if np.isfinite(bias) else np.zeros(len(z))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64())], names=["doc_id", "score"])
-
-    scored = document_rows(documents).mapInArrow(run, "doc_id long, score double")
-    return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        parts = [np.zeros(0)]
+        for batch in X.slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
+            words, at = presence(batch.column("text"))
+            sums = np.concatenate([[0.0], np.cumsum(shared.value[words].astype(float))])
+            z = np.clip(sums[at[1:]] - sums[at[:-1]] + bias, -700, 700)
+            parts.append(1 / (1 + np.exp(-z)) if np.isfinite(bias) else np.zeros(len(z)))
+        return pa.array(np.concatenate(parts))
+
+    return score
