@@ -6,6 +6,9 @@ adds no shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,11 +51,15 @@ def string_kinds_hold(raw_json: Column) -> Column:
 
 
 def reject_reason(strict: bool = False) -> Column:
-    """First failing rule of a parsed record, NULL when all hold. An unknown outcome fails."""
+    """First failing rule of a parsed record, NULL when all hold. An unknown outcome fails.
+
+    A record of which any field was read is an object; only the others are parsed once more to tell why.
+    """
     document = F.try_parse_json(F.col("raw_json"))
+    unread = reduce(and_, [F.col(f.name).isNull() for f in schemas.EVENT.fields])
     reasons = [
-        F.when(document.isNull(), C.REASON_NOT_JSON),
-        F.when(~F.schema_of_variant(document).startswith("OBJECT"), C.REASON_NOT_OBJECT),
+        F.when(unread & document.isNull(), C.REASON_NOT_JSON),
+        F.when(unread & ~F.schema_of_variant(document).startswith("OBJECT"), C.REASON_NOT_OBJECT),
     ]
     for reason, holds in contract_rules():
         reasons.append(F.when(~F.coalesce(holds, F.lit(False)), reason))
