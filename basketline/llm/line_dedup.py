@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketline.llm import textcodes as X
-from basketline.llm.common import bitmap, document_rows, fresh, intersection, linked, most_in_common, stored
+from basketline.llm.common import (
+    KEY_ROWS, bitmap, document_rows, fresh, identified, intersection, key_rows, led_by_heads, linked, most_in_common, overlaps, scratch, screened, stored,
+)
 
 SHINGLE = 8  # bytes
 BANDS, ROWS = 10, 4  # a similarity of 0.8 is a candidate with a chance of 0.995, 0.9 with 1 - 3e-5
@@ -38,7 +42,7 @@ def _shingle_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return X.mix(codes), np.searchsorted(at, offsets)
 
 
-def _min_hashes(codes: np.ndarray, to: np.ndarray, n: int) -> np.ndarray:
+def min_hashes(codes: np.ndarray, to: np.ndarray, n: int) -> np.ndarray:
     """n min-hashes of each run of codes; every run has one code at least."""
     out = np.empty((n, len(to) - 1), np.uint32)
     factors = np.random.default_rng(3).integers(0, 1 << 31, size=n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -64,44 +68,25 @@ def lines_of(documents: DataFrame) -> DataFrame:
     return rows.select("*", F.xxhash64("line").alias("id"), F.xxhash64(F.lit(1), "line").alias("id2"))
 
 
-def signatures(lines: DataFrame) -> DataFrame:
-    """id and band keys of each distinct line."""
+def band_keys(lines: DataFrame) -> DataFrame:
+    """``key_rows`` of the lines' bands; a line that repeats in a batch is hashed once."""
 
     def run(batches):
         for big in batches:
             for batch in X.slices(big, "line"):
+                _, first = np.unique(batch.column("id").to_numpy(), return_index=True)
+                batch = batch.take(pa.array(first))
                 hashes, to = _shingle_codes(batch.column("line"))
-                mins = _min_hashes(hashes, to, BANDS * ROWS).reshape(BANDS, ROWS, -1)
+                mins = min_hashes(hashes, to, BANDS * ROWS).reshape(BANDS, ROWS, -1)
                 keys = np.empty((batch.num_rows, BANDS), X.U)
                 for b in range(BANDS):
                     total = np.full(batch.num_rows, X.U(b + 1))
                     for r in range(ROWS):
                         total = X.mix(total * X.U(X.ODD) + mins[b, r].astype(X.U))
                     keys[:, b] = total
-                offsets = pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32))
-                lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("id"), lists], names=["id", "keys"])
+                yield key_rows(batch.column("id").to_numpy(), keys.ravel(), np.arange(0, keys.size + 1, BANDS))
 
-    return lines.select("id", "line").mapInArrow(run, "id long, keys array<long>").dropDuplicates(["id"])
-
-
-def _sets(texts: pa.Array) -> list[np.ndarray]:
-    return list(X.sets(*_shingle_codes(texts)))
-
-
-def line_signatures(lines: DataFrame) -> DataFrame:
-    """id, size and bitmap of the shingle set of each line."""
-
-    def run(batches):
-        for big in batches:
-            for batch in X.slices(big, "line"):
-                found = _sets(batch.column("line"))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), pa.array(map(len, found), pa.int64()), pa.array(map(bitmap, found), pa.binary())],
-                    names=["id", "n", "bits"],
-                )
-
-    return lines.mapInArrow(run, "id long, n long, bits binary")
+    return lines.select("id", "line").mapInArrow(run, KEY_ROWS)
 
 
 def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -110,41 +95,88 @@ def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     def run(batches):
         for big in batches:
             for batch in X.slices(big, "line_b"):
-                keep = []
-                for x, y in zip(_sets(batch.column("line_a")), _sets(batch.column("line_b"))):
-                    least = -(-(len(x) + len(y)) * NUM // (NUM + DEN))
-                    keep.append(min(len(x), len(y)) >= least and intersection(x, y) >= least)
-                keep = pa.array(keep, pa.bool_())
+                n_a, n_b, both = overlaps(*_shingle_codes(batch.column("line_a")), *_shingle_codes(batch.column("line_b")))
+                keep = pa.array(both * (NUM + DEN) >= (n_a + n_b) * NUM)
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    a, b = (lines.select(F.col("id").alias(s), F.col("line").alias(f"line_{s}")) for s in "ab")
+    # Only the lines of each side are moved.
+    a, b = (
+        screened(lines, pairs.select(F.col(s).alias("id")), "id").select(F.col("id").alias(s), F.col("line").alias(f"line_{s}")) for s in "ab"
+    )
     return pairs.join(b, "b").join(a, "a").select("a", "b", "line_a", "line_b").mapInArrow(run, "a long, b long")
 
 
-def line_classes(documents: DataFrame) -> DataFrame:
-    """id, id2 and where the kept line is (doc_id, line_no), for lines that occur or are alike more than once."""
-    lines = lines_of(documents)
-    firsts = stored(
-        lines.groupBy("id", "id2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("n"))
-    )
-    keys = stored(signatures(lines)).select(F.explode("keys").alias("key"), "id")
-    texts: list[DataFrame] = []
+def _tile_sets(found: pa.Table) -> tuple[pa.Table, list[np.ndarray]]:
+    """Size and bitmap of every row's shingle set as columns, and the sets."""
+    distinct = found.column("line").combine_chunks().dictionary_encode()
+    own = list(X.sets(*_shingle_codes(distinct.dictionary)))
+    at = distinct.indices.to_numpy()
+    sets = [own[i] for i in at.tolist()]
+    bits = pa.array(map(bitmap, own), pa.binary()).take(distinct.indices)
+    return found.append_column("n", pa.array([len(s) for s in sets], pa.int64())).append_column("bits", bits), sets
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        if not texts:  # the first pairs have every line that shares a band
-            ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-            texts.append(stored(lines.select("id", "line").join(ids, "id", "left_semi").dropDuplicates(["id"])))
-        return similar(pairs, texts[0])
 
-    def may_link(found: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        n = found.column("n").to_numpy()
-        return most_in_common(found, left, right) * (NUM + DEN) >= (n[left][:, None] + n[right][None]) * NUM
+def line_classes(lines: DataFrame) -> DataFrame:
+    """id and id2 of each line that occurs or is alike more than once, and its class.
 
-    found = linked(keys, verify, lambda: stored(line_signatures(texts[0])), may_link)
-    classes = firsts.join(found, "id", "left")
-    roots = classes.where("component is not null").groupBy("component").agg(F.min("first").alias("root"))
-    classes = classes.join(roots, "component", "left").where("n > 1 or component is not null")
-    return classes.select("id", "id2", F.coalesce("root", "first").alias("keep"))
+    ``lines`` is a stored table as ``lines_of`` makes it, with texts. Links are verified where lines meet.
+    """
+    with scratch(lines.sparkSession) as keep:
+        counted = stored(lines.groupBy("id", "id2").agg(F.count(F.lit(1)).alias("n")))
+        members = stored(led_by_heads(band_keys(lines)))
+        ids = members.select("id").distinct()
+        texts = stored(screened(lines.select("id", "line"), ids, "id").dropDuplicates(["id"]))
+        prepared: dict[int, tuple] = {}
+
+        def may_link(found: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            signed, _ = prepared.get(id(found)) or prepared.setdefault(id(found), _tile_sets(found))
+            n = signed.column("n").to_numpy()
+            return most_in_common(signed, left, right) * (NUM + DEN) >= (n[left][:, None] + n[right][None]) * NUM
+
+        def exact(found: pa.Table):
+            prepared.clear()
+            prepared[id(found)] = _tile_sets(found)
+            sets = prepared[id(found)][1]
+
+            def holds(i: int, j: int) -> bool:
+                x, y = sets[i], sets[j]
+                least = -(-(len(x) + len(y)) * NUM // (NUM + DEN))
+                return min(len(x), len(y)) >= least and intersection(x, y) >= least
+
+            return holds
+
+        found = linked(members, lambda pairs: similar(pairs, texts), lambda: texts, may_link, exact)
+        classes = counted.join(found, "id", "left").where("n > 1 or component is not null")
+        # Lines that are alike to no other one are a class by both hashes.
+        return keep(classes.select("id", "id2", F.coalesce("component", "id").alias("class"), F.col("component").isNull().alias("alone")))
+
+
+@F.arrow_udf(T.StringType())
+def without_lines(text: pa.Array, gone: pa.Array) -> pa.Array:
+    """The texts without the lines at some positions; most texts have none to lose and stay as they are."""
+    some = pc.fill_null(gone.is_valid(), False)
+    at = np.flatnonzero(some.to_numpy(zero_copy_only=False))
+    if not len(at):
+        return text
+    out = []
+    for i in at.tolist():
+        lines = np.array(text[i].as_py().split("\n"), object)
+        keep = np.ones(len(lines), bool)
+        keep[gone[i].values.to_numpy(zero_copy_only=False)] = False
+        out.append("\n".join(lines[keep].tolist()))
+    return pc.replace_with_mask(text, some, pa.array(out, text.type))
+
+
+def removed_lines(documents: DataFrame) -> DataFrame:
+    """doc_id and the positions of the lines that go, in order; stored."""
+    with scratch(documents.sparkSession) as keep:
+        lines = stored(lines_of(documents))
+        places = lines.select("id", "id2", "doc_id", "line_no").join(line_classes(lines), ["id", "id2"])
+        places = stored(places.select("class", F.when(F.col("alone"), F.col("id2")).alias("other"), "doc_id", "line_no"))
+        firsts = places.groupBy("class", "other").agg(F.min(F.struct("doc_id", "line_no")).alias("keep"))
+        same = (F.col("f.class") == F.col("p.class")) & F.col("f.other").eqNullSafe(F.col("p.other"))
+        gone = places.alias("p").join(firsts.alias("f"), same).where(F.struct("p.doc_id", "p.line_no") != F.col("f.keep"))
+        return keep(gone.groupBy("p.doc_id").agg(F.sort_array(F.collect_set("p.line_no")).alias("gone")))
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
@@ -154,28 +186,28 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     8-byte shingles, one from each character on, have a Jaccard similarity of 0.8 or more; classes
     are their connected components, over all documents, and the first line of each (by doc_id, then
     position) stays. Blank lines stay where they are. A null text is empty and has no line; a document
-    whose lines all go is left with an empty text. Rows that share a doc_id are one document; rows
-    without doc_id stay as they are. Candidates have one of BANDS bands of ROWS min-hashes in common.
+    whose lines all go is left with an empty text. Each row is a document of its own: of several rows of a doc_id the
+    first by a hash of its text has that place, further ones and rows without doc_id come behind all others (``identified``).
+    Candidates have one of BANDS bands of ROWS min-hashes in common.
     The added columns get underscores behind their names where the table has those names already.
     """
     names = documents.columns
-    key, gone = fresh(names, "key"), fresh(names, "removed")
-    plain = document_rows(documents)
-    removed = lines_of(plain).join(line_classes(plain), ["id", "id2"]).where(F.struct("doc_id", "line_no") != F.col("keep"))
-    removed = removed.groupBy(F.col("doc_id").alias(key)).agg(F.collect_set("line_no").alias(gone))
-    out = documents.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    out = out.join(removed, F.col("doc_id").cast("long") == F.col(key), "left")
-    lines = F.split("text", "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
-    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: lines[i]), "\n"))
+    rows, key, _ = identified(documents)
+    plain = rows.select(F.col(key).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    own, gone, n_lines, n_removed = (fresh([*names, key], c) for c in ("of_row", "gone", "n_lines", "n_removed"))
+    removed = removed_lines(plain).select(F.col("doc_id").alias(own), F.col("gone").alias(gone))
+    out = rows.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))).join(removed, F.col(key) == F.col(own), "left")
+    lines = F.when(F.col("text") == "", 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1)
+    left = without_lines(F.col("text"), F.col(gone))
     return out.select(
-        *[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in names],
-        F.when(F.col("text") == "", 0).otherwise(F.size(lines)).cast("long").alias(fresh(names, "n_lines")),
-        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(fresh(names, "n_removed")),
+        *[left.alias(c) if c == "text" else F.col(f"`{c}`") for c in names],
+        lines.cast("long").alias(n_lines),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(n_removed),
     )
 
 
 def line_digests(documents: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_lines, n_removed, n_chars and SHA-256 of the text that stays."""
-    rows = deduplicated(document_rows(documents))
-    return rows.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+    """One row per document: doc_id, n_lines, n_removed, n_chars and SHA-256 of the text that stays; stored."""
+    with scratch(documents.sparkSession) as keep:
+        rows = deduplicated(document_rows(documents))
+        return keep(rows.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256")))
