@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from basketline.llm import textcodes as X
 from basketline.llm.bpe import codec
-from basketline.llm.common import document_rows
+from basketline.llm.common import document_rows, scratch, stored
 
 BUCKETS = 1 << 18  # hashed vocabulary of the index: its statistics have a fixed size
 COMMON = 16  # terms that one in so many documents of a shard has are held as rows of weights
@@ -20,46 +20,56 @@ END = 1  # id that ends a document
 K1, B = 1.2, 0.75
 
 
-def terms_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed terms of one document and their counts."""
-    return np.unique((codes & X.U(BUCKETS - 1)).astype(np.int32), return_counts=True)
+def termed(rows: DataFrame) -> DataFrame:
+    """The rows with a number, their distinct hashed terms with counts, their words and bytes; texts are read once, here."""
 
+    def run(batches):
+        for big in batches:
+            for batch in X.slices(big, "text"):
+                texts = batch.column("text")
+                codes, at = X.words(texts)
+                row = np.repeat(np.arange(batch.num_rows), np.diff(at)).astype(X.U)
+                distinct, counts = np.unique((row << X.U(32)) + (codes & X.U(BUCKETS - 1)), return_counts=True)
+                ends = np.searchsorted(distinct, np.arange(batch.num_rows + 1).astype(X.U) << X.U(32)).tolist()
+                terms, counts = (distinct & X.U(BUCKETS - 1)).astype("<i4"), counts.astype("<i4")
+                lists = [pa.array([v[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()) for v in (terms, counts)]
+                sizes = [pa.array(np.diff(at)), pa.array(np.diff(X.buffers(texts)[1]))]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *lists, *sizes], names=["doc_id", "text", "row", "terms", "counts", "words", "size"])
+
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    return rows.mapInArrow(run, "doc_id long, text string, row long, terms binary, counts binary, words long, size long")
 
-def statistics(rows: DataFrame) -> tuple[np.ndarray, float, int]:
-    """Inverse document frequency of every hashed term (below 0 for those of one document), mean length in words, and all bytes.
+
+def _terms(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(t.as_buffer(), "<i4") for t in column]
+
+
+def statistics(rows: DataFrame) -> tuple[np.ndarray, float]:
+    """Inverse document frequency of every hashed term (below 0 for those of one document), and the mean length in words.
 
     Every task counts its own documents first; the driver gets one row per bucket of the
     hashed vocabulary, however large the table is.
     """
 
     def run(batches):
-        df, words, n, size = np.zeros(BUCKETS, np.int64), 0, 0, 0
-        for big in batches:
-            for batch in X.slices(big, "text"):
-                texts = batch.column("text")
-                codes, at = X.words(texts)
-                rows = np.repeat(np.arange(batch.num_rows), np.diff(at)).astype(X.U)
-                distinct = np.unique((rows << X.U(32)) + (codes & X.U(BUCKETS - 1)))
-                df += np.bincount((distinct & X.U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-                words += len(codes)
+        df, words, n = np.zeros(BUCKETS, np.int64), 0, 0
+        for batch in batches:
+            if batch.num_rows:
+                df += np.bincount(np.concatenate(_terms(batch.column("terms"))), minlength=BUCKETS)
+                words += int(batch.column("words").to_numpy().sum())
                 n += batch.num_rows
-                size += len(X.buffers(texts)[0])
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([*at.tolist(), BUCKETS, BUCKETS + 1, BUCKETS + 2], pa.int32()),
-                pa.array([*df[at].tolist(), words, n, size], pa.int64()),
-            ],
-            names=["term", "n"],
+            [pa.array([*at.tolist(), BUCKETS, BUCKETS + 1], pa.int32()), pa.array([*df[at].tolist(), words, n], pa.int64())], names=["term", "n"]
         )
 
-    got = rows.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
-    df = np.zeros(BUCKETS + 3)
+    got = rows.select("terms", "words").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    df = np.zeros(BUCKETS + 2)
     df[got["term"].to_numpy()] = got["n"].to_numpy()
-    words, n, size = df[BUCKETS:]
+    words, n = df[BUCKETS:]
     df, n = df[:BUCKETS], max(1.0, n)
     idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
-    return np.where(df == 1, -idf, idf), max(1.0, words / n), int(size)
+    return np.where(df == 1, -idf, idf), max(1.0, words / n)
 
 
 class Index:
@@ -138,30 +148,26 @@ def windows(lengths: np.ndarray, index: Index, window: int) -> list[tuple[int, i
     return out
 
 
-def routed(rows: DataFrame, idf: Broadcast) -> DataFrame:
-    """The rows with the size of their text and ``route``, a term that speaks for their content.
+def routes_of(terms: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    """A term that speaks for the content of each document, BUCKETS for those without one.
 
     It is a min-hash over the terms that other documents have too, weighted by the square of idf: two
     documents have the same one with a chance of their weighted Jaccard similarity, copies always.
     """
+    codes = X.random_codes(BUCKETS)
+    draw = -np.log((codes >> X.U(11)).astype(float) / (1 << 53) + 2.0**-54) / np.square(np.maximum(idf, 1e-6).astype(float))
+    return np.array([t[draw[t].argmin()] if len(t) else BUCKETS for t in terms], np.int32)
 
-    def run(batches):
-        codes = X.random_codes(BUCKETS)
-        draw = -np.log((codes >> X.U(11)).astype(float) / (1 << 53) + 2.0**-54) / np.square(np.maximum(idf.value, 1e-6).astype(float))
-        for big in batches:
-            for batch in X.slices(big, "text"):
-                words, at = X.words(batch.column("text"))
-                terms = (words & X.U(BUCKETS - 1)).astype(np.int64)
-                route = [int(terms[a + draw[terms[a:b]].argmin()]) if b > a else BUCKETS for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-                size = np.diff(X.buffers(batch.column("text"))[1])
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(route, pa.int32()), pa.array(size)], names=[*batch.schema.names, "route", "size"])
 
-    return rows.mapInArrow(run, "doc_id long, text string, row long, route int, size long")
+def shard_table(rows: DataFrame, idf: Broadcast, shard_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """First shard of every route and how many it has: small routes share one, larger ones have several of bounded size."""
 
+    def run(batches):
+        for batch in batches:
+            route = routes_of(_terms(batch.column("terms")), idf.value)
+            yield pa.RecordBatch.from_arrays([pa.array(route), batch.column("size")], names=["route", "size"])
 
-def shard_table(routes: DataFrame, shard_bytes: int) -> tuple[np.ndarray, np.ndarray]:
-    """First shard of every route and how many it has: small routes share one, larger ones have several of bounded size."""
-    got = routes.groupBy("route").agg(F.sum("size").alias("size")).toPandas()
+    got = rows.select("terms", "size").mapInArrow(run, "route int, size long").groupBy("route").agg(F.sum("size").alias("size")).toPandas()
     size = np.zeros(BUCKETS + 1, np.int64)
     size[got["route"].to_numpy()] = got["size"].to_numpy()
     n = np.maximum(1, -(-size // shard_bytes))
@@ -175,34 +181,34 @@ def packed(documents: DataFrame, tokenizer: str, window: int = 2048, shard_bytes
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every document, closed by id 1, is cut into pieces that fill windows of ``window`` ids. Documents
-    are dealt by content (``routed``) over shards of about ``shard_bytes`` of text, so that lexical neighbours meet;
+    are dealt by content (``routes_of``) over shards of about ``shard_bytes`` of text, so that lexical neighbours meet;
     those of a route with more text are dealt over several shards by hash, so no group is in one task. A shard is an inverted index in one task, weighted by document frequencies of the
     whole table. A window holds the seed and its best unused BM25 neighbours; only the last
     window of a shard may have padding. Null and empty texts are one closing id. Each row is packed,
     repeated rows and rows with a null doc_id too. A document longer than a shard makes it longer.
     """
-    rows = document_rows(documents)
-    idf, mean, size = statistics(rows)
     spread = documents.sparkSession.sparkContext.broadcast
-    shared_idf = spread(np.abs(idf))  # BUCKETS floats, whatever the table
-    # Equal rows of a large route would meet in one shard: a row number within its task tells them apart.
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
-    routes = routed(rows, spread(idf))
-    if size > shard_bytes:
-        table = spread(np.stack(shard_table(routes, shard_bytes)))
+    with scratch(documents.sparkSession) as keep:
+        rows = stored(termed(document_rows(documents)))
+        idf, mean = statistics(rows)
+        routing, shared_idf = spread(idf), spread(np.abs(idf))  # BUCKETS floats each, whatever the table
+        table = spread(np.stack(shard_table(rows, routing, shard_bytes)))
+        return keep(_windows(rows, tokenizer, window, mean, routing, shared_idf, table))
+
+
+def _windows(rows, tokenizer: str, window: int, mean: float, routing: Broadcast, shared_idf: Broadcast, table: Broadcast) -> DataFrame:
+    """The pieces of all documents, shard by shard."""
 
     def dealing(batches):
+        first, n = table.value
         for batch in batches:
-            route, salt = (batch.column(c).to_numpy() for c in ("route", "salt"))
-            first, n = table.value
-            shard = pa.array(first[route] + salt % n[route])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), shard], names=["doc_id", "text", "shard"])
+            route = routes_of(_terms(batch.column("terms")), routing.value)
+            shard = pa.array(first[route] + batch.column("salt").to_numpy() % n[route])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "text", "terms", "counts")], shard], names=["doc_id", "text", "terms", "counts", "shard"])
 
-    if size > shard_bytes:
-        salted = routes.select("doc_id", "text", "route", F.xxhash64("doc_id", "row").alias("salt"))
-        dealt = salted.mapInArrow(dealing, "doc_id long, text string, shard long")
-    else:
-        dealt = rows.select("doc_id", "text", F.lit(0).cast("long").alias("shard"))
+    # Equal rows of a large route would meet in one shard: their numbers tell them apart.
+    salted = rows.select("doc_id", "text", "terms", "counts", F.pmod(F.xxhash64("doc_id", "row"), F.lit(1 << 62)).alias("salt"))
+    dealt = salted.mapInArrow(dealing, "doc_id long, text string, terms binary, counts binary, shard long")
 
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
@@ -211,12 +217,13 @@ def packed(documents: DataFrame, tokenizer: str, window: int = 2048, shard_bytes
         words = codec(tokenizer)
         ids = []
         for batch in X.slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
-            ids += [np.append(words.expand(s), END).astype("<u4") for s in words.slots(batch.column("text").to_pylist())]
-        codes, at = X.words(texts)
+            found = [np.append(words.expand(s), END) for s in words.slots(batch.column("text").to_pylist())]
+            ids += [i.astype(np.uint16) if i.max() < 1 << 16 else i.astype(np.uint32) for i in found]
         lengths = np.array([len(i) for i in ids], np.int64)
-        index = Index([terms_of(codes[a:b]) for a, b in zip(at[:-1], at[1:])], shared_idf.value, mean)
+        terms, counts = (_terms(table.column(c).chunk(0)) for c in ("terms", "counts"))
+        index = Index(list(zip(terms, counts)), shared_idf.value, mean)
         d, start, n, sequence, offset = (np.array(x, np.int64) for x in zip(*windows(lengths, index, window)))
-        crc = [zlib.crc32(ids[i][a : a + k].tobytes()) for i, a, k in zip(d.tolist(), start.tolist(), n.tolist())]
+        crc = [zlib.crc32(ids[i][a : a + k].astype("<u4").tobytes()) for i, a, k in zip(d.tolist(), start.tolist(), n.tolist())]
         return pa.table(
             {
                 "doc_id": table.column("doc_id").take(pa.array(d)),
