@@ -120,3 +120,72 @@ def test_large_components_take_part(spark):
         assert [got[q, k + 1] for k in range(5)] == [(i, -s) for s, i in scores[:5]]
     with pytest.raises(ValueError):
         topk.exact_top_k(table.union(spark.createDataFrame([(100, [1e12] * 4)], table.schema)), k=5)
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    rng = random.Random(10)
+    long, other = prose(rng, 300), prose(rng, 60)
+    passage = prose(rng, 70)
+    rows = [(1, [*long, *passage]), (1, other), (2, [*passage, *prose(rng, 40)]), (2, other), (None, [*prose(rng, 20), *passage]), (None, prose(rng, 80))]
+    out = substring_dedup.deduplicated(documents(spark, rows)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_words, r.n_removed) for r in out) == sorted(
+        [(False, 1, 370, 0), (False, 2, 110, 70), (True, 0, 90, 70), (True, 0, 80, 0)]
+        + ([(False, 1, 60, 0), (False, 2, 60, 60)] if any(r.doc_id == 1 and r.n_words == 60 and r.n_removed == 0 for r in out) else [(False, 1, 60, 60), (False, 2, 60, 0)])
+    )
+    assert all(r.component_id in (1, 2) for r in out if r.n_removed)
+
+
+def test_lines_of_rows_that_share_an_id(spark):
+    from basketline.llm import line_dedup
+
+    a, b, c = (" ".join(prose(random.Random(i), 12)) for i in range(3))
+    table = spark.createDataFrame([(1, f"{a}\n{b}"), (1, f"{c}\n{a}"), (None, f"{c}\nnew line"), (None, None), (2, b)], "doc_id long, text string")
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in line_dedup.deduplicated(table).collect())
+    assert sum(t.split("\n").count(a) for _, _, t in got) == 1 == sum(t.split("\n").count(c) for _, _, t in got)
+    assert sum(t.split("\n").count(b) for _, _, t in got) == 1
+    assert (True, 0, "new line") in got and (True, 0, "") in got and len(got) == 5
+
+
+def test_stages_take_rows_without_and_with_repeated_ids(spark):
+    """Decisions hold for rows, not for ids: toxic rows without an id go, copies without one go too."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    odd = docs.union(docs.limit(40)).union(docs.limit(60).selectExpr("cast(null as long) doc_id", *docs.columns[1:]))
+    stages = dict(corpus_pipeline.STAGES)
+    clean = {r.text for r in stages["toxicity"](spark, docs, sf).collect()}
+    out = stages["toxicity"](spark, odd, sf).collect()
+    assert {r.text for r in out if r.doc_id is None} <= clean and len(out) > len(clean)
+    out = stages["ngram_jaccard_join"](spark, odd, sf).collect()
+    alone = stages["ngram_jaccard_join"](spark, docs, sf).collect()
+    assert sorted(r.doc_id for r in out if (r.text or "").strip()) == sorted(r.doc_id for r in alone if (r.text or "").strip())
+
+
+def test_similar_passages_with_insertions_and_in_another_order(spark):
+    """Recall of passages with a Jaccard similarity of 0.8 or more against brute force, by the words that go."""
+    rng = random.Random(11)
+    texts, near_of = [], {}
+    for case in range(120):
+        if case % 3 == 0:  # 9 to 11 words inserted behind 45 to 49 words
+            p = prose(rng, rng.randrange(100, 120))
+            at = rng.randrange(45, 50)
+            near = [*p[:at], *prose(rng, rng.randrange(9, 12)), *p[at:]]
+        elif case % 3 == 1:  # blocks of 30 words in another order
+            p = prose(rng, 120)
+            blocks = [p[i : i + 30] for i in range(0, 120, 30)]
+            rng.shuffle(blocks)
+            near = [w for b in blocks for w in b]
+        else:  # several substitutions
+            p = prose(rng, rng.randrange(55, 200))
+            near = list(p)
+            for i in rng.sample(range(len(p)), max(1, len(p) // 60)):
+                near[i] = "new"
+        a, b = shingles(p), shingles(near)
+        if len(a & b) < 0.8 * len(a | b):
+            continue
+        texts += [(2 * case, [*prose(rng, 30), *p, *prose(rng, 30)]), (2 * case + 1, [*prose(rng, 30), *near, *prose(rng, 30)])]
+        near_of[2 * case + 1] = len(near)
+    got = removed(spark, texts)
+    found = {kind: [got[i] >= 0.8 * n for i, n in near_of.items() if (i // 2) % 3 == kind] for kind in range(3)}
+    assert all(len(f) > 20 for k, f in found.items() if k != 1) and len(found[1]) >= 10
+    assert all(sum(f) >= 0.9 * len(f) for f in found.values()), {k: sum(f) / len(f) for k, f in found.items()}
+    assert all(got[i - 1] == 0 for i in near_of)
