@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketline.llm import jaccard_join, line_dedup, packing, substring_dedup, toxicity
-from basketline.llm.common import fresh, stored, table
+from basketline.llm.common import dropped, fresh, identified, scratch, table
 
 
 def _with_text(documents: DataFrame, columns: list[str]) -> DataFrame:
@@ -21,10 +21,9 @@ def _with_text(documents: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learned from the labels of this table, does not call toxic."""
-    scores = toxicity.toxicity_scores(docs, table(spark, sf_dir, "labels"))
-    toxic = scores.where("predicted = 1").select("doc_id").distinct()
-    return docs.join(toxic, "doc_id", "left_anti").select(docs.columns)
+    """Documents that the classifier, learned from the labels of this table, does not call toxic; row by row."""
+    score = toxicity.scorer(docs, table(spark, sf_dir, "labels"))
+    return docs.where(score(F.coalesce(F.col("text").cast("string"), F.lit(""))) < 0.5)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,10 +34,14 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each class of documents with a Jaccard similarity of 0.8 on five-word shingles stays."""
-    classes = jaccard_join.jaccard_classes(docs, shingle=5, num=80, den=100)
-    drop = classes.where("not kept").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(docs.columns)
+    """The smallest doc_id of each class of documents with a Jaccard similarity of 0.8 on five-word shingles stays.
+
+    Rows without doc_id and further rows of a doc_id take part behind all others.
+    """
+    rows, key, _ = identified(docs)
+    texts = rows.select(F.col(key).alias("doc_id"), "text")
+    drop = jaccard_join.jaccard_classes(texts, shingle=5, num=80, den=100).where("not kept").select(F.col("doc_id").alias(key))
+    return rows.join(drop, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,8 +67,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each is written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; each is written as Parquet and read again, and its input is deleted then."""
+    given = docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+        with scratch(spark) as keep:
+            out = keep(stage(spark, docs, sf_dir))
+        if docs is not given:
+            dropped(docs)
+        docs = out
     return docs
