@@ -15,8 +15,12 @@ from basketline.session import hadoop_path, pin_runtime, shared_folder
 _scopes: list[list[str]] = []  # folders of the open scopes, the innermost last
 
 
+BATCH_ROWS = 2000  # rows of an Arrow batch: whole texts and vectors take more memory than the usual 10000 allow for
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_runtime(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    pin_runtime(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stored(frame: DataFrame) -> DataFrame:
