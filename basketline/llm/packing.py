@@ -31,7 +31,8 @@ def termed(rows: DataFrame) -> DataFrame:
                 row = np.repeat(np.arange(batch.num_rows), np.diff(at)).astype(X.U)
                 distinct, counts = np.unique((row << X.U(32)) + (codes & X.U(BUCKETS - 1)), return_counts=True)
                 ends = np.searchsorted(distinct, np.arange(batch.num_rows + 1).astype(X.U) << X.U(32)).tolist()
-                terms, counts = (distinct & X.U(BUCKETS - 1)).astype("<i4"), counts.astype("<i4")
+                terms = (distinct & X.U(BUCKETS - 1)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]  # 18 bits in three bytes
+                counts = np.minimum(counts, 65535).astype("<u2")  # a weight does not change beyond
                 lists = [pa.array([v[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()) for v in (terms, counts)]
                 sizes = [pa.array(np.diff(at)), pa.array(np.diff(X.buffers(texts)[1]))]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *lists, *sizes], names=["doc_id", "text", "row", "terms", "counts", "words", "size"])
@@ -40,8 +41,26 @@ def termed(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, text string, row long, terms binary, counts binary, words long, size long")
 
 
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column, and where each row ends in them."""
+    raw = b"".join(column.to_pylist())
+    return np.frombuffer(raw, np.uint8), np.cumsum([len(t.as_buffer()) for t in column], dtype=np.int64)[:-1]
+
+
 def _terms(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(t.as_buffer(), "<i4") for t in column]
+    """The terms of each row."""
+    if not len(column):
+        return []
+    raw, ends = _bytes(column)
+    wide = np.zeros((len(raw) // 3, 4), np.uint8)
+    wide[:, :3] = raw.reshape(-1, 3)
+    return np.split(wide.view("<i4").ravel(), ends // 3)
+
+
+def _counts(column: pa.Array) -> list[np.ndarray]:
+    """How often each row has its terms."""
+    raw, ends = _bytes(column)
+    return np.split(raw.view("<u2").astype(np.int64), ends // 2)
 
 
 def statistics(rows: DataFrame) -> tuple[np.ndarray, float]:
@@ -220,7 +239,7 @@ def _windows(rows, tokenizer: str, window: int, mean: float, routing: Broadcast,
             found = [np.append(words.expand(s), END) for s in words.slots(batch.column("text").to_pylist())]
             ids += [i.astype(np.uint16) if i.max() < 1 << 16 else i.astype(np.uint32) for i in found]
         lengths = np.array([len(i) for i in ids], np.int64)
-        terms, counts = (_terms(table.column(c).chunk(0)) for c in ("terms", "counts"))
+        terms, counts = _terms(table.column("terms").chunk(0)), _counts(table.column("counts").chunk(0))
         index = Index(list(zip(terms, counts)), shared_idf.value, mean)
         d, start, n, sequence, offset = (np.array(x, np.int64) for x in zip(*windows(lengths, index, window)))
         crc = [zlib.crc32(ids[i][a : a + k].astype("<u4").tobytes()) for i, a, k in zip(d.tolist(), start.tolist(), n.tolist())]
