@@ -254,7 +254,7 @@ def merged_users(spark, sf):
     stored = through_table(metrics.user_sketches(events, ["category", "period"]), f"{shared_folder(spark)}/sketches")
     minutes = F.date_format(F.window("event_ts", "5 minutes", "1 minute").start, "yyyy-MM-dd HH:mm")
     grains = {
-        "window": (sliding, minutes), "period": (F.col("period"),) * 2, "category": (F.col("category"),) * 2, "all": (F.lit("all"),) * 2,
+        "window": (sliding, minutes), "period": (F.col("period"),) * 2, "category": (F.col("category"),) * 2, "all": (F.concat(F.lit("all"), F.substring("period", 1, 0)),) * 2,
     }
     parts = []
     for grain, (merged_by, exact_by) in grains.items():
