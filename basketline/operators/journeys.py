@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketline.functions.columns import of_type, ratio
+from basketline.functions.ranking import nearest_rank
 
 PAIR = ["user_id", "session_id", "product_id"]
 
@@ -90,10 +91,11 @@ def _epoch_seconds(column: str) -> Column:
 
 
 def time_to_purchase(timings: DataFrame) -> DataFrame:
-    """Number of matched pairs and the approximate median of the seconds between the two."""
-    return timings.agg(
-        F.count(F.lit(1)).alias("matched_session_products"),
-        F.percentile_approx("seconds_to_purchase", 0.5).alias("median_seconds_to_purchase"),
+    """Number of matched pairs and the exact median, by nearest rank, of the seconds between the two."""
+    median = nearest_rank(timings.withColumn("_all", F.lit(0)), "_all", "seconds_to_purchase", [0.5])
+    return median.agg(  # no pairs: one row still
+        F.coalesce(F.max("n"), F.lit(0)).alias("matched_session_products"),
+        F.max("percentile").alias("median_seconds_to_purchase"),
     )
 
 

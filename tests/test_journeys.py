@@ -68,6 +68,14 @@ def test_purchase_before_and_after_the_view(spark):
     assert J.time_to_purchase(J.view_to_purchase(history(spark, rows))).first().matched_session_products == 1
 
 
+def test_median_time_is_exact(spark):
+    """Many distinct times: the middle one by nearest rank, where an estimate would be off."""
+    seconds = F.expr("id * id").alias("seconds_to_purchase")
+    row = J.time_to_purchase(spark.range(0, 60_001, 1, 8).select(seconds)).first()
+    assert tuple(row) == (60_001, 30_000**2)
+    assert tuple(J.time_to_purchase(spark.range(0).select(seconds)).first()) == (0, None)
+
+
 def brute_visits(rows, gap=1800):
     visits, by_user = [], {}
     for t, _, user, *_ in sorted(rows, key=lambda r: r[0]):
