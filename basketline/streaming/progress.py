@@ -15,6 +15,8 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 from basketline import constants as C
 from basketline import schemas
 
+REPORTS_WITHIN = 600_000  # milliseconds
+
 
 def progress_row(name: str, progress) -> tuple:
     """One progress report as a row of the progress table."""
@@ -35,17 +37,24 @@ def read_progress(spark: SparkSession, path: str) -> DataFrame:
 
 
 class ProgressRecorder(StreamingQueryListener):
-    """Collects every new batch report; ``flush`` appends them to the progress table."""
+    """Collects every batch report of the queries that start while it listens; ``flush`` appends them to the progress table.
+
+    Reports arrive behind their batches, so those of a query that ended before may still be on their way.
+    """
 
     def __init__(self) -> None:
         self._rows: list[tuple] = []
+        self._runs: set[str] = set()
         self._lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
-        pass
+        with self._lock:
+            self._runs.add(str(event.runId))
 
     def onQueryProgress(self, event) -> None:
         with self._lock:
+            if str(event.progress.runId) not in self._runs:
+                return
             self._rows.append(progress_row(event.progress.name, event.progress))
 
     def onQueryIdle(self, event) -> None:
@@ -68,7 +77,8 @@ def recording(spark: SparkSession, path: str) -> Iterator[ProgressRecorder]:
     spark.streams.addListener(recorder)
     try:
         yield recorder
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()  # reports arrive behind their batches
+        # Reports arrive behind their batches; on a busy driver by more than the 10 seconds waited for without a limit.
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(REPORTS_WITHIN)
     finally:
         spark.streams.removeListener(recorder)
         recorder.flush(spark, path)

@@ -241,3 +241,32 @@ def test_state_and_reports_of_restarted_queries(spark, tmp_path):
     checkpoint = f"{pipeline.checkpoints}/{C.SILVER}"
     assert {r.event_id for r in remembered_ids(spark, checkpoint).collect()} == {"e00050", "e00070"}
     assert state_operators(spark, checkpoint).filter("operatorName like 'dedupe%'").count() == 1
+
+
+def test_records_of_few_large_files_are_dealt_to_all_cores(spark, tmp_path):
+    """A table that is one row group ordered by time: the raw files of every delivery hold even shares."""
+    from workload import queries as W
+    from workload import views as V
+
+    tables = str(tmp_path / "tables")
+    V.table(spark, "/root/testdata/sf0.001", "events").coalesce(1).orderBy("ts").write.parquet(f"{tables}/events.parquet")
+    least = spark.sparkContext.defaultParallelism
+    shares = F.count(F.lit(1)).alias("rows")
+    files = spark.read.parquet(W._streamed(spark, tables).bronze).groupBy(F.input_file_name()).agg(shares).collect()
+    assert len(files) >= least and max(r.rows for r in files) <= 4 * sum(r.rows for r in files) / len(files)
+    records = V.delivered(spark, tables).groupBy("partition", F.spark_partition_id().alias("task")).count().collect()
+    assert {r.partition for r in records} == set(range(V.ROUNDS))
+    assert all(sum(r.partition == number for r in records) >= least for number in range(V.ROUNDS))
+
+
+def test_reports_of_queries_that_ran_before_are_not_recorded(spark):
+    from types import SimpleNamespace as Event
+
+    def report(run):
+        return Event(progress=Event(name=run, runId=run, batchId=0, json="{}"))
+
+    recorder = P.ProgressRecorder()
+    recorder.onQueryStarted(Event(runId="inside"))
+    for run in ("before", "inside"):
+        recorder.onQueryProgress(report(run))
+    assert [row[0] for row in recorder._rows] == ["inside"]

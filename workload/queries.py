@@ -778,7 +778,7 @@ def _streamed(spark: SparkSession, sf: str) -> Pipeline:
         schema = V.table(spark, sf, "events").schema
         events = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
         copies = F.when(F.col("source_row") % 10 == 9, 1).otherwise(0)
-        twice = V.canonical(events).withColumn("_copy", F.explode(F.sequence(F.lit(0), copies)))
+        twice = V.canonical(V.spread(events)).withColumn("_copy", F.explode(F.sequence(F.lit(0), copies)))
         pipeline = Pipeline(f"{folder}/lake", f"{folder}/checkpoints")
         pipeline.run_available(V.as_raw(twice))
         _finished[key] = pipeline
