@@ -62,3 +62,15 @@ def test_fixture_report(spark, tmp_path):
     assert totals.revenue_paise == sum(v[2] for v in brute_metrics(events).values())
     assert sections["tumbling_windows"].count() == len(brute_metrics(events))
     assert sections["sample_estimates"].count() == 5
+
+
+def test_lines_of_the_fixture_are_put_in_order_by_more_tasks_as_they_grow(spark, tmp_path, monkeypatch):
+    from workload import queries as W
+
+    tables = "/root/testdata/sf0.001"
+    expected = W.fixture_report(spark, tables).first()
+    monkeypatch.setattr(W, "LINES_A_FILE", 100, raising=False)
+    monkeypatch.setattr(W, "shared_folder", lambda _: str(tmp_path / "shared"))
+    assert W.fixture_report(spark, tables).first() == expected
+    files = [p for p in (tmp_path / "shared" / "lines").glob("part-*") if p.stat().st_size]
+    assert len(files) >= spark.read.parquet(f"{tables}/events.parquet").count() / 100 / 2 > 4

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -676,7 +677,7 @@ def recent_events_pruned(spark, sf):
 def json_lines(spark, sf):
     """Raw records as lines of a JSON file, numbered and routed."""
     folder = shared_folder(spark)
-    lines = V.raw_bad(spark, sf).repartitionByRange(4, "offset").sortWithinPartitions("offset")
+    lines = V.raw_bad(spark, sf).repartitionByRange(files, "offset").sortWithinPartitions("offset")
     lines.select("raw_json").write.text(folder)
     parsed = contract.parse_events(read_json_lines(spark, folder, datetime(2025, 1, 1)))
     return parsed.select(F.col("offset").alias("line"), "valid")
@@ -723,12 +724,16 @@ def customer_report(spark, sf):
     return document.select(accepted, F.inline(months))
 
 
+LINES_A_FILE = 250_000  # events whose lines one task puts in order
+
+
 @query
 def fixture_report(spark, sf):
     """Totals of the report of a JSON file with refused and repeated lines."""
     folder = shared_folder(spark)
+    files = max(4, math.ceil(V.table(spark, sf, "events").count() / LINES_A_FILE))
     lines = V.raw_bad(spark, sf).select("raw_json", "offset")
-    lines = lines.unionByName(lines.filter(F.col("offset") % 10 == 9)).repartitionByRange(4, "offset").sortWithinPartitions("offset")
+    lines = lines.unionByName(lines.filter(F.col("offset") % 10 == 9)).repartitionByRange(files, "offset").sortWithinPartitions("offset")
     lines.select("raw_json").write.text(f"{folder}/lines")
     run_fixture_report(spark, f"{folder}/lines", f"{folder}/out", datetime(2025, 1, 1))
     kind = "input_lines bigint, duplicate_records bigint, events bigint, purchases bigint, revenue_paise bigint"
