@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketline.llm import textcodes as X
-from basketline.llm.common import components, document_rows, fresh, identified, overlaps, scratch, screened, stored
+from basketline.llm.common import components, document_rows, fresh, groups_of, identified, overlaps, scratch, screened, stored, tiled
 from basketline.llm.line_dedup import min_hashes
 
 SHINGLE = 5  # words
@@ -23,6 +23,9 @@ AROUND = 128  # words to each side of a place within which a similar passage is
 NEXT = 12  # words from a place on that are a key by themselves, whatever follows
 APART = 32  # words of a block of which one place is held against the other side
 COSTS = (8, 4, 2)  # of a shingle that the other side lacks, against 1 for one that it has; 8 holds 0.8 all along
+# A stretch of highest sum has at least so many shingles that the other side has: all but the place's own add up to 0 or more.
+FEWEST = -(-COSTS[-1] * (LEAST - SHINGLE) // (COSTS[-1] + 1))
+FEW = 64  # places of a key of which all pairs are rows; those of larger keys are searched in tiles
 
 
 def _row_shingles(codes: np.ndarray) -> np.ndarray:
@@ -304,56 +307,216 @@ class _Side:
         return self.codes[inside], np.concatenate([[0], np.cumsum(np.bincount(self.row[inside], minlength=len(self.n)))])
 
 
+def _around(part: pa.RecordBatch, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and stop, in words, of the similar passage around one place of every row; 0 and 0 without one."""
+    doc, begin, other, other_begin, shift = (part.column(c).to_numpy() for c in ("doc_id", "from", "other", "other_from", "shift"))
+    a, b = _Side(part, "near"), _Side(part, "other_near")
+    p, q = pos - begin, pos - shift - other_begin
+    a.first, b.first = np.maximum(p - AROUND, 0), np.maximum(q - AROUND, 0)
+    a.n, b.n = np.minimum(a.n, p + AROUND - SHINGLE + 1), np.minimum(b.n, q + AROUND - SHINGLE + 1)
+    usable = (p < a.n) & (q < b.n)
+    p, q = np.where(usable, p, 0), np.where(usable, q, 0)
+    same = usable & (doc == other)
+    if same.any():
+        # In one text the other passage ends before this one begins, which what lies before both places tells.
+        s, _ = a.cut(a.found_in(b, to=q + 1), p, COSTS[-1])
+        a.first = np.where(same, s, a.first)
+        b.n = np.where(same, np.clip(begin + s - SHINGLE + 1 - other_begin, 0, b.n), b.n)
+        usable &= q < b.n
+        q = np.where(usable, q, 0)
+    in_b, in_a = a.found_in(b), b.found_in(a)
+    start, stop = np.zeros(len(p), np.int64), np.zeros(len(p), np.int64)
+    for cost in COSTS:
+        (s, t), (u, v) = a.cut(in_b, p, cost), b.cut(in_a, q, cost)
+        some = usable & (np.minimum(t - s, v - u) >= LEAST - SHINGLE + 1) & (t - s > stop - start)
+        n_a, n_b, both = overlaps(*a.part(s, t, some), *b.part(u, v, some))
+        good = some & (both * (NUM + DEN) >= (n_a + n_b) * NUM)
+        start, stop = np.where(good, s, start), np.where(good, t, stop)
+    good = stop > 0
+    return np.where(good, begin + start, 0), np.where(good, begin + stop + SHINGLE - 1, 0)
+
+
+def _verified(part: pa.RecordBatch) -> pa.RecordBatch:
+    """(doc_id, start, stop, other) of the passages of pairs of stretches of text, around each of their ``places``.
+
+    A place that only shared shingles part from the one before has the same passage, as a stretch with the highest
+    sum takes both or none; a place inside a passage that was found needs no search either.
+    """
+    a, b = _Side(part, "near"), _Side(part, "other_near")
+    hit_a, hit_b = a.found_in(b), b.found_in(a)
+    hits = [np.bincount(x.row[h], minlength=len(x.n)) for x, h in ((a, hit_a), (b, hit_b))]
+    lacks_a, lacks_b = (np.append(0, np.cumsum(~h)) for h in (hit_a, hit_b))
+    doc, begin, other, other_begin, shift = (part.column(c).to_numpy() for c in ("doc_id", "from", "other", "other_from", "shift"))
+    left: dict[int, list[int]] = {}
+    for i in np.flatnonzero(np.minimum(*hits) >= FEWEST).tolist():
+        pos = np.sort(part.column("places")[i].values.to_numpy(zero_copy_only=False))
+        x, y = a.at[i] + np.minimum(pos - begin[i], a.n[i]), b.at[i] + np.minimum(pos - shift[i] - other_begin[i], b.n[i])
+        joined = (lacks_a[x[1:]] == lacks_a[x[:-1]]) & (lacks_b[y[1:]] == lacks_b[y[:-1]]) & (hit_a[np.minimum(x[1:], len(hit_a) - 1)])
+        left[i] = pos[np.append(True, ~joined | (doc[i] == other[i]))].tolist()
+    out = []
+    while left:
+        rows = np.array(list(left))
+        start, stop = _around(part.take(pa.array(rows)), np.array([left[i].pop(0) for i in left]))
+        for i, s, t in zip(rows.tolist(), start.tolist(), stop.tolist()):
+            if t:
+                out.append((int(doc[i]), s, t, int(other[i])))
+                left[i] = [p for p in left[i] if not s <= p < t]
+        left = {i: at for i, at in left.items() if at}
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else ((),) * 4)], names=["doc_id", "start", "stop", "other"])
+
+
+PASSAGES = "doc_id long, start long, stop long, other long"
+
+
+def _near(rows: DataFrame, words: DataFrame, doc: str, first: str, last: str, start: str, near: str) -> DataFrame:
+    """The rows with the words of ``doc`` from AROUND before ``first`` up to AROUND behind ``last``, and where they start."""
+    rows = rows.join(words.withColumnsRenamed({"doc_id": doc, "words": "_words"}), doc)
+    rows = rows.withColumn(start, F.greatest(F.col(first) - AROUND, F.lit(0)))
+    part = F.substring("_words", (F.col(start) * 4 + 1).cast("int"), ((F.col(last) + AROUND - F.col(start)) * 4).cast("int"))
+    return rows.withColumn(near, part).drop("_words")
+
+
+def diagonals(pairs: DataFrame) -> DataFrame:
+    """Pairs of places (doc_id, pos, other, other_pos) as (doc_id, other, shift, places): those of a diagonal that stand close together."""
+    close = [F.col("doc_id"), F.col("other"), (F.col("pos") - F.col("other_pos")).alias("shift"), F.floor(F.col("pos") / APART).alias("block")]
+    return pairs.groupBy(*close).agg(F.collect_set("pos").alias("places")).drop("block")
+
+
 def similar_passages(pairs: DataFrame, work: DataFrame) -> DataFrame:
-    """(doc_id, start, stop, other) of the passages around pairs of places whose exact Jaccard similarity reaches NUM / DEN.
+    """(doc_id, start, stop, other) of the passages around ``diagonals`` whose exact Jaccard similarity reaches NUM / DEN.
 
-    Within AROUND words of the places both sides are cut to where most shingles occur on the other side
+    Within AROUND words of a place both sides are cut to where most shingles occur on the other side
     too, in whatever order; cuts are tried for several costs of other shingles, the longest that holds counts.
+    Every place of a diagonal that is in no passage found before is tried.
     """
 
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
-                doc, pos, begin, other, other_pos, other_begin = (part.column(c).to_numpy() for c in ("doc_id", "pos", "from", "other", "other_pos", "other_from"))
-                a, b = _Side(part, "near"), _Side(part, "other_near")
-                p, q = pos - begin, other_pos - other_begin
-                usable = (p < a.n) & (q < b.n)
-                p, q = np.where(usable, p, 0), np.where(usable, q, 0)
-                same = usable & (doc == other)
-                if same.any():
-                    # In one text the other passage ends before this one begins, which what lies before both places tells.
-                    s, _ = a.cut(a.found_in(b, to=q + 1), p, COSTS[-1])
-                    a.first = np.where(same, s, 0)
-                    b.n = np.where(same, np.clip(begin + s - SHINGLE + 1 - other_begin, 0, b.n), b.n)
-                    usable &= q < b.n
-                    q = np.where(usable, q, 0)
-                in_b, in_a = a.found_in(b), b.found_in(a)
-                start, stop = np.zeros(len(p), np.int64), np.zeros(len(p), np.int64)
-                for cost in COSTS:
-                    (s, t), (u, v) = a.cut(in_b, p, cost), b.cut(in_a, q, cost)
-                    some = usable & (np.minimum(t - s, v - u) >= LEAST - SHINGLE + 1) & (t - s > stop - start)
-                    n_a, n_b, both = overlaps(*a.part(s, t, some), *b.part(u, v, some))
-                    good = some & (both * (NUM + DEN) >= (n_a + n_b) * NUM)
-                    start, stop = np.where(good, s, start), np.where(good, t, stop)
-                good = stop > 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[good]), pa.array((begin + start)[good]), pa.array((begin + stop + SHINGLE - 1)[good]), pa.array(other[good])],
-                    names=["doc_id", "start", "stop", "other"],
-                )
+                yield _verified(batch.slice(lo, 1024))
 
     words = work.select("doc_id", "words")
     ids = pairs.select(F.explode(F.array("doc_id", "other")).alias("id")).distinct()
     words = screened(words, stored(ids), "doc_id")
-
-    def side(rows: DataFrame, doc: str, pos: str, start: str, near: str) -> DataFrame:
-        rows = rows.join(words.withColumnsRenamed({"doc_id": doc, "words": "_words"}), doc)
-        rows = rows.withColumn(start, F.greatest(F.col(pos) - AROUND, F.lit(0)))
-        part = F.substring("_words", (F.col(start) * 4 + 1).cast("int"), ((F.col(pos) + AROUND - F.col(start)) * 4).cast("int"))
-        return rows.withColumn(near, part).drop("_words")
-
-    both = side(side(pairs, "doc_id", "pos", "from", "near"), "other", "other_pos", "other_from", "other_near")
-    return both.mapInArrow(run, "doc_id long, start long, stop long, other long").distinct()
+    rows = pairs.withColumns({"_first": F.array_min("places"), "_last": F.array_max("places")})
+    rows = _near(rows, words, "doc_id", "_first", "_last", "from", "near")
+    rows = rows.withColumns({"_first": F.col("_first") - F.col("shift"), "_last": F.col("_last") - F.col("shift")})
+    rows = _near(rows, words, "other", "_first", "_last", "other_from", "other_near").drop("_first", "_last")
+    return rows.mapInArrow(run, PASSAGES).distinct()
+
+
+def _may_be_similar(left: _Side, right: _Side) -> np.ndarray:
+    """Whether the surroundings of left places have FEWEST shingles or more that those of right places have too."""
+    _, token = np.unique(np.concatenate([left.codes, right.codes]), return_inverse=True)
+    n = int(token.max(initial=-1)) + 1
+    sides = []
+    for side, own in ((left, token[: len(left.codes)]), (right, token[len(left.codes) :])):
+        both, times = np.unique(own.astype(np.int64) * len(side.n) + side.row, return_counts=True)
+        sides.append((both // len(side.n), both % len(side.n), times))
+    (ta, ra, times), (tb, rb, _) = sides
+    at_a, at_b = (np.searchsorted(t, np.arange(n + 1)) for t in (ta, tb))
+    size_a, size_b = np.diff(at_a), np.diff(at_b)
+    found = np.zeros((len(left.n), len(right.n)), np.float32)
+    # Shingles that many pairs share are counted as products of matrices, 2048 shingles at a time, the others pair by pair.
+    often = np.flatnonzero(size_a * size_b > 256)
+    for lo in range(0, len(often), 2048):
+        part = often[lo : lo + 2048]
+        x, y = np.zeros((len(left.n), len(part)), np.float32), np.zeros((len(part), len(right.n)), np.float32)
+        for rows, tokens, out, value in ((ra, ta, "x", times), (rb, tb, "y", None)):
+            where = np.minimum(np.searchsorted(part, tokens), len(part) - 1)
+            has = part[where] == tokens
+            if out == "x":
+                x[rows[has], where[has]] = value[has]
+            else:
+                y[where[has], rows[has]] = 1
+        found += x @ y
+    rare = (size_a * size_b)[ta]
+    rare = np.flatnonzero((rare > 0) & (rare <= 256))
+    reps = size_b[ta[rare]]
+    step = np.repeat(at_b[ta[rare]] - np.concatenate([[0], np.cumsum(reps)[:-1]]), reps) + np.arange(int(reps.sum()))
+    cell = np.repeat(ra[rare], reps) * len(right.n) + rb[step]
+    found += np.bincount(cell, np.repeat(times[rare], reps), found.size).reshape(found.shape).astype(np.float32)
+    return found >= FEWEST
+
+
+def _searched(found: pa.Table) -> pa.Table:
+    """(doc_id, start, stop, other) of the similar passages around any two places of a key that meet in a bucket of ``tiled``.
+
+    Pairs of one component whose later place lies in a passage found already are left out.
+    """
+    doc, pos, begin, component = (found.column(c).to_numpy() for c in ("doc_id", "pos", "from", "component"))
+    done, label = found.column("settled").to_numpy().copy(), component.copy()
+    near = found.column("near").combine_chunks()
+    out = []
+    for left, right in groups_of(found):
+        ok = _may_be_similar(*(_Side(pa.table({"near": near.take(pa.array(side))}), "near") for side in (left, right)))
+        for x in np.lexsort((pos[left], doc[left])).tolist():
+            one = int(left[x])
+            others = right[ok[x]]
+            before = (doc[others] < doc[one]) | ((doc[others] == doc[one]) & (pos[others] < pos[one]))
+            if left is right:  # each pair once, by its earlier place
+                others, before = others[~before & (others != one)], np.zeros(int((~before & (others != one)).sum()), bool)
+            late, early = np.where(before, one, others), np.where(before, others, one)
+            open_ = (label[late] != label[early]) | ~done[late]
+            late, early = late[open_], early[open_]
+            for lo in range(0, len(late), 1024):
+                y, z = late[lo : lo + 1024], early[lo : lo + 1024]
+                part = pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(doc[y]), pa.array(begin[y]), near.take(pa.array(y)), pa.array(doc[z]), pa.array(begin[z]), near.take(pa.array(z)),
+                        pa.array(pos[y] - pos[z]), pa.array(list(pos[y][:, None])),
+                    ],
+                    names=["doc_id", "from", "near", "other", "other_from", "other_near", "shift", "places"],
+                )
+                passages = list(zip(*(c.to_pylist() for c in _verified(part).columns)))
+                out += passages
+                by = {}
+                for d, s, t, o in passages:
+                    by.setdefault((d, o), []).append((s, t))
+                for u, v in zip(y.tolist(), z.tolist()):
+                    spans = by.get((doc[u], doc[v]), ())
+                    if spans:
+                        label[label == label[u]] = label[v]
+                        done[u] |= any(s <= pos[u] < t for s, t in spans)
+    names = ["doc_id", "start", "stop", "other"]
+    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, zip(*set(out)) if out else ((),) * 4)})
+
+
+def rest_of_keys(led: DataFrame, near: DataFrame, links: DataFrame, work: DataFrame) -> DataFrame:
+    """The similar passages around two places of a key that ``first_places`` has not held against each other; stored.
+
+    Left out are pairs of documents that ``links`` connect already, whose later place lies in a passage of ``near``. The
+    pairs of keys with up to FEW places are rows; larger keys are searched in tiles of bounded size inside tasks.
+    """
+    with scratch(work.sparkSession) as keep:
+        rest = led.select("key", "doc_id", "pos", F.struct("other", "other_pos").alias("held"))
+        firsts = led.select("key", F.col("other").alias("doc_id"), F.col("other_pos").alias("pos"), F.lit(None).cast(rest.schema["held"].dataType).alias("held"))
+        several = led.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+        rest = rest.union(firsts).join(several, "key").groupBy("key", "doc_id", "pos").agg(F.max("held").alias("held"))
+        runs = near.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
+        inside = F.exists("runs", lambda r: (r["start"] <= F.col("pos")) & (F.col("pos") < r["stop"]))
+        known = components(links).select(F.col("id").alias("doc_id"), "component")
+        rest = rest.join(runs, "doc_id", "left").join(known, "doc_id", "left")
+        rest = stored(rest.select("key", "doc_id", "pos", "held", F.coalesce("component", "doc_id").alias("component"), F.coalesce(inside, F.lit(False)).alias("settled")))
+        facts = rest.groupBy("key").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"),
+            F.max(F.col("held").isNotNull() & ~F.col("settled")).alias("open"),
+        )
+        rest = stored(rest.join(facts.where("n > 2 and (lo < hi or open)").select("key", "n"), "key"))
+        small = rest.where(F.col("n") <= FEW).drop("n")
+        early = small.select("key", F.col("doc_id").alias("other"), F.col("pos").alias("other_pos"), F.col("component").alias("other_component"))
+        pairs = small.join(early, "key").where((F.col("other") < F.col("doc_id")) | ((F.col("other") == F.col("doc_id")) & (F.col("other_pos") < F.col("pos"))))
+        pairs = pairs.where((F.col("component") != F.col("other_component")) | ~F.col("settled"))
+        pairs = pairs.where(~F.col("held").eqNullSafe(F.struct("other", "other_pos")))
+        found = similar_passages(stored(diagonals(pairs)), work)
+        large = rest.where(F.col("n") > FEW)
+        if not large.isEmpty():
+            large = large.select("key", F.struct("doc_id", "pos").alias("id"), "component", "settled")
+            places = large.select("id").distinct().select("id", "id.doc_id", "id.pos")
+            payload = _near(places, screened(work.select("doc_id", "words"), stored(places.select(F.col("doc_id").alias("at")).distinct()), "doc_id"), "doc_id", "pos", "pos", "from", "near")
+            cross = tiled(large, payload).drop("id").groupBy("bucket").applyInArrow(_searched, PASSAGES)
+            found = found.union(cross).distinct()
+        return keep(found)
 
 
 def repeats(documents: DataFrame) -> DataFrame:
@@ -361,7 +524,8 @@ def repeats(documents: DataFrame) -> DataFrame:
 
     All passages of LEAST words that are equal to an earlier one are found by their hashes; as
     equal passages share a place, only passages that hold a shared place are hashed. Places outside of those are
-    held, by bands of the paragraphs beside them, against the first such place; the passages found so count when their
+    held, by bands of the paragraphs beside them, against the first such place, and then against all others of their key
+    as far as they lie in no passage found, or in documents not connected yet; the passages found so count when their
     exact Jaccard similarity reaches NUM / DEN. ``spans`` are both as (start, stop) in words, ``others`` the documents
     that have the earlier passages.
     """
@@ -374,12 +538,10 @@ def repeats(documents: DataFrame) -> DataFrame:
         equal = equal.groupBy("doc_id").agg(F.collect_set("pos").alias("starts"), F.collect_set("other").alias("others"))
         equal = stored(runs_of(equal))
         open_work = work.join(equal.select("doc_id", "begins", "ends"), "doc_id", "left")
-        pairs = first_places(paragraph_keys(open_work))
-        # Of the places of a diagonal that stand close together one is enough: what lies around it is looked at.
-        close = [F.col("doc_id"), F.col("other"), (F.col("pos") - F.col("other_pos")).alias("shift"), F.floor(F.col("pos") / APART).alias("block")]
-        pairs = pairs.groupBy(*close).agg(F.min("pos").alias("pos"))
-        pairs = pairs.select("doc_id", "pos", "other", (F.col("pos") - F.col("shift")).alias("other_pos"))
-        near = similar_passages(stored(pairs), work)
+        led = stored(first_places(paragraph_keys(open_work)))
+        near = stored(similar_passages(stored(diagonals(led)), work))
+        links = equal.select(F.explode("others").alias("a"), F.col("doc_id").alias("b")).union(near.select(F.col("other").alias("a"), F.col("doc_id").alias("b")))
+        near = near.union(rest_of_keys(led, near, links, work)).distinct()
         near = near.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("runs"), F.collect_set("other").alias("near_others"))
         found = equal.join(near, "doc_id", "full")
         others = F.array_union(F.coalesce("others", F.array()), F.coalesce("near_others", F.array()))

@@ -189,3 +189,35 @@ def test_similar_passages_with_insertions_and_in_another_order(spark):
     assert all(len(f) > 20 for k, f in found.items() if k != 1) and len(found[1]) >= 10
     assert all(sum(f) >= 0.9 * len(f) for f in found.values()), {k: sum(f) / len(f) for k, f in found.items()}
     assert all(got[i - 1] == 0 for i in near_of)
+
+
+@pytest.mark.parametrize("copies", [1, 70])
+def test_similar_passages_that_are_not_the_first_of_their_key(spark, copies):
+    """Two passages with their halves in another order, behind documents that hold each half alone."""
+    rng = random.Random(17)
+    texts, want = [], set()
+    for case in range(12 if copies == 1 else 2):
+        x, y = prose(rng, 28), prose(rng, 28)
+        for half in (x, y):
+            for _ in range(copies):
+                texts.append((len(texts), prose(rng, 60) + half + prose(rng, 60)))
+        for passage in (x + y, y + x):
+            texts.append((len(texts), prose(rng, 60) + passage + prose(rng, 60)))
+        want.add(texts[-1][0])
+    got = removed(spark, texts)
+    assert {i for i, n in got.items() if n >= 50} == want
+    assert all(n == 0 for i, n in got.items() if i not in want)
+
+
+def test_places_of_a_diagonal_are_each_tried():
+    """A place beside a gap that belongs to no passage, and one behind the gap that does."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 2**32, 300).astype("<u4")
+    other = rng.integers(0, 2**32, 300).astype("<u4")
+    other[100:106], other[125:180] = words[100:106], words[125:180]
+    columns = {"doc_id": [2], "from": [0], "near": [words.tobytes()], "other": [1], "other_from": [0], "other_near": [other.tobytes()], "shift": [0], "places": [[100, 126, 127]]}
+    (batch,) = pa.table(columns).to_batches()
+    found = substring_dedup._verified(batch).to_pylist()
+    assert found == [{"doc_id": 2, "start": 125, "stop": 180, "other": 1}]
