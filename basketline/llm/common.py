@@ -106,21 +106,44 @@ def identified(documents: DataFrame, name: str = "row_id") -> tuple[DataFrame, s
     return stored(out.select(*documents.columns, name)), name, False
 
 
+def marked(rows: DataFrame, ids: DataFrame, column: str, mark: str, bits: int = 1 << 26) -> DataFrame:
+    """The rows with ``mark``: false only where ``column`` is certainly not in ``ids`` (one column); nothing is moved.
+
+    A table of bitmaps over hashes of the ids, of ``bits`` bits whatever their number, is broadcast.
+    """
+    at, part, own = (fresh([*rows.columns, mark], c) for c in ("_at", "_part", "_bits"))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    set_bits = ids.select(place(F.col(ids.columns[0]).cast("long")).alias(at)).select(F.shiftright(at, 15).alias(part), (F.col(at) % 32768).alias("_bit"))
+    table = set_bits.groupBy(part).agg(F.bitmap_construct_agg("_bit").alias(own))
+    byte = F.substring(own, (F.floor(F.col(at) % 32768 / 8) + 1).cast("int"), F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), (F.col(at) % 8).cast("int")) == 1
+    some = rows.withColumn(at, place(F.col(f"`{column}`").cast("long"))).withColumn(part, F.shiftright(at, 15))
+    some = some.join(F.broadcast(table), part, "left").withColumn(mark, F.coalesce(is_set, F.lit(False)))
+    return some.select(*[F.col(f"`{c}`") for c in rows.columns], mark)
+
+
 def screened(rows: DataFrame, ids: DataFrame, column: str, bits: int = 1 << 26) -> DataFrame:
     """The rows whose ``column`` is in ``ids`` (one column), without moving most of the others.
 
-    A table of bitmaps over hashes of the ids, of ``bits`` bits whatever their number, is broadcast and
-    turns away most other rows where they are; a join decides on the rest.
+    Bitmaps turn away most other rows where they are; a join decides on the rest. It is an inner join, as Spark
+    would move a semi join before the bitmaps, and then all rows.
     """
-    key = ids.columns[0]
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
-    set_bits = ids.select(place(key).alias("_at")).select(F.shiftright("_at", 15).alias("_part"), (F.col("_at") % 32768).alias("_bit"))
-    table = set_bits.groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
-    byte = F.substring("_bits", (F.floor(F.col("_at") % 32768 / 8) + 1).cast("int"), F.lit(1))
-    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), (F.col("_at") % 8).cast("int")) == 1
-    some = rows.withColumn("_at", place(column)).withColumn("_part", F.shiftright("_at", 15))
-    some = some.join(F.broadcast(table), "_part").where(is_set).select(*rows.columns)
-    return some.join(ids.select(F.col(key).alias(column)).distinct(), column, "left_semi").select(*rows.columns)
+    may = fresh(rows.columns, "may")
+    some = marked(rows, ids, column, may, bits).where(may).drop(may)
+    return some.join(ids.select(F.col(ids.columns[0]).alias(column)).distinct(), column).select(*rows.columns)
+
+
+def with_facts(rows: DataFrame, facts: DataFrame, column: str) -> DataFrame:
+    """The rows with the columns of ``facts``, whose first one names rows by ``column``, or nulls.
+
+    Names of facts and rows differ. Rows without facts, which bitmaps tell, stay where they are.
+    """
+    may = fresh([*rows.columns, *facts.columns], "may")
+    some = marked(rows, facts.select(facts.columns[0]), column, may)
+    key = facts.columns[0]
+    moved = some.where(may).drop(may).join(facts, F.col(f"`{column}`") == F.col(key), "left")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in facts.schema.fields]
+    return moved.union(some.where(~F.col(may)).select(*[F.col(f"`{c}`") for c in rows.columns], *nulls))
 
 
 def key_rows(ids: np.ndarray, keys: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
@@ -247,12 +270,46 @@ def tiled(rows: DataFrame, payload: DataFrame, block: int = 2048, gathered: int
     return out.withColumn("bucket", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(buckets))).join(payload, "id")
 
 
-def groups_of(found: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions of the two sides of every (key, lo, hi) in a bucket; the same side twice for one block."""
-    key, lo, hi, own = (found.column(c).to_numpy() for c in ("key", "lo", "hi", "own"))
+SMALL = 16  # rows of a group whose pairs are listed together with those of other groups
+
+
+def _ordered(found: pa.Table, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Some rows of a bucket by (key, lo, hi) and block, and where a group begins, but for the first."""
+    rows = np.arange(found.num_rows) if rows is None else rows
+    key, lo, hi, own = (found.column(c).to_numpy()[rows] for c in ("key", "lo", "hi", "own"))
     order = np.lexsort((own, hi, lo, key))
     new = (np.diff(key[order]) != 0) | (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)
-    for group in np.split(order, np.flatnonzero(new) + 1):
+    return rows[order], np.flatnonzero(new) + 1
+
+
+def small_pairs(found: pa.Table, component: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every pair of rows of different components in groups of one block and up to SMALL rows, once; and the rows of all other groups."""
+    order, at = _ordered(found)
+    begin, size = np.append(0, at), np.diff(np.concatenate([[0], at, [len(order)]]))
+    lo, hi = found.column("lo").to_numpy(), found.column("hi").to_numpy()
+    small = (size <= SMALL) & (lo[order[begin]] == hi[order[begin]])
+    x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for n in np.unique(size[small]).tolist():
+        rows = order[begin[small & (size == n)][:, None] + np.arange(n)]
+        for i in range(n):
+            for j in range(i + 1, n):
+                differ = component[rows[:, i]] != component[rows[:, j]]
+                x.append(rows[differ, i])
+                y.append(rows[differ, j])
+    x, y = np.concatenate(x), np.concatenate(y)
+    _, node = np.unique(found.column("id").to_numpy(), return_inverse=True)  # an id has several rows
+    u, v = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+    _, first = np.unique(u.astype(np.int64) * found.num_rows + v, return_index=True)
+    return x[first], y[first], order[np.repeat(~small, size)]
+
+
+def groups_of(found: pa.Table, rows: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the two sides of every (key, lo, hi) in a bucket, or in some rows of it; the same side twice for one block."""
+    lo, hi, own = (found.column(c).to_numpy() for c in ("lo", "hi", "own"))
+    order, at = _ordered(found, rows)
+    if not len(order):
+        return
+    for group in np.split(order, at):
         if lo[group[0]] == hi[group[0]]:
             yield group, group
         else:
@@ -266,7 +323,7 @@ def linked(
     verify: Callable[[DataFrame], DataFrame],
     payload: Callable[[], DataFrame],
     may_link: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray],
-    exact: Callable[[pa.Table], Callable[[int, int], bool]] | None = None,
+    exact: Callable[[pa.Table, np.ndarray], tuple[Callable[[int, int], bool], Callable[[np.ndarray, np.ndarray], np.ndarray]]] | None = None,
     rounds: int = 2,
 ) -> DataFrame:
     """Components over all links that share a key: (id, component) of every id with a link; stored.
@@ -277,8 +334,9 @@ def linked(
     copies. Keys that still hold several components are then searched whole, in tiles of bounded size
     inside tasks: ``may_link`` bounds the pairs of two sides of a tile from the columns that
     ``payload`` gives per id, and only pairs of different components that it leaves are looked at. With ``exact``
-    they are verified in the tile too, unless a link found there already connects them, and the tile returns a
-    forest; else they are verified as rows. So no link between components is lost.
+    they are verified in the tile too: ``exact`` gives a function of one pair of some rows and one of many pairs. All pairs
+    of small groups are verified at once, those of others unless a link found in the tile already connects them. Without
+    it they are verified as rows. So no link between components is lost.
     """
     with scratch(members.sparkSession) as keep:
         members = stored(members)
@@ -306,10 +364,15 @@ def linked(
 
         def bounded(found: pa.Table) -> pa.Table:
             ids, component = found.column("id").to_numpy(), found.column("component").to_numpy()
-            holds = exact(found) if exact else None
             label = component.copy()  # components that links of this bucket have put together have one label
-            a, b = [], []
-            for left, right in groups_of(found):
+            a, b, holds, large = [], [], None, None
+            if exact:
+                x, y, large = small_pairs(found, component)
+                holds, all_hold = exact(found, large)
+                links = all_hold(x, y)
+                a += np.minimum(ids[x], ids[y])[links].tolist()
+                b += np.maximum(ids[x], ids[y])[links].tolist()
+            for left, right in groups_of(found, large):
                 ok = may_link(found, left, right)
                 if left is right:
                     ok = np.triu(ok, 1)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from basketline.llm import textcodes as X
 from basketline.llm.common import (
-    KEY_ROWS, bitmap, document_rows, fresh, identified, intersection, key_rows, led_by_heads, linked, most_in_common, overlaps, scratch, screened, stored,
+    KEY_ROWS, bitmap, document_rows, fresh, identified, intersection, key_rows, led_by_heads, linked, most_in_common, overlaps, scratch, screened, stored, with_facts,
 )
 
 SHINGLE = 8  # bytes
@@ -106,14 +106,45 @@ def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").select("a", "b", "line_a", "line_b").mapInArrow(run, "a long, b long")
 
 
-def _tile_sets(found: pa.Table) -> tuple[pa.Table, list[np.ndarray]]:
-    """Size and bitmap of every row's shingle set as columns, and the sets."""
-    distinct = found.column("line").combine_chunks().dictionary_encode()
-    own = list(X.sets(*_shingle_codes(distinct.dictionary)))
-    at = distinct.indices.to_numpy()
-    sets = [own[i] for i in at.tolist()]
-    bits = pa.array(map(bitmap, own), pa.binary()).take(distinct.indices)
-    return found.append_column("n", pa.array([len(s) for s in sets], pa.int64())).append_column("bits", bits), sets
+class _Tile:
+    """The lines of a bucket, each distinct text once; ``rows`` have sets, and size and bitmap as columns ``n`` and ``bits``."""
+
+    def __init__(self, found: pa.Table, rows: np.ndarray):
+        distinct = found.column("line").combine_chunks().dictionary_encode()
+        self.codes, self.at = _shingle_codes(distinct.dictionary)
+        self.own = distinct.indices.to_numpy()
+        self.sets: list[np.ndarray | None] = [None] * found.num_rows
+        bits: list[bytes | None] = [None] * found.num_rows
+        order = rows[np.argsort(self.own[rows], kind="stable")]
+        texts, at = np.unique(self.own[order], return_index=True)
+        for text, group in zip(texts.tolist(), np.split(order, at[1:])):
+            own = X.distinct(self.codes[self.at[text] : self.at[text + 1]])
+            sign = bitmap(own)
+            for i in group.tolist():
+                self.sets[i], bits[i] = own, sign
+        n = pa.array([0 if s is None else len(s) for s in self.sets], pa.int64())
+        self.signed = pa.table({"n": n, "bits": pa.array(bits, pa.binary())})
+
+    def holds(self, i: int, j: int) -> bool:
+        x, y = self.sets[i], self.sets[j]
+        least = -(-(len(x) + len(y)) * NUM // (NUM + DEN))
+        return min(len(x), len(y)) >= least and intersection(x, y) >= least
+
+    def all_hold(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """``holds`` of many pairs of rows, of about a million shingles at a time."""
+        sides = self.own[i], self.own[j]
+        total = np.cumsum(sum(np.diff(self.at)[s] for s in sides))
+        lots = np.unique(np.searchsorted(total, np.arange(0, total[-1] if len(total) else 0, 1 << 20)))
+        out = [np.zeros(0, bool)]
+        for lo, hi in zip(lots, [*lots[1:], len(i)]):
+            n_a, n_b, both = overlaps(*[c for s in sides for c in self._codes(s[lo:hi])])
+            out.append(both * (NUM + DEN) >= (n_a + n_b) * NUM)
+        return np.concatenate(out)
+
+    def _codes(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = np.diff(self.at)[rows]
+        at = np.concatenate([[0], np.cumsum(size)])
+        return self.codes[np.repeat(self.at[:-1][rows] - at[:-1], size) + np.arange(at[-1])], at
 
 
 def line_classes(lines: DataFrame) -> DataFrame:
@@ -126,24 +157,17 @@ def line_classes(lines: DataFrame) -> DataFrame:
         members = stored(led_by_heads(band_keys(lines)))
         ids = members.select("id").distinct()
         texts = stored(screened(lines.select("id", "line"), ids, "id").dropDuplicates(["id"]))
-        prepared: dict[int, tuple] = {}
+        tiles: dict[int, _Tile] = {}
 
         def may_link(found: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-            signed, _ = prepared.get(id(found)) or prepared.setdefault(id(found), _tile_sets(found))
+            signed = tiles[id(found)].signed
             n = signed.column("n").to_numpy()
             return most_in_common(signed, left, right) * (NUM + DEN) >= (n[left][:, None] + n[right][None]) * NUM
 
-        def exact(found: pa.Table):
-            prepared.clear()
-            prepared[id(found)] = _tile_sets(found)
-            sets = prepared[id(found)][1]
-
-            def holds(i: int, j: int) -> bool:
-                x, y = sets[i], sets[j]
-                least = -(-(len(x) + len(y)) * NUM // (NUM + DEN))
-                return min(len(x), len(y)) >= least and intersection(x, y) >= least
-
-            return holds
+        def exact(found: pa.Table, rows: np.ndarray):
+            tiles.clear()
+            tiles[id(found)] = tile = _Tile(found, rows)
+            return tile.holds, tile.all_hold
 
         found = linked(members, lambda pairs: similar(pairs, texts), lambda: texts, may_link, exact)
         classes = counted.join(found, "id", "left").where("n > 1 or component is not null")
@@ -196,7 +220,7 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     plain = rows.select(F.col(key).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     own, gone, n_lines, n_removed = (fresh([*names, key], c) for c in ("of_row", "gone", "n_lines", "n_removed"))
     removed = removed_lines(plain).select(F.col("doc_id").alias(own), F.col("gone").alias(gone))
-    out = rows.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))).join(removed, F.col(key) == F.col(own), "left")
+    out = with_facts(rows.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))), removed, key)
     lines = F.when(F.col("text") == "", 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1)
     left = without_lines(F.col("text"), F.col(gone))
     return out.select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketline.llm import textcodes as X
-from basketline.llm.common import components, document_rows, fresh, groups_of, identified, overlaps, scratch, screened, stored, tiled
+from basketline.llm.common import components, document_rows, fresh, groups_of, identified, overlaps, scratch, screened, stored, tiled, with_facts
 from basketline.llm.line_dedup import min_hashes
 
 SHINGLE = 5  # words
@@ -60,7 +60,7 @@ def minima(codes: np.ndarray) -> np.ndarray:
             place = int(places[np.searchsorted(places, s + w) - 1])
             out.append(np.array([place]))
             s = place + 1
-    return np.unique(np.concatenate(out))
+    return X.distinct(np.concatenate(out))
 
 
 def headed(keys: np.ndarray, docs: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
@@ -148,7 +148,7 @@ def worked(documents: DataFrame, places: DataFrame) -> DataFrame:
                     raw = text.encode()
                     starts = X.word_spans(raw)[:, 0]
                     lines = np.searchsorted(starts, np.flatnonzero(np.frombuffer(raw, np.uint8) == 10))
-                    begins.append(np.unique(np.concatenate([[0], lines])).astype(np.int32))
+                    begins.append(X.distinct(np.concatenate([[0], lines])).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("places"), pa.array(words, pa.binary()), pa.array(begins, pa.list_(pa.int32()))],
                     names=["doc_id", "places", "words", "lines"],
@@ -241,7 +241,7 @@ def paragraph_keys(open_work: DataFrame) -> DataFrame:
                 if not len(places):
                     continue
                 lines = np.append(_column(batch, "lines", i), len(codes)).astype(np.int64)
-                of = np.unique(np.searchsorted(lines, places, "right") - 1)
+                of = X.distinct(np.searchsorted(lines, places, "right") - 1)
                 of = of[(lines[of + 1] - lines[of] >= LEAST)]
                 size = LEAST - SHINGLE + 1
                 begin = np.concatenate([places, np.maximum(places + 1 - size, 0), lines[of]])
@@ -579,7 +579,7 @@ def deduplicated(documents: DataFrame) -> DataFrame:
         facts = spans.join(classes.select(F.col("id").alias("doc_id"), "component"), "doc_id", "full")
         facts = keep(facts.select(F.col("doc_id").alias(key), F.col("spans").alias(cuts), F.col("component").alias(group)))
     rows = source.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = rows.join(facts, F.col(own) == F.col(key), "left")
+    rows = with_facts(rows, facts, own)
     kept = [c for c in documents.columns if c != "text"]
     names = {c: f"c{i}" for i, c in enumerate(kept)}  # other columns may have any name
     shape = rows.select(

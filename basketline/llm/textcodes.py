@@ -146,10 +146,16 @@ def shingles(codes: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndar
     return total, to
 
 
+def distinct(codes: np.ndarray) -> np.ndarray:
+    """The sorted distinct values; for short arrays much faster than numpy's hashing."""
+    codes = np.sort(codes)
+    return codes[np.append(True, codes[1:] != codes[:-1])] if len(codes) else codes
+
+
 def sets(codes: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
     """The sorted distinct codes of each row."""
     for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-        yield np.unique(codes[lo:hi]) if hi > lo else codes[:0]
+        yield distinct(codes[lo:hi])
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:

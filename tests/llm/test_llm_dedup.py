@@ -3,10 +3,12 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from basketline.llm import jaccard_join, lattice, line_dedup, substring_dedup
+from basketline.llm import common, jaccard_join, lattice, line_dedup, substring_dedup
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, id int, n_removed int, spans string"
 
@@ -78,6 +80,45 @@ def test_band_and_bucket_bounds():
         assert buckets[b] > (n + most) * 10 // 190
 
 
+def test_unlike_sets_share_no_key():
+    rng = np.random.default_rng(5)
+    keys = [jaccard_join.tile_keys(np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2)), 80, 100) for n in rng.integers(20, 500, 300)]
+    _, times = np.unique(np.concatenate(keys), return_counts=True)
+    assert (times > 1).sum() == 0
+
+
+@pytest.mark.parametrize("num, den", [(80, 100), (90, 100), (50, 100)])
+def test_similar_sets_share_a_key(num, den):
+    rng = np.random.default_rng(6)
+    codes = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2)
+    for n in [*range(1, 60), *rng.integers(60, 900, 60).tolist()] * 4:
+        both = codes(n)
+        differ = n * (den - num) // num
+        x = int(rng.integers(0, differ + 1))
+        a, b = (np.sort(np.concatenate([both, codes(k)])) for k in (x, differ - x))
+        assert n * den >= (n + differ) * num
+        assert np.intersect1d(jaccard_join.tile_keys(a, num, den), jaccard_join.tile_keys(b, num, den)).size
+
+
+def test_small_groups_give_each_pair_once():
+    rng = np.random.default_rng(7)
+    sizes = np.where(np.arange(400) % 40 == 0, 60, 5)
+    key = np.repeat(np.arange(400), sizes)
+    n = len(key)
+    ids = rng.integers(0, 500, n)
+    other = rng.integers(0, 2, n) * (key % 7 == 0)
+    found = pa.table({"key": key, "id": ids, "lo": np.zeros(n, int), "hi": other, "own": other})
+    x, y, rest = common.small_pairs(found, ids % 3)
+    groups = {}
+    for i in range(n):
+        groups.setdefault((key[i], other[i]), []).append(i)
+    small = {k: g for k, g in groups.items() if len(g) <= common.SMALL and k[1] == 0}
+    want = {tuple(sorted((ids[i], ids[j]))) for g in small.values() for i in g for j in g if ids[i] % 3 != ids[j] % 3}
+    got = [tuple(sorted((ids[i], ids[j]))) for i, j in zip(x, y)]
+    assert set(got) == want and len(got) == len(want) > 100
+    assert sorted(rest.tolist()) == sorted(i for k, g in groups.items() if k not in small for i in g)
+
+
 def test_repeated_and_null_ids(spark):
     rows = docs(spark, [(1, "a b c d"), (1, "a b c d"), (None, "a b c d"), (2, "A B C D")])
     got = sorted(jaccard_join.jaccard_classes(rows).collect(), key=lambda r: r.doc_id or 0)

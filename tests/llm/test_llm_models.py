@@ -5,6 +5,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from basketline.llm import common, html_tree, packing, toxicity
 
@@ -75,6 +76,25 @@ def test_tags_and_text_of_odd_pages():
         html_tree.parse(odd)
 
 
+def test_bitmaps_stand_before_the_join(spark):
+    rows = spark.range(1000).withColumn("text", F.lit("x")).hint("merge")
+    plan = common.screened(rows, spark.range(0, 1000, 7).hint("merge"), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan
+    lines = plan.splitlines()
+    depth = {m: next(len(x) - len(x.lstrip(" :+-")) for x in lines if m in x) for m in ("getbit", "Join Inner")}
+    assert depth["Join Inner"] < depth["getbit"]
+
+
+def test_facts_are_joined_and_other_rows_stay(spark):
+    rows = spark.range(500).select(F.when(F.col("id") != 3, F.col("id")).alias("a.b"), F.lit("x").alias("_at"))
+    facts = spark.range(0, 900, 5).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
+    got = common.with_facts(rows, facts, "a.b")
+    assert got.columns == ["a.b", "_at", "key", "twice"]
+    want = [(i, "x", *((i, 2 * i) if i % 5 == 0 else (None, None))) for i in range(500) if i != 3]
+    assert sorted(tuple(r) for r in got.where("`a.b` is not null").collect()) == sorted(want)
+    assert [tuple(r) for r in got.where("`a.b` is null").collect()] == [(None, "x", None, None)]
+
+
 def test_screened_rows_are_exact(spark):
     rows = spark.range(5000).selectExpr("id * 7 as id", "'x' as bits", "1 as _n")
     ids = spark.range(3000).selectExpr("id * 14 as wanted")
