@@ -33,22 +33,39 @@ def bands(num: int, den: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(low), 2 * top * (den - num) // (den + num) + 1
 
 
+LEVELS = 4  # ways of dealing shingles out to buckets, each for sets that had too few buckets with shingles before
+
+
 def tile_keys(codes: np.ndarray, num: int, den: int) -> np.ndarray:
     """Keys of the tiles of one set: its own size band and the next, times their buckets.
 
-    A bucket is a range of hash values; its key stands for all the shingles that fall in it.
+    A bucket is a range of hash values; its key stands for all the shingles that fall in it. Buckets without shingles,
+    in which very many sets agree, have no key: a set with more others than the similarity lets differ agrees with
+    each similar one in one of those. A set with fewer is dealt out anew by other hash values, where it meets the
+    others with fewer, and in the last of LEVELS its empty buckets have keys too.
     """
     n = len(codes)
     low, buckets = bands(num, den, 1 << max(10, n.bit_length()))
     band = int(np.searchsorted(low, n, "right")) - 1
-    sums = np.concatenate([np.zeros(1, X.U), np.cumsum(X.mix(codes ^ X.U(0x5DEECE66D)))])
+    dealt = []
     out = []
     for i in (band, band + 1):
         m = int(buckets[i])
         edges = (np.arange(m + 1, dtype=X.U) * X.U((1 << 64) // m)) if m > 1 else np.zeros(2, X.U)
-        at = np.searchsorted(codes, edges)
-        at[0], at[-1] = 0, n
-        out.append(X.mix((sums[at[1:]] - sums[at[:-1]]) ^ X.mix((np.arange(m, dtype=X.U) << X.U(24)) + X.U(i + 1))))
+        differ = (n + min(int(low[i + 1]) - 1, n * den // num)) * (den - num) // (den + num)
+        for level in range(LEVELS):
+            if level == len(dealt):
+                values = np.sort(X.mix(codes ^ X.U(level))) if level else codes
+                dealt.append((values, np.concatenate([np.zeros(1, X.U), np.cumsum(X.mix(values ^ X.U(0x5DEECE66D)))])))
+            values, sums = dealt[level]
+            at = np.searchsorted(values, edges)
+            at[0], at[-1] = 0, n
+            keys = X.mix((sums[at[1:]] - sums[at[:-1]]) ^ X.mix((np.arange(m, dtype=X.U) << X.U(24)) + X.U((level << 20) + i + 1)))
+            filled = at[1:] > at[:-1]
+            enough = int(np.count_nonzero(filled)) > differ
+            out.append(keys if level == LEVELS - 1 and not enough else keys[filled])
+            if enough:
+                break
     return np.concatenate(out)
 
 

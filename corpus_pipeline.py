@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketline.llm import jaccard_join, line_dedup, packing, substring_dedup, toxicity
-from basketline.llm.common import dropped, fresh, identified, scratch, table
+from basketline.llm.common import dropped, fresh, identified, scratch, table, with_facts
 
 
 def _with_text(documents: DataFrame, columns: list[str]) -> DataFrame:
@@ -40,8 +40,9 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """
     rows, key, _ = identified(docs)
     texts = rows.select(F.col(key).alias("doc_id"), "text")
-    drop = jaccard_join.jaccard_classes(texts, shingle=5, num=80, den=100).where("not kept").select(F.col("doc_id").alias(key))
-    return rows.join(drop, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    drop = fresh(rows.columns, "drop")
+    copies = jaccard_join.jaccard_classes(texts, shingle=5, num=80, den=100).where("not kept").select(F.col("doc_id").alias(drop))
+    return with_facts(rows, copies, key).where(F.col(drop).isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
