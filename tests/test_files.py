@@ -1,6 +1,7 @@
 """Stored layouts: what is read again, moved again or written again, and what is not."""
 
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -144,3 +145,19 @@ def test_rows_of_several_files_are_numbered_without_a_sort(spark, tmp_path, comp
     numbers = [r.source_row for r in rows.select("source_row").collect()]
     assert sorted(numbers) == list(range(1, len(numbers) + 1))
     assert "SortMergeJoin" not in plan(rows) and "BroadcastHashJoin" in plan(rows)
+
+
+def test_json_lines_are_numbered_in_order_over_any_number_of_files(spark, tmp_path, monkeypatch):
+    from workload import queries as W
+
+    rows = [(n * 7919 % 1000, datetime(2024, 1, 1), n % 5, ("view", "click", "error")[n % 3], 1.5, '{"k": 3}') for n in range(1000)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    raw = V.raw_bad(spark, str(tmp_path)).withColumn("ingested_at", F.lit(datetime(2025, 1, 1)))
+    expected = [(n, r.valid) for n, r in enumerate(parse_events(raw).orderBy("offset").select("valid").collect(), 1)]
+    for size, least in ((250_000, 2), (100, 8)):
+        monkeypatch.setattr(W, "LINES_A_FILE", size, raising=False)
+        monkeypatch.setattr(W, "shared_folder", lambda _, size=size: str(tmp_path / f"lines{size}"))
+        found = W.json_lines(spark, str(tmp_path))
+        assert sorted((r.line, r.valid) for r in found.collect()) == expected
+        assert len([p for p in (tmp_path / f"lines{size}").glob("part-*") if p.stat().st_size]) >= least

@@ -673,10 +673,18 @@ def recent_events_pruned(spark, sf):
     return shown.select("topic", "partition", "offset", "ingested_at", product)
 
 
+LINES_A_FILE = 250_000  # events whose lines one task puts in order
+
+
+def _line_files(spark, sf) -> int:
+    return max(4, math.ceil(V.table(spark, sf, "events").count() / LINES_A_FILE))
+
+
 @query
 def json_lines(spark, sf):
     """Raw records as lines of a JSON file, numbered and routed."""
     folder = shared_folder(spark)
+    files = _line_files(spark, sf)
     lines = V.raw_bad(spark, sf).repartitionByRange(files, "offset").sortWithinPartitions("offset")
     lines.select("raw_json").write.text(folder)
     parsed = contract.parse_events(read_json_lines(spark, folder, datetime(2025, 1, 1)))
@@ -724,14 +732,11 @@ def customer_report(spark, sf):
     return document.select(accepted, F.inline(months))
 
 
-LINES_A_FILE = 250_000  # events whose lines one task puts in order
-
-
 @query
 def fixture_report(spark, sf):
     """Totals of the report of a JSON file with refused and repeated lines."""
     folder = shared_folder(spark)
-    files = max(4, math.ceil(V.table(spark, sf, "events").count() / LINES_A_FILE))
+    files = _line_files(spark, sf)
     lines = V.raw_bad(spark, sf).select("raw_json", "offset")
     lines = lines.unionByName(lines.filter(F.col("offset") % 10 == 9)).repartitionByRange(files, "offset").sortWithinPartitions("offset")
     lines.select("raw_json").write.text(f"{folder}/lines")
