@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +26,9 @@ APART = 32  # words of a block of which one place is held against the other side
 COSTS = (8, 4, 2)  # of a shingle that the other side lacks, against 1 for one that it has; 8 holds 0.8 all along
 # A stretch of highest sum has at least so many shingles that the other side has: all but the place's own add up to 0 or more.
 FEWEST = -(-COSTS[-1] * (LEAST - SHINGLE) // (COSTS[-1] + 1))
-FEW = 64  # places of a key of which all pairs are rows; those of larger keys are searched in tiles
+FEW = 64  # places of a key of which all pairs are rows; those of larger keys have to share a rare shingle too
+QUICK = 1 << 12  # buckets of the hashed shingles of a stretch, by which most pairs are turned away
+BINS = 1 << 20  # hashed shingles whose numbers tell which of a place are rare
 
 
 def _row_shingles(codes: np.ndarray) -> np.ndarray:
@@ -264,18 +267,22 @@ def paragraph_keys(open_work: DataFrame) -> DataFrame:
     return open_work.mapInArrow(run, HEADED)
 
 
+def _stretches(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the shingles of stretches of words, and their offsets."""
+    raw = [np.frombuffer(x.as_buffer(), "<u4") for x in column]
+    words = X.mix(np.concatenate([np.zeros(0, "<u4"), *raw]).astype(np.uint64) + X.U(1))
+    codes, at = X.shingles(words, np.concatenate([[0], np.cumsum([len(r) for r in raw], dtype=np.int64)]), SHINGLE)
+    return X.mix(codes), at
+
+
 class _Side:
     """The shingles around the places of a batch on one side, row by row: those from ``first`` up to ``n`` count."""
 
     def __init__(self, batch: pa.RecordBatch, column: str):
-        raw = [np.frombuffer(x.as_buffer(), "<u4") for x in batch.column(column)]
-        words = X.mix(np.concatenate(raw).astype(np.uint64) + X.U(1))
-        offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-        self.codes, self.at = X.shingles(words, offsets, SHINGLE)
-        self.codes = X.mix(self.codes)
+        self.codes, self.at = _stretches(batch.column(column))
         self.n = np.diff(self.at)
-        self.first = np.zeros(len(raw), np.int64)
-        self.row = np.repeat(np.arange(len(raw)), self.n)
+        self.first = np.zeros(len(self.n), np.int64)
+        self.row = np.repeat(np.arange(len(self.n)), self.n)
         self.column = np.arange(len(self.codes)) - self.at[self.row]
         self.keys = (self.row.astype(np.uint64) << np.uint64(52)) | (self.codes >> np.uint64(12))
         self.width = int(self.n.max(initial=1))
@@ -336,12 +343,66 @@ def _around(part: pa.RecordBatch, pos: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.where(good, begin + start, 0), np.where(good, begin + stop + SHINGLE - 1, 0)
 
 
+def _reach(row: np.ndarray, column: np.ndarray, value: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Highest sum of the values of a stretch of a similar passage's length, over a place from ``first`` to ``last``, of every row."""
+    size = LEAST - SHINGLE + 1
+    width = max(int(column.max(initial=0)) + 1, size)
+    sums = np.full((len(first), width + 1), -1 << 16, np.int32)
+    sums[:, 0] = 0
+    sums[row, column + 1] = value
+    np.cumsum(sums, 1, out=sums)
+    low = np.minimum.accumulate(sums, 1)
+    stop = np.arange(size, width + 1)[None]
+    start = np.clip(np.minimum(stop - size, last[:, None]), 0, width)
+    return np.where(stop > first[:, None], sums[:, size:] - np.take_along_axis(low, start, 1), -1 << 16).max(1)
+
+
+def _buckets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, position and bucket of every shingle of some stretches, and whether it is the last of its bucket; equal shingles have equal buckets."""
+    raw, offsets = X.buffers(column)
+    words, ends = raw.view("<u4"), offsets // 4
+    sums = np.zeros(len(words), np.uint32)
+    for k, factor in enumerate(X.random_codes(SHINGLE).astype(np.uint32) | np.uint32(1)):
+        sums[: max(0, len(words) - k)] += words[k:] * factor
+    row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    at = np.arange(len(words))
+    whole = at + SHINGLE <= ends[1:][row]
+    row, at = row[whole], at[whole] - ends[row[whole]]
+    bucket = row * QUICK + (sums[whole] >> np.uint32(32 - (QUICK - 1).bit_length()))
+    latest = np.empty((len(ends) - 1) * QUICK, np.int32)
+    latest[bucket] = at
+    return row, at, bucket, latest[bucket] == at
+
+
+def _may_hold(part: pa.RecordBatch) -> np.ndarray:
+    """Whether a row of ``_verified`` may have a passage: the others certainly have not.
+
+    On each side one needs FEWEST shingles that the other side has, and on both together a stretch over a place with
+    four common ones for each one that one side lacks. Buckets tell them, so some count that the other side lacks.
+    """
+    places = part.column("places")
+    pos, at = places.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pc.list_value_length(places).to_numpy())])
+    first, last = (f.reduceat(pos, at[:-1]) if len(pos) else pos for f in (np.minimum, np.maximum))
+    begin, other_begin, shift = (part.column(c).to_numpy() for c in ("from", "other_from", "shift"))
+    sides = [(_buckets(part.column(c)), begins) for c, begins in (("near", begin), ("other_near", other_begin + shift))]
+    may, both = np.ones(part.num_rows, bool), np.zeros(part.num_rows, np.int64)
+    for ((row, column, own, latest), begins), ((_, _, other, _), _) in (sides, sides[::-1]):
+        has = np.zeros(part.num_rows * QUICK, bool)
+        has[other] = True
+        hit = has[own]
+        may &= np.bincount(row[hit], minlength=part.num_rows) >= FEWEST
+        # What is common counts once on either side, what the other side lacks twice, each one of a set once.
+        both += _reach(row, column, np.where(hit, 1, np.where(latest, -2 * NUM // (DEN - NUM), 0)), first - begins, last - begins)
+    return may & (both >= 0)
+
+
 def _verified(part: pa.RecordBatch) -> pa.RecordBatch:
     """(doc_id, start, stop, other) of the passages of pairs of stretches of text, around each of their ``places``.
 
     A place that only shared shingles part from the one before has the same passage, as a stretch with the highest
     sum takes both or none; a place inside a passage that was found needs no search either.
     """
+    part = part.filter(pa.array(_may_hold(part)))
     a, b = _Side(part, "near"), _Side(part, "other_near")
     hit_a, hit_b = a.found_in(b), b.found_in(a)
     hits = [np.bincount(x.row[h], minlength=len(x.n)) for x, h in ((a, hit_a), (b, hit_b))]
@@ -405,38 +466,39 @@ def similar_passages(pairs: DataFrame, work: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, PASSAGES).distinct()
 
 
-def _may_be_similar(left: _Side, right: _Side) -> np.ndarray:
-    """Whether the surroundings of left places have FEWEST shingles or more that those of right places have too."""
-    _, token = np.unique(np.concatenate([left.codes, right.codes]), return_inverse=True)
-    n = int(token.max(initial=-1)) + 1
-    sides = []
-    for side, own in ((left, token[: len(left.codes)]), (right, token[len(left.codes) :])):
-        both, times = np.unique(own.astype(np.int64) * len(side.n) + side.row, return_counts=True)
-        sides.append((both // len(side.n), both % len(side.n), times))
-    (ta, ra, times), (tb, rb, _) = sides
-    at_a, at_b = (np.searchsorted(t, np.arange(n + 1)) for t in (ta, tb))
-    size_a, size_b = np.diff(at_a), np.diff(at_b)
-    found = np.zeros((len(left.n), len(right.n)), np.float32)
-    # Shingles that many pairs share are counted as products of matrices, 2048 shingles at a time, the others pair by pair.
-    often = np.flatnonzero(size_a * size_b > 256)
-    for lo in range(0, len(often), 2048):
-        part = often[lo : lo + 2048]
-        x, y = np.zeros((len(left.n), len(part)), np.float32), np.zeros((len(part), len(right.n)), np.float32)
-        for rows, tokens, out, value in ((ra, ta, "x", times), (rb, tb, "y", None)):
-            where = np.minimum(np.searchsorted(part, tokens), len(part) - 1)
-            has = part[where] == tokens
-            if out == "x":
-                x[rows[has], where[has]] = value[has]
-            else:
-                y[where[has], rows[has]] = 1
-        found += x @ y
-    rare = (size_a * size_b)[ta]
-    rare = np.flatnonzero((rare > 0) & (rare <= 256))
-    reps = size_b[ta[rare]]
-    step = np.repeat(at_b[ta[rare]] - np.concatenate([[0], np.cumsum(reps)[:-1]]), reps) + np.arange(int(reps.sum()))
-    cell = np.repeat(ra[rare], reps) * len(right.n) + rb[step]
-    found += np.bincount(cell, np.repeat(times[rare], reps), found.size).reshape(found.shape).astype(np.float32)
-    return found >= FEWEST
+def _best(side: _Side, at: np.ndarray, token: np.ndarray, other: _Side, other_token: np.ndarray) -> np.ndarray:
+    """Highest sum, for each place of a side and each one of the other, as in ``_may_hold``."""
+    size = LEAST - SHINGLE + 1
+    out = np.full((len(side.n), len(other.n)), -1 << 14, np.int16)
+    n = int(max(token.max(initial=-1), other_token.max(initial=-1))) + 1
+    both = np.zeros(n + 1, bool)
+    both[np.intersect1d(token, other_token)] = True
+    number = np.cumsum(both) * both  # of the tokens of both sides; 0 is any other
+    step = max(1, (1 << 25) // (int(number.max(initial=0)) + 1))
+    for lo in range(0, len(other.n), step):
+        inside = slice(other.at[lo], other.at[min(lo + step, len(other.n))])
+        has = np.zeros((int(number.max(initial=0)) + 1, min(step, len(other.n) - lo)), bool)
+        has[number[other_token[inside]], other.row[inside] - lo] = True
+        has[0] = False
+        for i in np.flatnonzero((side.n >= size) & (at < side.n)).tolist():
+            own = token[side.at[i] : side.at[i + 1]]
+            cost = np.zeros(len(own), np.int16)
+            cost[np.unique(own, return_index=True)[1]] = -2 * NUM // (DEN - NUM)
+            sums = np.zeros((len(own) + 1, has.shape[1]), np.int16)
+            np.cumsum(np.where(has[number[own]], np.int16(1), cost[:, None]), 0, out=sums[1:])
+            low = np.minimum.accumulate(sums[: min(int(at[i]), len(own) - size) + 1], 0)
+            stop = np.arange(max(size, int(at[i]) + 1), len(own) + 1)
+            out[i, lo : lo + step] = (sums[stop] - low[np.minimum(stop - size, len(low) - 1)]).max(0)
+    return out
+
+
+def _may_be_similar(left: _Side, left_at: np.ndarray, right: _Side, right_at: np.ndarray) -> np.ndarray:
+    """Whether two places may have similar passages, from the shingles of their surroundings; the others certainly have none."""
+    _, token = np.unique(np.concatenate([left.codes, right.codes]) >> X.U(12), return_inverse=True)
+    sides = (left, left_at, token[: len(left.codes)]), (right, right_at, token[len(left.codes) :])
+    best = _best(*sides[0], sides[1][0], sides[1][2])
+    back = best if left is right else _best(*sides[1], sides[0][0], sides[0][2])
+    return best + back.T >= 0
 
 
 def _searched(found: pa.Table) -> pa.Table:
@@ -449,7 +511,9 @@ def _searched(found: pa.Table) -> pa.Table:
     near = found.column("near").combine_chunks()
     out = []
     for left, right in groups_of(found):
-        ok = _may_be_similar(*(_Side(pa.table({"near": near.take(pa.array(side))}), "near") for side in (left, right)))
+        one = _Side(pa.table({"near": near.take(pa.array(left))}), "near")
+        two = one if left is right else _Side(pa.table({"near": near.take(pa.array(right))}), "near")
+        ok = _may_be_similar(one, (pos - begin)[left], two, (pos - begin)[right])
         for x in np.lexsort((pos[left], doc[left])).tolist():
             one = int(left[x])
             others = right[ok[x]]
@@ -482,11 +546,89 @@ def _searched(found: pa.Table) -> pa.Table:
     return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, zip(*set(out)) if out else ((),) * 4)})
 
 
+def frequencies(texts: DataFrame) -> np.ndarray:
+    """How often the shingles ``near`` places occur, by BINS of their codes; the driver gets a row for each bin at most."""
+
+    def run(batches):
+        n = np.zeros(BINS, np.int64)
+        for batch in batches:
+            codes, _ = _stretches(batch.column("near"))
+            n += np.bincount((codes >> X.U(12)).astype(np.int64) % BINS, minlength=BINS)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], names=["bin", "n"])
+
+    got = texts.select("near").mapInArrow(run, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(BINS, np.int32)
+    out[got.column("bin").to_numpy()] = np.minimum(got.column("n").to_numpy(), np.iinfo(np.int32).max)
+    return out
+
+
+def rare_shingles(places: DataFrame, often: np.ndarray) -> DataFrame:
+    """(key, family, doc_id, pos): a key for each rare shingle ``near`` a place, of which similar places of a family share one.
+
+    With shingles in one order, by their number, the rarest one that two places share has at least FEWEST - 1 more of
+    the shared ones behind it, on both sides. So the last FEWEST - 1 of a place, the most common, need no key.
+    """
+    shared = places.sparkSession.sparkContext.broadcast(often)
+
+    def run(batches):
+        often = shared.value
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                codes, at = _stretches(part.column("near"))
+                codes = codes >> X.U(12)  # as far as ``_Side`` compares them
+                n, row = often[codes.astype(np.int64) % BINS], np.repeat(np.arange(part.num_rows), np.diff(at))
+                order = np.lexsort((codes, n, row))
+                left = at[1:][row] - np.arange(len(row))  # shingles of the row from here on, by number
+                rare = (left >= FEWEST) & (n[order] > 1)
+                codes, row = codes[order][rare], row[rare]
+                new = np.ones(len(codes), bool)
+                new[1:] = (codes[1:] != codes[:-1]) | (row[1:] != row[:-1])
+                codes, row = codes[new], row[new]
+                family, doc, pos = (part.column(c).to_numpy()[row] for c in ("family", "doc_id", "pos"))
+                key = X.mix(X.mix(family.view(np.uint64)) + codes)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key.view(np.int64), family, doc, pos)], names=["key", "family", "doc_id", "pos"])
+
+    return places.select("family", "doc_id", "pos", "near").mapInArrow(run, "key long, family long, doc_id long, pos long")
+
+
+def open_pairs(rows: DataFrame, *further: str) -> DataFrame:
+    """Pairs of places of a key, but those of one component whose later place lies in a passage found; ``further`` columns of both."""
+    early = rows.select("key", *[F.col(c).alias(f"other_{c}") for c in ("pos", "component", *further)], F.col("doc_id").alias("other"))
+    pairs = rows.join(early, "key").where((F.col("other") < F.col("doc_id")) | ((F.col("other") == F.col("doc_id")) & (F.col("other_pos") < F.col("pos"))))
+    return pairs.where((F.col("component") != F.col("other_component")) | ~F.col("settled"))
+
+
+def pairs_of_large_keys(large: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (doc_id, pos, other, other_pos) of large keys that may be similar, and families with pairs not among them.
+
+    Keys whose places begin with one shingle make a family, so that the shingles ``near`` a place are dealt
+    out once. Only places of a family that share a rare shingle are paired. The families (key, doc_id, pos, component,
+    settled) that are left hold the places that share one with more than FEW others.
+    """
+    root = F.xxhash64(F.substring("near", ((F.col("pos") - F.col("from")) * 4 + 1).cast("int"), F.lit(4 * SHINGLE)))
+    rooted = stored(large.join(texts.select("doc_id", "pos", root.alias("root")), ["doc_id", "pos"]))
+    families = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    families = families.select("key", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("key")).alias("family"))
+    members = rooted.join(families, "key").groupBy("family", "doc_id", "pos")
+    members = stored(members.agg(F.collect_set("key").alias("keys"), F.max("component").alias("component"), F.max("settled").alias("settled")))
+    place = ["family", "doc_id", "pos"]
+    rare = rare_shingles(members.select(*place).join(texts, ["doc_id", "pos"]), frequencies(texts))
+    shared = stored(rare.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("n > 1"))
+    few = open_pairs(shared.where(F.col("n") <= FEW).join(members, place), "keys").where(F.arrays_overlap("keys", "other_keys"))
+    many = shared.where(F.col("n") > FEW).select(*place).distinct().join(members.drop("keys"), place).withColumnRenamed("family", "key")
+    facts = many.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("settled").alias("closed"))
+    many = stored(many.join(facts.where("lo < hi or not closed").select("key"), "key"))
+    return few.select("doc_id", "pos", "other", "other_pos").distinct(), many
+
+
 def rest_of_keys(led: DataFrame, near: DataFrame, links: DataFrame, work: DataFrame) -> DataFrame:
     """The similar passages around two places of a key that ``first_places`` has not held against each other; stored.
 
     Left out are pairs of documents that ``links`` connect already, whose later place lies in a passage of ``near``. The
-    pairs of keys with up to FEW places are rows; larger keys are searched in tiles of bounded size inside tasks.
+    pairs of keys with up to FEW places are rows. Those of larger keys are rows when they share a rare shingle, as
+    similar places do; places whose rare shingles very many share are searched in tiles of bounded size inside tasks.
     """
     with scratch(work.sparkSession) as keep:
         rest = led.select("key", "doc_id", "pos", F.struct("other", "other_pos").alias("held"))
@@ -504,18 +646,19 @@ def rest_of_keys(led: DataFrame, near: DataFrame, links: DataFrame, work: DataFr
         )
         rest = stored(rest.join(facts.where("n > 2 and (lo < hi or open)").select("key", "n"), "key"))
         small = rest.where(F.col("n") <= FEW).drop("n")
-        early = small.select("key", F.col("doc_id").alias("other"), F.col("pos").alias("other_pos"), F.col("component").alias("other_component"))
-        pairs = small.join(early, "key").where((F.col("other") < F.col("doc_id")) | ((F.col("other") == F.col("doc_id")) & (F.col("other_pos") < F.col("pos"))))
-        pairs = pairs.where((F.col("component") != F.col("other_component")) | ~F.col("settled"))
-        pairs = pairs.where(~F.col("held").eqNullSafe(F.struct("other", "other_pos")))
-        found = similar_passages(stored(diagonals(pairs)), work)
-        large = rest.where(F.col("n") > FEW)
-        if not large.isEmpty():
-            large = large.select("key", F.struct("doc_id", "pos").alias("id"), "component", "settled")
-            places = large.select("id").distinct().select("id", "id.doc_id", "id.pos")
-            payload = _near(places, screened(work.select("doc_id", "words"), stored(places.select(F.col("doc_id").alias("at")).distinct()), "doc_id"), "doc_id", "pos", "pos", "from", "near")
-            cross = tiled(large, payload).drop("id").groupBy("bucket").applyInArrow(_searched, PASSAGES)
-            found = found.union(cross).distinct()
+        pairs = open_pairs(small).where(~F.col("held").eqNullSafe(F.struct("other", "other_pos"))).select("doc_id", "pos", "other", "other_pos")
+        large = rest.where(F.col("n") > FEW).select("key", "doc_id", "pos", "component", "settled")
+        if large.isEmpty():
+            return keep(similar_passages(stored(diagonals(pairs)), work))
+        places = large.select("doc_id", "pos").distinct()
+        texts = screened(work.select("doc_id", "words"), stored(places.select(F.col("doc_id").alias("at")).distinct()), "doc_id")
+        texts = stored(_near(places, texts, "doc_id", "pos", "pos", "from", "near"))
+        few, many = pairs_of_large_keys(large, texts)
+        found = similar_passages(stored(diagonals(pairs.union(few))), work)
+        if not many.isEmpty():
+            id = F.struct("doc_id", "pos").alias("id")
+            cross = tiled(many.select("key", id, "component", "settled"), texts.select(id, "doc_id", "pos", "from", "near")).drop("id")
+            found = found.union(cross.groupBy("bucket").applyInArrow(_searched, PASSAGES)).distinct()
         return keep(found)
 
 
