@@ -564,7 +564,7 @@ def frequencies(texts: DataFrame) -> np.ndarray:
 
 
 def rare_shingles(places: DataFrame, often: np.ndarray) -> DataFrame:
-    """(key, family, doc_id, pos): a key for each rare shingle ``near`` a place, of which similar places of a family share one.
+    """(key, place): a key for each rare shingle ``near`` a place, of which similar places of a family share one.
 
     With shingles in one order, by their number, the rarest one that two places share has at least FEWEST - 1 more of
     the shared ones behind it, on both sides. So the last FEWEST - 1 of a place, the most common, need no key.
@@ -586,11 +586,10 @@ def rare_shingles(places: DataFrame, often: np.ndarray) -> DataFrame:
                 new = np.ones(len(codes), bool)
                 new[1:] = (codes[1:] != codes[:-1]) | (row[1:] != row[:-1])
                 codes, row = codes[new], row[new]
-                family, doc, pos = (part.column(c).to_numpy()[row] for c in ("family", "doc_id", "pos"))
-                key = X.mix(X.mix(family.view(np.uint64)) + codes)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key.view(np.int64), family, doc, pos)], names=["key", "family", "doc_id", "pos"])
+                key = X.mix(X.mix(part.column("family").to_numpy().view(np.uint64)[row]) + codes)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(part.column("place").to_numpy()[row])], names=["key", "place"])
 
-    return places.select("family", "doc_id", "pos", "near").mapInArrow(run, "key long, family long, doc_id long, pos long")
+    return places.select("family", "place", "near").mapInArrow(run, "key long, place long")
 
 
 def open_pairs(rows: DataFrame, *further: str) -> DataFrame:
@@ -605,7 +604,7 @@ def pairs_of_large_keys(large: DataFrame, texts: DataFrame) -> tuple[DataFrame,
 
     Keys whose places begin with one shingle make a family, so that the shingles ``near`` a place are dealt
     out once. Only places of a family that share a rare shingle are paired. The families (key, doc_id, pos, component,
-    settled) that are left hold the places that share one with more than FEW others.
+    settled) that are left hold the places of rare shingles that more than FEW places share.
     """
     root = F.xxhash64(F.substring("near", ((F.col("pos") - F.col("from")) * 4 + 1).cast("int"), F.lit(4 * SHINGLE)))
     rooted = stored(large.join(texts.select("doc_id", "pos", root.alias("root")), ["doc_id", "pos"]))
@@ -613,11 +612,11 @@ def pairs_of_large_keys(large: DataFrame, texts: DataFrame) -> tuple[DataFrame,
     families = families.select("key", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("key")).alias("family"))
     members = rooted.join(families, "key").groupBy("family", "doc_id", "pos")
     members = stored(members.agg(F.collect_set("key").alias("keys"), F.max("component").alias("component"), F.max("settled").alias("settled")))
-    place = ["family", "doc_id", "pos"]
-    rare = rare_shingles(members.select(*place).join(texts, ["doc_id", "pos"]), frequencies(texts))
+    named = members.withColumn("place", F.xxhash64("family", "doc_id", "pos"))
+    rare = rare_shingles(named.select("family", "place", "doc_id", "pos").join(texts, ["doc_id", "pos"]), frequencies(texts))
     shared = stored(rare.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("n > 1"))
-    few = open_pairs(shared.where(F.col("n") <= FEW).join(members, place), "keys").where(F.arrays_overlap("keys", "other_keys"))
-    many = shared.where(F.col("n") > FEW).select(*place).distinct().join(members.drop("keys"), place).withColumnRenamed("family", "key")
+    few = open_pairs(shared.where(F.col("n") <= FEW).join(named, "place"), "keys").where(F.arrays_overlap("keys", "other_keys"))
+    many = shared.where(F.col("n") > FEW).select("place").distinct().join(named, "place").select(F.col("family").alias("key"), "doc_id", "pos", "component", "settled")
     facts = many.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("settled").alias("closed"))
     many = stored(many.join(facts.where("lo < hi or not closed").select("key"), "key"))
     return few.select("doc_id", "pos", "other", "other_pos").distinct(), many
@@ -657,8 +656,9 @@ def rest_of_keys(led: DataFrame, near: DataFrame, links: DataFrame, work: DataFr
         found = similar_passages(stored(diagonals(pairs.union(few))), work)
         if not many.isEmpty():
             id = F.struct("doc_id", "pos").alias("id")
-            cross = tiled(many.select("key", id, "component", "settled"), texts.select(id, "doc_id", "pos", "from", "near")).drop("id")
-            found = found.union(cross.groupBy("bucket").applyInArrow(_searched, PASSAGES)).distinct()
+            cross = tiled(many.select("key", id, "component", "settled"), texts.select(id, "doc_id", "pos", "from", "near"), gathered=256).drop("id")
+            parts = int(work.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small rows with much work: not put together by size
+            found = found.union(cross.repartition(parts, "bucket").groupBy("bucket").applyInArrow(_searched, PASSAGES)).distinct()
         return keep(found)
 
 
